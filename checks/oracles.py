@@ -234,7 +234,7 @@ _PERIODS = {
 }
 
 BODIES: dict[str, str] = {
-    "decode_readings_json": """SELECT CAST("timestamp" AS VARCHAR) AS "timestamp", id_medidor,
+    "decode_readings_json": """SELECT TRUE AS valida, CAST("timestamp" AS VARCHAR) AS "timestamp", id_medidor,
         tarifa, ciudad, coalesce(kwh_intervalo, 0) AS kwh_intervalo,
         coalesce(voltaje, 0) AS voltaje, CAST(es_pico AS BIGINT) AS es_pico, estado FROM readings""",
     "write_raw": """SELECT estado, count(*) AS filas, count(kwh_intervalo) AS con_medida

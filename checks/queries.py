@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.stage import irregular, loaded, new_root, portable, readings, registry, star
+from checks.stage import irregular, loaded, new_root, portable, readings, registry, star, table
 from meterlake.functions import calendar as cal
 from meterlake.functions import energy, exact, periods, text
 from meterlake.operators import books, features, peaks, quality, tariffs
@@ -15,7 +15,7 @@ from meterlake.operators import star as star_ops
 from meterlake.plans import listings, marts, report
 from meterlake.sources import lake, warehouse
 from meterlake.sources.events import read_events, readings_from_events
-from meterlake.sources.readings import decode_readings, encode_readings, good_messages
+from meterlake.sources.readings import CORRUPT, decode_readings, encode_readings
 from meterlake.streaming import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,7 +42,8 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def decode_readings_json(spark, sf_dir):
     messages = encode_readings(readings(spark, sf_dir))
-    return good_messages(decode_readings(messages)).select(
+    return decode_readings(messages).select(
+        F.col(CORRUPT).isNull().alias("valida"),
         F.col("timestamp").try_cast("timestamp_ntz").alias("timestamp"), "id_medidor", "tarifa",
         "ciudad", exact.zero_if_null(F.col("kwh_intervalo")).alias("kwh_intervalo"),
         exact.zero_if_null(F.col("voltaje")).alias("voltaje"), "es_pico", "estado",
@@ -262,7 +263,9 @@ def cost_etl(spark, sf_dir):
 @register
 def cost_dwh(spark, sf_dir):
     odd = irregular(clean(spark, sf_dir))
-    return tariffs.cost_dwh(odd, registry(spark, sf_dir)).select("event_id", "costo_dwh")
+    return tariffs.cost_dwh(
+        odd, table(spark, sf_dir, "medidores"), homes=table(spark, sf_dir, "hogar_tarifa")
+    ).select("event_id", "costo_dwh")
 
 
 @register
@@ -325,7 +328,7 @@ def tier_range_join(spark, sf_dir):
 @register
 def resolve_home_tariff(spark, sf_dir):
     odd = irregular(clean(spark, sf_dir))
-    return tariffs.resolve_home_tariff(odd, registry(spark, sf_dir)).select(
+    return tariffs.resolve_home_tariff(odd, table(spark, sf_dir, "medidores")).select(
         "event_id", "hogar_resuelto", "tarifa_resuelta"
     )
 
@@ -371,13 +374,10 @@ def join_home(spark, sf_dir):
 @register
 def resolve_keys(spark, sf_dir):
     """Keys of readings with blank and unknown attributes; a miss shows as -1."""
-    root = loaded(spark, sf_dir).star
     keyed = star_ops.resolve_keys(
         irregular(clean(spark, sf_dir)),
-        warehouse.read_table(spark, root, "dim_tiempo"),
-        warehouse.read_table(spark, root, "dim_region"),
-        warehouse.read_table(spark, root, "hogar_tarifa"),
-        warehouse.read_table(spark, root, "medidores"),
+        *[table(spark, sf_dir, t)
+          for t in ("dim_tiempo", "dim_region", "hogar_tarifa", "medidores")],
     )
     return keyed.select("event_id", *[
         F.coalesce(k, F.lit(-1)).alias(k) for k in ("tiempo_key", "hogar_key", "region_key")
@@ -387,7 +387,7 @@ def resolve_keys(spark, sf_dir):
 @register
 def lookup_meter(spark, sf_dir):
     odd = irregular(readings(spark, sf_dir))
-    return books.lookup_meter(odd, registry(spark, sf_dir)).select(
+    return books.lookup_meter(odd, table(spark, sf_dir, "medidores")).select(
         "event_id",
         F.coalesce("hogar_registro", F.lit("-")).alias("hogar_registro"),
         F.coalesce("tarifa_registro", F.lit("-")).alias("tarifa_registro"),

@@ -51,6 +51,10 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     return warehouse.open_star(spark, loaded(spark, sf_dir).star)
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return warehouse.read_table(spark, loaded(spark, sf_dir).star, name)
+
+
 def irregular(df: DataFrame) -> DataFrame:
     """Readings with blank, unknown and contradictory attributes, chosen by their measurements."""
     return df.withColumns({

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,11 @@ _BOOK = T.StructType([
 ])
 
 
+_CITY = T.StructType([
+    T.StructField("_ciudad", T.StringType()), T.StructField("_tarifa", T.StringType()),
+])
+
+
 def tariff_book(spark: SparkSession, books: Sequence[Tariff] = TARIFFS) -> DataFrame:
     """The nested book, one row per tariff, in book order."""
     rows = [
@@ -63,25 +68,23 @@ def tier_bounds(spark: SparkSession, books: Sequence[Tariff] = TARIFFS) -> DataF
     one range join finds the price of any total. Columns: tarifa, nivel, desde, hasta (NULL = open),
     precio; ``nivel`` is the block number or 'DAC'.
     """
-    before = (
-        Window.partitionBy("tarifa").orderBy("pos")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
     book = tariff_book(spark, books)
-    blocks = book.select(
-        "tarifa", "dac_kwh_mes", F.posexplode("bloques").alias("pos", "bloque")
-    ).select(
-        "tarifa",
-        (F.col("pos") + 1).cast("string").alias("nivel"),
-        (F.sum(F.coalesce("bloque.limite_kwh", F.lit(0.0))).over(before)
-         - F.coalesce("bloque.limite_kwh", F.lit(0.0))).alias("desde"),
-        F.when(F.col("bloque.limite_kwh").isNotNull(),
-               F.sum("bloque.limite_kwh").over(before)).alias("ancho_hasta"),
-        F.col("bloque.precio").alias("precio"),
-        "dac_kwh_mes",
-    ).where("desde < dac_kwh_mes").select(
-        "tarifa", "nivel", "desde",
-        F.least("ancho_hasta", "dac_kwh_mes").alias("hasta"), "precio",
+    earlier_widths = F.aggregate(
+        F.slice("bloques", F.lit(1), F.col("pos")),
+        F.lit(0.0),
+        lambda total, block: total + F.coalesce(block["limite_kwh"], F.lit(0.0)),
+    )
+    blocks = (
+        book.select("tarifa", "dac_kwh_mes", "bloques", F.posexplode("bloques").alias("pos", "b"))
+        .withColumn("desde", earlier_widths)
+        .where("desde < dac_kwh_mes")
+        .select(
+            "tarifa",
+            (F.col("pos") + 1).cast("string").alias("nivel"),
+            "desde",
+            F.least(F.col("desde") + F.col("b.limite_kwh"), "dac_kwh_mes").alias("hasta"),
+            F.col("b.precio").alias("precio"),
+        )
     )
     dac = book.select(
         "tarifa", F.lit("DAC").alias("nivel"), F.col("dac_kwh_mes").alias("desde"),
@@ -113,25 +116,25 @@ def tariff_of_city(
     default: str | None = DEFAULT_TARIFF,
 ) -> DataFrame:
     """Add ``tarifa_ciudad``: the first tariff of the book that serves the city, else the default."""
-    cities = (
-        tariff_book(df.sparkSession, books)
-        .select("posicion", "tarifa", F.explode("ciudades").alias("_ciudad"))
-        .groupBy("_ciudad")
-        .agg(F.min_by("tarifa", "posicion").alias("_tarifa"))
-    )
+    first: dict[str, str] = {}
+    for tariff in books:
+        for served in tariff.ciudades:
+            first.setdefault(served, tariff.clave)
+    cities = constant_frame(df.sparkSession, list(first.items()), _CITY)
     return df.join(cities, df[city] == cities["_ciudad"], "left").withColumn(
         "tarifa_ciudad", F.coalesce("_tarifa", F.lit(default))
     ).drop("_ciudad", "_tarifa")
 
 
 def lookup_meter(df: DataFrame, registry: DataFrame, meter: str = "id_medidor") -> DataFrame:
-    """Left lookup of a meter: adds ``hogar_registro`` and ``tarifa_registro``."""
-    entries = registry.groupBy(F.col("id_medidor").alias("_medidor")).agg(
-        F.min(F.struct("id_hogar", "tarifa")).alias("_alta")
-    ).select(
-        "_medidor",
-        F.col("_alta.id_hogar").alias("hogar_registro"),
-        F.col("_alta.tarifa").alias("tarifa_registro"),
+    """Left lookup of a meter: adds ``hogar_registro`` and ``tarifa_registro``.
+
+    The registry has one row per meter, as the stored one does.
+    """
+    entries = registry.select(
+        F.col("id_medidor").alias("_medidor"),
+        F.col("id_hogar").alias("hogar_registro"),
+        F.col("tarifa").alias("tarifa_registro"),
     )
     return df.join(entries, df[meter] == entries["_medidor"], "left").drop("_medidor")
 

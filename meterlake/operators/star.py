@@ -14,6 +14,7 @@ from meterlake.functions import calendar as cal
 from meterlake.functions.exact import count_where, exact_avg, exact_sum
 from meterlake.operators.books import first_block_prices
 from meterlake.operators.tariffs import home_tariffs, price_flat, resolve_home_tariff
+from meterlake.session import constant_frame
 
 KEY_BUCKETS = 4096
 
@@ -89,13 +90,15 @@ def assign_home_keys(new_homes: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def merge_new_keys(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Rows of ``new`` whose key is absent from ``existing``, one per key (insert if absent)."""
-    others = [c for c in new.columns if c != key]
-    absent = new.join(existing.select(key), key, "left_anti")
-    return (
-        absent.groupBy(key).agg(F.min(F.struct(*others)).alias("_fila")).select(key, "_fila.*")
-        .select(*new.columns)
-    )
+    """Rows of ``new`` whose key is absent from ``existing``, one per key (insert if absent).
+
+    Equal rows are merged first, by hash; what is left is one row per key and variant.
+    """
+    absent = new.distinct().join(existing.select(key), key, "left_anti")
+    row = F.struct(*[c for c in new.columns if c != key])
+    return absent.groupBy(key).agg(F.min_by(row, row).alias("_fila")).select(
+        key, "_fila.*"
+    ).select(*new.columns)
 
 
 def new_dim_hogar(registry: DataFrame, existing: DataFrame, region: DataFrame) -> DataFrame:
@@ -114,7 +117,7 @@ def seed_dims(
     """Region and home dimensions of an empty star."""
     region = dim_region(spark, books)
     return region, new_dim_hogar(
-        registry, spark.createDataFrame([], schemas.DIM_HOGAR), region
+        registry, constant_frame(spark, [], schemas.DIM_HOGAR), region
     )
 
 

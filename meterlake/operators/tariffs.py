@@ -79,10 +79,9 @@ def resolve_home_tariff(readings: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def home_tariffs(registry: DataFrame, books: Sequence[Tariff] = TARIFFS) -> DataFrame:
-    """Tariff of the city of every registered home; one row per home."""
-    homes = registry.groupBy("id_hogar").agg(
-        F.min(F.struct("id_medidor", "ciudad"))["ciudad"].alias("ciudad")
-    )
+    """Tariff of the city of every registered home, by its first meter; one row per home."""
+    meters = registry.select("id_hogar", "id_medidor", "ciudad").distinct()
+    homes = meters.groupBy("id_hogar").agg(F.min_by("ciudad", "id_medidor").alias("ciudad"))
     return tariff_of_city(homes, books).select("id_hogar", "tarifa_ciudad")
 
 
@@ -90,11 +89,15 @@ def cost_dwh(
     readings: DataFrame,
     registry: DataFrame,
     books: Sequence[Tariff] = TARIFFS,
+    homes: DataFrame | None = None,
     out: str = "costo_dwh",
 ) -> DataFrame:
-    """Cost by the tariff of the home's city; for an unknown home by the resolved tariff."""
+    """Cost by the tariff of the home's city; for an unknown home by the resolved tariff.
+
+    ``homes`` is a stored home lookup; without it the lookup is derived from the registry.
+    """
     resolved = resolve_home_tariff(readings, registry)
-    cities = home_tariffs(registry, books).select(
+    cities = (home_tariffs(registry, books) if homes is None else homes).select(
         F.col("id_hogar").alias("_hogar"), "tarifa_ciudad"
     )
     joined = resolved.join(cities, F.col("hogar_resuelto") == F.col("_hogar"), "left")

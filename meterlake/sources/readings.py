@@ -31,12 +31,6 @@ def good_messages(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def corrupt_messages(decoded: DataFrame) -> DataFrame:
-    return decoded.where(F.col(CORRUPT).isNotNull()).select(
-        *[c for c in decoded.columns if c not in schemas.READING.names]
-    )
-
-
 def encode_readings(readings: DataFrame) -> DataFrame:
     """Readings to one JSON object per row, column ``value`` (the topic's message form)."""
     fields: list[Column | str] = [

@@ -6,9 +6,10 @@ replaces its own partitions. Dimensions only grow, by rows whose key is absent.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,7 @@ from meterlake.fixed_values import TARIFFS, Tariff
 from meterlake.operators import star as ops
 from meterlake.operators.star import Star
 from meterlake.plans import marts
+from meterlake.session import constant_frame
 from meterlake.sources.lake import replace_partitions
 
 # Up to this many dates are pushed as literals (static pruning); beyond, a semi join selects them.
@@ -55,6 +57,25 @@ def open_star(spark: SparkSession, path: str) -> Star:
     )
 
 
+def _read_or_empty(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, bool]:
+    """The table and whether it exists yet."""
+    try:
+        return read_table(spark, path, table), True
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return constant_frame(spark, [], TABLES[table]), False
+
+
+def _add_rows(spark: SparkSession, path: str, table: str, new: Callable) -> DataFrame:
+    """Append ``new(existing)`` to a table, creating it if needed; returns the table as it is now."""
+    existing, found = _read_or_empty(spark, path, table)
+    rows = new(existing).select(*TABLES[table].names)
+    if not found or not rows.isEmpty():
+        rows.write.mode("append").parquet(f"{path}/{table}")
+    return read_table(spark, path, table)
+
+
 def create_star(
     spark: SparkSession, path: str, registry: DataFrame, books: Sequence[Tariff] = TARIFFS
 ) -> None:
@@ -62,27 +83,25 @@ def create_star(
 
     May run again, also with a longer registry: what is there stays as it is.
     """
-    for table, schema in TABLES.items():
-        spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").partitionBy(
-            *PARTITIONS.get(table, [])
-        ).parquet(f"{path}/{table}")
-
-    region = read_table(spark, path, "dim_region")
-    ops.merge_new_keys(region, ops.dim_region(spark, books), "region").select(
-        *schemas.DIM_REGION.names
-    ).write.mode("append").parquet(f"{path}/dim_region")
-    region = read_table(spark, path, "dim_region")
-
-    known = read_table(spark, path, "medidores")
-    ops.merge_new_keys(known, registry.select(*schemas.REGISTRY.names), "id_medidor").write.mode(
-        "append"
-    ).parquet(f"{path}/medidores")
-    registry = read_table(spark, path, "medidores")
-
-    hogar = read_table(spark, path, "dim_hogar")
-    ops.new_dim_hogar(registry, hogar, region).write.mode("append").parquet(f"{path}/dim_hogar")
-    hogar = read_table(spark, path, "dim_hogar")
-    ops.home_lookup(hogar, registry, books).select(*_HOME_LOOKUP.names).write.mode(
+    for table in ("dim_tiempo", "fact_consumo", "fact_resumen_diario"):
+        empty, found = _read_or_empty(spark, path, table)
+        if not found:
+            empty.write.partitionBy(*PARTITIONS.get(table, [])).parquet(f"{path}/{table}")
+
+    region = _add_rows(
+        spark, path, "dim_region",
+        lambda known: ops.merge_new_keys(known, ops.dim_region(spark, books), "region"),
+    )
+    meters = _add_rows(
+        spark, path, "medidores",
+        lambda known: ops.merge_new_keys(
+            known, registry.select(*schemas.REGISTRY.names), "id_medidor"
+        ),
+    )
+    hogar = _add_rows(
+        spark, path, "dim_hogar", lambda known: ops.new_dim_hogar(meters, known, region)
+    )
+    ops.home_lookup(hogar, meters, books).select(*_HOME_LOOKUP.names).write.mode(
         "overwrite"
     ).parquet(f"{path}/hogar_tarifa")
 
@@ -101,10 +120,13 @@ def load_star(
 
 
 def merge_dim_tiempo(clean: DataFrame, path: str) -> None:
-    existing = read_table(clean.sparkSession, path, "dim_tiempo")
-    fresh = ops.dim_tiempo(clean).join(existing.select("tiempo_key"), "tiempo_key", "left_anti")
-    if not fresh.isEmpty():
-        fresh.select(*schemas.DIM_TIEMPO.names).write.mode("append").parquet(f"{path}/dim_tiempo")
+    """Add the quarter hours of the batch that the dimension lacks."""
+    _add_rows(
+        clean.sparkSession, path, "dim_tiempo",
+        lambda known: ops.dim_tiempo(clean).join(
+            known.select("tiempo_key"), "tiempo_key", "left_anti"
+        ),
+    )
 
 
 def load_fact(

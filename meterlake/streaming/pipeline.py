@@ -9,24 +9,27 @@ the result of one.
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from meterlake import schemas
 from meterlake.fixed_values import TARIFFS, Tariff
 from meterlake.functions.exact import count_where, exact_sum, half_up
 from meterlake.operators.features import transform
 from meterlake.sources import lake, warehouse
-from meterlake.sources.readings import CORRUPT, corrupt_messages, good_messages
+from meterlake.sources.readings import CORRUPT, good_messages
 
 log = logging.getLogger(__name__)
 
+COUNTS = ("filas_raw", "filas_limpias", "filas_eliminadas", "picos_detectados")
+
 
 @dataclass(frozen=True)
 class Paths:
@@ -42,10 +45,6 @@ class Paths:
     def processed(self) -> str:
         return f"{self.root}/processed"
 
-    @property
-    def quarantine(self) -> str:
-        return f"{self.root}/quarantine"
-
     @property
     def star(self) -> str:
         return f"{self.root}/star"
@@ -65,51 +64,58 @@ def process_batch(
 ) -> dict[str, int]:
     """Body of one micro-batch, also usable on a batch DataFrame; returns its counts.
 
-    ``run`` separates the batches of a replay with a new checkpoint from earlier ones.
+    The batch is read from its source once, into the raw lake. Messages that could not be decoded
+    stay there with their text (``read_quarantine``). ``run`` separates the batches of a replay with
+    a new checkpoint from earlier ones.
     """
     spark = batch.sparkSession
     batch_name = f"{run}-{batch_id}"
-    if CORRUPT in batch.columns:
-        corrupt_messages(batch).write.mode("overwrite").parquet(
-            f"{paths.quarantine}/batch_id={batch_name}"
-        )
-        batch = good_messages(batch)
-
     clock = datetime.now()
     if "ingested_at" in batch.columns:
         first = batch.select(F.col("ingested_at").cast("timestamp_ntz").alias("t")).head(1)
         if not first:
-            return {"filas_raw": 0, "filas_limpias": 0, "picos_detectados": 0}
+            return dict.fromkeys(COUNTS, 0)
         clock = first[0].t
         batch = batch.drop("ingested_at")
 
     folder = lake.write_raw(batch, paths.raw, batch_name, clock)
     raw = lake.read_raw_batch(spark, folder, batch.schema)
+    received = raw.count()
+    if CORRUPT in raw.columns:
+        raw = good_messages(raw)
     clean = transform(raw, books, peak_scope)
     lake.write_processed(clean, paths.processed, batch_name)
-    kept = count_written(spark, paths, clean, batch_name)
-    counts = {"filas_raw": raw.count(), **kept}
-    if counts["filas_limpias"]:
+    kept, peaks = count_written(spark, paths, clean, batch_name)
+    if kept:
         stored = lake.read_processed(spark, paths.processed, clean.schema, batch_name)
         warehouse.load_star(stored, paths.star, batch_name, books)
+    counts = dict(zip(COUNTS, (received, kept, received - kept, peaks)))
     log.info("batch %s: %s", batch_name, counts)
     return counts
 
 
+def read_quarantine(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Messages of all batches that were no readings, as text."""
+    schema = T.StructType([*schemas.READING.fields, T.StructField(CORRUPT, T.StringType())])
+    return lake.read_raw(spark, paths.raw, schema).where(F.col(CORRUPT).isNotNull()).select(
+        CORRUPT, "year", "month", "day", "batch_id"
+    )
+
+
 def count_written(
     spark: SparkSession, paths: Paths, clean: DataFrame, batch_name: str
-) -> dict[str, int]:
+) -> tuple[int, int]:
     """Clean readings and peaks of a stored batch; zeros if nothing was left to store."""
     try:
         stored = lake.read_processed(spark, paths.processed, clean.schema, batch_name)
     except AnalysisException as problem:  # no folder for this batch: every reading was removed
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        return {"filas_limpias": 0, "picos_detectados": 0}
+        return 0, 0
     row = stored.agg(
         F.count("*").alias("n"), count_where(F.col("es_pico")).alias("p")
     ).first()
-    return {"filas_limpias": row.n, "picos_detectados": row.p}
+    return row.n, row.p
 
 
 def start_pipeline(
@@ -120,22 +126,21 @@ def start_pipeline(
     run: str = "0",
     available_now: bool = False,
     processing_time: str | None = None,
+    on_batch: Callable[[int, dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
     """Start the ingestion of a reading stream into an existing star.
 
-    ``available_now`` drains what is there and stops. Late readings need no watermark: whatever
+    ``available_now`` drains what is there and stops. ``on_batch`` gets the counts of every batch
+    (observed metrics would count a batch as often as it is read). Late readings need no watermark: whatever
     date a batch touches is recomputed. Replay: a new ``run`` and a new root.
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, paths, books, peak_scope, run)
+        counts = process_batch(batch, batch_id, paths, books, peak_scope, run)
+        if on_batch is not None:
+            on_batch(batch_id, counts)
 
-    watched = readings.observe(
-        "lecturas",
-        F.count("*").alias("recibidas"),
-        F.count("kwh_intervalo").alias("con_medida"),
-    )
-    writer = watched.writeStream.foreachBatch(body).option(
+    writer = readings.writeStream.foreachBatch(body).option(
         "checkpointLocation", f"{paths.checkpoint}/{run}"
     )
     if available_now:
@@ -157,27 +162,3 @@ def running_totals(spark: SparkSession, paths: Paths) -> DataFrame:
         F.coalesce(F.sum("num_lecturas"), F.lit(0)).alias("total"),
         half_up(exact_sum(F.col("kwh_total")), 4).alias("kwh"),
     )
-
-
-class ProgressListener(StreamingQueryListener):
-    """Logs the observed counts of every micro-batch and keeps running totals of received rows."""
-
-    def __init__(self) -> None:
-        self.received = 0
-        self.measured = 0
-
-    def onQueryStarted(self, event) -> None:
-        log.info("stream %s started", event.id)
-
-    def onQueryProgress(self, event) -> None:
-        seen = event.progress.observedMetrics.get("lecturas")
-        if seen is not None:
-            self.received += seen["recibidas"]
-            self.measured += seen["con_medida"]
-            log.info("batch %s: %s received", event.progress.batchId, seen["recibidas"])
-
-    def onQueryIdle(self, event) -> None:
-        pass
-
-    def onQueryTerminated(self, event) -> None:
-        log.info("stream %s ended", event.id)
