@@ -461,5 +461,16 @@ for _kind, _name in (("hora", "hour"), ("dia", "day"), ("semana", "week"), ("mes
     BODIES[f"period_list_{_name}"] = f"SELECT value, label FROM ({_PERIODS[_kind]})"
 
 
+# The rollup must give what all facts give.
+for _rolled, _name in (
+    ("daily_consumo_por_region", "v_consumo_por_region"),
+    ("daily_consumo_por_hogar", "v_consumo_por_hogar"),
+    ("daily_resumen_general", "v_resumen_general"),
+    ("daily_report_region", "report_region"),
+    ("daily_report_homes", "report_homes"),
+):
+    BODIES[_rolled] = BODIES[_name]
+
+
 def all_oracles() -> dict[str, str]:
     return {name: PRELUDE + body for name, body in BODIES.items()}

@@ -12,7 +12,7 @@ from meterlake.functions import calendar as cal
 from meterlake.functions import energy, exact, periods, text
 from meterlake.operators import books, features, peaks, quality, tariffs
 from meterlake.operators import star as star_ops
-from meterlake.plans import listings, marts, report
+from meterlake.plans import daily, listings, marts, report
 from meterlake.sources import lake, warehouse
 from meterlake.sources.events import read_events, readings_from_events
 from meterlake.sources.readings import CORRUPT, decode_readings, encode_readings
@@ -457,11 +457,11 @@ def pk_duplicates_dimensions(spark, sf_dir):
 # --- aggregations over the star ---------------------------------------------------------------
 
 
-def _mart(function: Callable) -> None:
+def _mart(function: Callable, name: str | None = None) -> None:
     def run(spark, sf_dir):
         return function(star(spark, sf_dir))
 
-    run.__name__ = function.__name__
+    run.__name__ = name or function.__name__
     register(run)
 
 
@@ -488,7 +488,17 @@ def _report(function: Callable, kind: str, value: str, name: str) -> None:
     register(run)
 
 
+for _function, _name in (
+    (daily.consumo_por_region, "daily_consumo_por_region"),
+    (daily.consumo_por_hogar, "daily_consumo_por_hogar"),
+    (daily.resumen_general, "daily_resumen_general"),
+):
+    _mart(_function, _name)
+
+
 for _function, _kind, _value, _name in (
+    (daily.report_region, "mes", MONTH, "daily_report_region"),
+    (daily.report_homes, "semana", WEEK, "daily_report_homes"),
     (report.preview_resumen, "semana", WEEK, "preview_resumen"),
     (report.preview_resumen, "hora", HOUR, "preview_resumen_hour"),
     (report.report_region, "mes", MONTH, "report_region"),

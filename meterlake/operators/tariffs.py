@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.fixed_values import DEFAULT_TARIFF, TARIFFS, Tariff
-from meterlake.functions.calendar import bucket_15min
 from meterlake.functions.exact import MILLION, from_micro, to_micro
 from meterlake.operators.books import (
     lookup_meter,
@@ -111,16 +110,18 @@ def month_to_date(
     ts: str = "timestamp",
     tiebreak: Sequence[str] = (),
     kwh: str = "kwh_intervalo",
+    slice_length: str = "15 minutes",
 ) -> DataFrame:
     """Add ``kwh_acumulado_mes``: what the home used this month before the reading.
 
-    Two levels, so a home with a large share of all rows is never one sort: quarter-hour totals
-    (partially aggregated before their shuffle) give the running total at the start of each quarter
-    hour, at most 2,976 rows per home and month; inside a quarter hour the readings are accumulated
-    in order. Readings are shuffled once, by home and quarter hour, for both the window and the join.
+    Two levels, so a home with a large share of all rows is never one sort: slice totals (partially
+    aggregated before their shuffle) give the running total at the start of each slice, at most
+    2,976 quarter hours per home and month; inside a slice the readings are accumulated in order.
+    Readings are shuffled once, by home and slice, for both the window and the join. Take a shorter
+    slice where one meter reports extremely often.
     """
     keyed = df.withColumns({
-        "_cuarto": bucket_15min(F.col(ts)),
+        "_cuarto": F.window(F.col(ts), slice_length)["start"],
         "_hogar": F.coalesce(F.col(home), F.lit("")),
         "_kwh": to_micro(F.col(kwh)),
     })

@@ -107,7 +107,11 @@ def create_star(
 
 
 def load_star(
-    clean: DataFrame, path: str, batch_id: str = "0", books: Sequence[Tariff] = TARIFFS
+    clean: DataFrame,
+    path: str,
+    batch_id: str = "0",
+    books: Sequence[Tariff] = TARIFFS,
+    small_batch: bool = False,
 ) -> None:
     """Load a clean batch: new quarter hours, facts, and the rollup of the dates it touches.
 
@@ -115,7 +119,7 @@ def load_star(
     repeated with the same batch without effect.
     """
     merge_dim_tiempo(clean, path)
-    load_fact(clean, path, batch_id, books)
+    load_fact(clean, path, batch_id, books, small_batch)
     refresh_daily(clean.select(F.col("timestamp").cast("date").alias("fecha")), path)
 
 
@@ -130,15 +134,30 @@ def merge_dim_tiempo(clean: DataFrame, path: str) -> None:
 
 
 def load_fact(
-    clean: DataFrame, path: str, batch_id: str = "0", books: Sequence[Tariff] = TARIFFS
+    clean: DataFrame,
+    path: str,
+    batch_id: str = "0",
+    books: Sequence[Tariff] = TARIFFS,
+    small_batch: bool = False,
 ) -> None:
+    """Append the facts of a batch, replacing those of an earlier attempt.
+
+    ``small_batch`` (micro-batches) first cuts the home lookup and the registry to the ids that
+    occur in the batch, so neither large table is shuffled for every batch.
+    """
     spark = clean.sparkSession
+    homes = read_table(spark, path, "hogar_tarifa")
+    meters = read_table(spark, path, "medidores")
+    if small_batch:
+        meters = meters.join(clean.select("id_medidor").distinct(), "id_medidor", "left_semi")
+        seen = clean.select("id_hogar").unionByName(meters.select("id_hogar")).distinct()
+        homes = homes.join(seen, "id_hogar", "left_semi")
     fact = ops.build_fact(
         clean,
         read_table(spark, path, "dim_tiempo"),
         read_table(spark, path, "dim_region"),
-        read_table(spark, path, "hogar_tarifa"),
-        read_table(spark, path, "medidores"),
+        homes,
+        meters,
         books,
         batch_id,
     )

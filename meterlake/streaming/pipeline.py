@@ -61,6 +61,7 @@ def process_batch(
     books: Sequence[Tariff] = TARIFFS,
     peak_scope: Sequence[str] | None = None,
     run: str = "0",
+    small_batch: bool = False,
 ) -> dict[str, int]:
     """Body of one micro-batch, also usable on a batch DataFrame; returns its counts.
 
@@ -88,7 +89,7 @@ def process_batch(
     kept, peaks = count_written(spark, paths, clean, batch_name)
     if kept:
         stored = lake.read_processed(spark, paths.processed, clean.schema, batch_name)
-        warehouse.load_star(stored, paths.star, batch_name, books)
+        warehouse.load_star(stored, paths.star, batch_name, books, small_batch)
     counts = dict(zip(COUNTS, (received, kept, received - kept, peaks)))
     log.info("batch %s: %s", batch_name, counts)
     return counts
@@ -126,17 +127,19 @@ def start_pipeline(
     run: str = "0",
     available_now: bool = False,
     processing_time: str | None = None,
+    small_batch: bool = True,
     on_batch: Callable[[int, dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
     """Start the ingestion of a reading stream into an existing star.
 
-    ``available_now`` drains what is there and stops. ``on_batch`` gets the counts of every batch
+    ``available_now`` drains what is there and stops. ``small_batch=False`` suits a first drain
+    whose batches hold most homes. ``on_batch`` gets the counts of every batch
     (observed metrics would count a batch as often as it is read). Late readings need no watermark: whatever
     date a batch touches is recomputed. Replay: a new ``run`` and a new root.
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        counts = process_batch(batch, batch_id, paths, books, peak_scope, run)
+        counts = process_batch(batch, batch_id, paths, books, peak_scope, run, small_batch)
         if on_batch is not None:
             on_batch(batch_id, counts)
 

@@ -34,6 +34,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
