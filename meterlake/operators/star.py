@@ -190,6 +190,18 @@ def resumen_diario(fact: DataFrame, tiempo: DataFrame) -> DataFrame:
     ).select(*schemas.RESUMEN_DIARIO.names)
 
 
+def merge_daily(parts: DataFrame) -> DataFrame:
+    """Add up rollup rows of the same date, home and region; exact, like the rollup itself."""
+    return parts.groupBy("fecha", "hogar_key", "region_key").agg(
+        exact_sum(F.col("kwh_total")).alias("kwh_total"),
+        F.max("kwh_max").alias("kwh_max"),
+        (exact_sum(F.col("kwh_total")) / F.sum("num_lecturas")).alias("kwh_promedio"),
+        exact_sum(F.col("costo_total")).alias("costo_total"),
+        F.sum("num_lecturas").alias("num_lecturas"),
+        F.sum("num_picos").alias("num_picos"),
+    ).select(*schemas.RESUMEN_DIARIO.names)
+
+
 def consumption() -> list[Column]:
     """The three measures most queries share."""
     return [

@@ -61,13 +61,14 @@ def process_batch(
     books: Sequence[Tariff] = TARIFFS,
     peak_scope: Sequence[str] | None = None,
     run: str = "0",
-    small_batch: bool = False,
+    micro_batch: bool = False,
 ) -> dict[str, int]:
     """Body of one micro-batch, also usable on a batch DataFrame; returns its counts.
 
     The batch is read from its source once, into the raw lake. Messages that could not be decoded
     stay there with their text (``read_quarantine``). ``run`` separates the batches of a replay with
-    a new checkpoint from earlier ones.
+    a new checkpoint from earlier ones. ``micro_batch`` says that batches of a run come in numeric
+    order, each small beside the registry and the day.
     """
     spark = batch.sparkSession
     batch_name = f"{run}-{batch_id}"
@@ -89,7 +90,8 @@ def process_batch(
     kept, peaks = count_written(spark, paths, clean, batch_name)
     if kept:
         stored = lake.read_processed(spark, paths.processed, clean.schema, batch_name)
-        warehouse.load_star(stored, paths.star, batch_name, books, small_batch)
+        position = (run, int(batch_id)) if micro_batch else None
+        warehouse.load_star(stored, paths.star, batch_name, books, position)
     counts = dict(zip(COUNTS, (received, kept, received - kept, peaks)))
     log.info("batch %s: %s", batch_name, counts)
     return counts
@@ -127,19 +129,19 @@ def start_pipeline(
     run: str = "0",
     available_now: bool = False,
     processing_time: str | None = None,
-    small_batch: bool = True,
+    micro_batch: bool = True,
     on_batch: Callable[[int, dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
     """Start the ingestion of a reading stream into an existing star.
 
-    ``available_now`` drains what is there and stops. ``small_batch=False`` suits a first drain
+    ``available_now`` drains what is there and stops. ``micro_batch=False`` suits a first drain
     whose batches hold most homes. ``on_batch`` gets the counts of every batch
     (observed metrics would count a batch as often as it is read). Late readings need no watermark: whatever
     date a batch touches is recomputed. Replay: a new ``run`` and a new root.
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        counts = process_batch(batch, batch_id, paths, books, peak_scope, run, small_batch)
+        counts = process_batch(batch, batch_id, paths, books, peak_scope, run, micro_batch)
         if on_batch is not None:
             on_batch(batch_id, counts)
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlake.fixed_values import METERS
+from meterlake.operators import star as ops
 from meterlake.operators.features import transform
 from meterlake.plans import marts
 from meterlake.sources import lake, warehouse
@@ -67,17 +68,17 @@ def test_stream_equals_batch(spark, installation, tmp_path):
 
 def test_failed_attempt_then_restart_leaves_one_copy(spark, installation, tmp_path, monkeypatch):
     source = drop_files(tmp_path / "in", [[message(i) for i in range(8)]])
-    honest = warehouse.refresh_daily
+    honest = warehouse.add_to_daily
 
     def lost(*_):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(warehouse, "refresh_daily", lost)
+    monkeypatch.setattr(warehouse, "add_to_daily", lost)
     with pytest.raises(Exception, match="lost"):
         pipeline.drain(stream(spark, source), installation)
     assert warehouse.open_star(spark, installation.star).fact.count() == 8
 
-    monkeypatch.setattr(warehouse, "refresh_daily", honest)
+    monkeypatch.setattr(warehouse, "add_to_daily", honest)
     drop_files(tmp_path / "in", [[message(i) for i in range(8, 12)]])
     pipeline.drain(stream(spark, source), installation)
     star = warehouse.open_star(spark, installation.star)
@@ -87,6 +88,52 @@ def test_failed_attempt_then_restart_leaves_one_copy(spark, installation, tmp_pa
     assert lake.read_raw(spark, installation.raw, raw_schema).count() == 12
 
 
+def daily_is_that_of_the_facts(spark, paths):
+    star = warehouse.open_star(spark, paths.star)
+    wanted = ops.resumen_diario(star.fact, star.tiempo)
+    stored = star.resumen_diario.select(*wanted.columns)
+    return wanted.exceptAll(stored).isEmpty() and stored.exceptAll(wanted).isEmpty()
+
+
+def test_rollup_grows_batch_by_batch(spark, installation, make_readings):
+    """Two dates, repeated batches, another run and a batch load in between."""
+    def batch(n):
+        return make_readings(*[
+            {"kwh_intervalo": (n * 7 + i) / 1000, "id_hogar": METERS[i % 3].id_hogar,
+             "timestamp": START + timedelta(minutes=10 * i + n), "es_pico": i % 2}
+            for i in range(3)
+        ])
+
+    def run(n, name="0", micro=True):
+        pipeline.process_batch(batch(n), n, installation, run=name, micro_batch=micro)
+
+    for n in (0, 1, 1, 2):
+        run(n)
+        assert daily_is_that_of_the_facts(spark, installation)
+    stored = warehouse.read_table(spark, installation.star, "fact_resumen_diario")
+    assert {(r.corrida, r.lote) for r in stored.collect()} == {("0", 2)}
+    run(1)                      # an older batch once more
+    assert daily_is_that_of_the_facts(spark, installation)
+    run(0, "other")             # a replay beside it
+    assert daily_is_that_of_the_facts(spark, installation)
+    run(9, "load", micro=False)
+    run(3)
+    run(4)
+    assert daily_is_that_of_the_facts(spark, installation)
+    assert warehouse.open_star(spark, installation.star).fact.count() == 21
+
+
+def test_a_date_lost_from_the_rollup_is_recomputed(spark, installation, make_readings):
+    for n in range(2):
+        pipeline.process_batch(make_readings({}), n, installation, micro_batch=True)
+    empty = warehouse.read_table(spark, installation.star, "fact_resumen_diario").where("false")
+    empty.write.mode("overwrite").partitionBy("fecha").parquet(
+        f"{installation.star}/fact_resumen_diario"
+    )
+    pipeline.process_batch(make_readings({}), 2, installation, micro_batch=True)
+    assert daily_is_that_of_the_facts(spark, installation)
+
+
 def test_all_failed_batch_is_stored_raw_only(spark, installation, tmp_path):
     bad = [message(i, kwh_intervalo=None, estado="bateria_baja") for i in range(3)]
     source = drop_files(tmp_path / "in", [bad, [message(3)]])
