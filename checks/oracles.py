@@ -234,7 +234,7 @@ _PERIODS = {
 }
 
 BODIES: dict[str, str] = {
-    "decode_readings_json": """SELECT TRUE AS valida, CAST("timestamp" AS VARCHAR) AS "timestamp", id_medidor,
+    "decode_readings": """SELECT TRUE AS valida, CAST("timestamp" AS VARCHAR) AS "timestamp", id_medidor,
         tarifa, ciudad, coalesce(kwh_intervalo, 0) AS kwh_intervalo,
         coalesce(voltaje, 0) AS voltaje, CAST(es_pico AS BIGINT) AS es_pico, estado FROM readings""",
     "write_raw": """SELECT estado, count(*) AS filas, count(kwh_intervalo) AS con_medida
@@ -258,9 +258,27 @@ BODIES: dict[str, str] = {
     "seed_dims": """SELECT h.hogar_key, h.id_hogar, h.id_medidor, h.ciudad,
         CAST(b.region_key AS BIGINT) AS region_key, b.tarifa AS region,
         CAST(b.p1 AS DOUBLE) AS tarifa_kwh FROM hogar h JOIN book b ON b.tarifa = h.tarifa""",
-    "query_views": f"""SELECT v.region, count(*) AS dias, max(v.num_lecturas) AS max_lecturas,
+    "query": f"""SELECT v.region, count(*) AS dias, max(v.num_lecturas) AS max_lecturas,
         CAST(max(b.p1) AS DOUBLE) AS tarifa_kwh FROM ({_BY_REGION}) v
         JOIN book b ON b.tarifa = v.region WHERE v.fecha >= '2024-01-10' GROUP BY v.region""",
+    "register_views": f"""SELECT 'fact_consumo' AS tabla, count(*) AS filas FROM fact
+        UNION ALL SELECT 'dim_tiempo', count(*) FROM tiempo
+        UNION ALL SELECT 'dim_region', count(*) FROM book
+        UNION ALL SELECT 'dim_hogar', count(*) FROM hogar
+        UNION ALL SELECT 'fact_resumen_diario', count(*) FROM ({_DAILY})
+        UNION ALL SELECT 'v_consumo_por_region', count(*) FROM ({_BY_REGION})
+        UNION ALL SELECT 'v_consumo_por_hogar', count(DISTINCT hogar_key) FROM fact
+        UNION ALL SELECT 'v_perfil_horario', count(DISTINCT hora) FROM fact
+        UNION ALL SELECT 'v_picos', count(*) FROM fact WHERE es_pico
+        UNION ALL SELECT 'v_resumen_general', 1""",
+    "create_star": """SELECT h.tarifa AS region, b.tarifa AS tarifa_ciudad, count(*) AS hogares,
+        count(DISTINCT h.id_medidor) AS medidores
+        FROM hogar h JOIN book b ON b.ciudad = h.ciudad GROUP BY h.tarifa, b.tarifa""",
+    "transform": """SELECT f.event_id, CAST(f."timestamp" AS VARCHAR) AS "timestamp",
+        hour(f."timestamp") AS hora, dayname(f."timestamp") AS dia_semana,
+        isodow(f."timestamp") >= 6 AS es_finde, f.es_pico,
+        CAST(round(f.d * b.p1, 6) AS DOUBLE) AS costo_mxn
+        FROM flagged f JOIN book b ON b.tarifa = f.tarifa""",
     "to_records": f"""SELECT '{{"region":"' || region || '","fecha":"' || fecha ||
         '","num_lecturas":' || num_lecturas || ',"num_picos":' || num_picos || '}}' AS registro
         FROM ({_BY_REGION})""",
@@ -278,7 +296,7 @@ BODIES: dict[str, str] = {
     "period_day": _period(_DAY),
     "period_week": _period(_WEEK),
     "period_month": _period(_MONTH),
-    "period_filter_malformed": _period("TRUE"),
+    "period_filter": _period("TRUE"),
     "only_peaks": """SELECT hogar_key, CAST(timestamp_real AS VARCHAR) AS timestamp_real,
         kwh_intervalo FROM fact WHERE es_pico""",
     "touched_dates": """SELECT CAST(fecha AS VARCHAR) AS fecha, count(*) AS filas FROM fact
@@ -411,7 +429,7 @@ BODIES: dict[str, str] = {
     "ranked_homes": _homes(_MONTH),
     "report_peaks": _peaks(_WEEK),
     "report_profile": _PROFILE,
-    "period_report_parts": f"""SELECT 'resumen' AS parte, count(*) AS filas
+    "period_report": f"""SELECT 'resumen' AS parte, count(*) AS filas
           FROM ({_preview(_DAY, '')})
         UNION ALL SELECT 'por_region', count(DISTINCT region) FROM fact WHERE {_DAY}
         UNION ALL SELECT 'por_hogar', count(*) FROM ({_homes(_DAY)})
@@ -454,8 +472,8 @@ BODIES: dict[str, str] = {
           AS DOUBLE) AS desv_w,
         {_round('CAST(sum(CAST(potencia_w AS DECIMAL(18,6))) AS DOUBLE) / count(*)', 3)}
           AS observada_w FROM fact GROUP BY hora""",
-    "stream_pipeline": _BY_REGION,
-    "stream_totals": f"SELECT count(*) AS total, {_round('sum(d)', 4)} AS kwh FROM fact",
+    "process_batch": _BY_REGION,
+    "running_totals": f"SELECT count(*) AS total, {_round('sum(d)', 4)} AS kwh FROM fact",
 }
 for _kind, _name in (("hora", "hour"), ("dia", "day"), ("semana", "week"), ("mes", "month")):
     BODIES[f"period_list_{_name}"] = f"SELECT value, label FROM ({_PERIODS[_kind]})"

@@ -24,14 +24,18 @@ REGISTERED: dict[str, Query] = {}
 HOUR, DAY, WEEK, MONTH = "2024-01-05 9", "2024-01-05", "2024-W02", "2024-01"
 
 
-def register(function: Query) -> Query:
+def register(function: Query, name: str | None = None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return portable(function(spark, sf_dir))
 
-    REGISTERED[function.__name__] = run
+    REGISTERED[name or function.__name__] = run
     return run
 
 
+def named(name: str) -> Callable[[Query], Query]:
+    return lambda function: register(function, name)
+
+
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.clean_readings(readings(spark, sf_dir))
 
@@ -39,7 +43,7 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources and sinks ------------------------------------------------------------------------
 
 
-@register
+@named("decode_readings")
 def decode_readings_json(spark, sf_dir):
     messages = encode_readings(readings(spark, sf_dir))
     return decode_readings(messages).select(
@@ -108,7 +112,7 @@ def seed_dims(spark, sf_dir):
     return hogar.join(region, "region_key")
 
 
-@register
+@named("query")
 def query_views(spark, sf_dir):
     warehouse.register_views(spark, star(spark, sf_dir))
     return warehouse.query(
@@ -120,6 +124,31 @@ def query_views(spark, sf_dir):
     )
 
 
+@register
+def register_views(spark, sf_dir):
+    """Every table and view is there by its name: rows in each."""
+    warehouse.register_views(spark, star(spark, sf_dir))
+    names = (
+        "fact_consumo", "dim_tiempo", "dim_region", "dim_hogar", "fact_resumen_diario",
+        "v_consumo_por_region", "v_consumo_por_hogar", "v_perfil_horario", "v_picos",
+        "v_resumen_general",
+    )
+    return warehouse.query(spark, " UNION ALL ".join(
+        f"SELECT '{name}' AS tabla, COUNT(*) AS filas FROM {name}" for name in names
+    ))
+
+
+@register
+def create_star(spark, sf_dir):
+    """Seeded rows by tariff: homes and meters of the registry."""
+    homes = table(spark, sf_dir, "dim_hogar")
+    region = table(spark, sf_dir, "dim_region")
+    lookup = table(spark, sf_dir, "hogar_tarifa").select("hogar_key", "tarifa_ciudad")
+    return homes.join(region, "region_key").join(lookup, "hogar_key").groupBy(
+        "region", "tarifa_ciudad"
+    ).agg(F.count("*").alias("hogares"), F.count_distinct("id_medidor").alias("medidores"))
+
+
 @register
 def to_records(spark, sf_dir):
     rows = marts.v_consumo_por_region(star(spark, sf_dir)).select(
@@ -173,11 +202,9 @@ for _name, _kind, _value in (
     ("period_day", "dia", DAY),
     ("period_week", "semana", WEEK),
     ("period_month", "mes", MONTH),
-    ("period_filter_malformed", "semana", "2024-W"),
+    ("period_filter", "semana", "2024-W"),
 ):
-    _query = _period(_kind, _value)
-    _query.__name__ = _name
-    register(_query)
+    register(_period(_kind, _value), _name)
 
 
 @register
@@ -255,6 +282,13 @@ def flag_peaks_by_home(spark, sf_dir):
     return peaks.flag_peaks(clean(spark, sf_dir), ["id_hogar"]).select("event_id", "es_pico")
 
 
+@register
+def transform(spark, sf_dir):
+    return features.transform(readings(spark, sf_dir)).select(
+        "event_id", "timestamp", "hora", "dia_semana", "es_finde", "es_pico", "costo_mxn"
+    )
+
+
 @register
 def cost_etl(spark, sf_dir):
     return tariffs.cost_etl(irregular(clean(spark, sf_dir))).select("event_id", "costo_mxn")
@@ -461,8 +495,7 @@ def _mart(function: Callable, name: str | None = None) -> None:
     def run(spark, sf_dir):
         return function(star(spark, sf_dir))
 
-    run.__name__ = name or function.__name__
-    register(run)
+    register(run, name or function.__name__)
 
 
 for _function in (
@@ -484,8 +517,7 @@ def _report(function: Callable, kind: str, value: str, name: str) -> None:
     def run(spark, sf_dir):
         return function(star(spark, sf_dir), kind, value)
 
-    run.__name__ = name
-    register(run)
+    register(run, name)
 
 
 for _function, _name in (
@@ -510,7 +542,7 @@ for _function, _kind, _value, _name in (
     _report(_function, _kind, _value, _name)
 
 
-@register
+@named("period_report")
 def period_report_parts(spark, sf_dir):
     """Rows in each part of a day's report."""
     parts = report.period_report(star(spark, sf_dir), "dia", DAY)
@@ -566,8 +598,7 @@ for _function in (
         def run(spark, sf_dir):
             return function(star(spark, sf_dir).tiempo)
 
-        run.__name__ = function.__name__
-        register(run)
+        register(run, function.__name__)
 
     _listing(_function)
 
@@ -666,7 +697,7 @@ def expected_load(spark, sf_dir):
 # --- streaming --------------------------------------------------------------------------------
 
 
-@register
+@named("process_batch")
 def stream_pipeline(spark, sf_dir):
     """The events as a JSON stream through the whole ingestion, read back from the star."""
     paths = new_root(spark, sf_dir)
@@ -682,7 +713,7 @@ def stream_pipeline(spark, sf_dir):
     return marts.v_consumo_por_region(result)
 
 
-@register
+@named("running_totals")
 def stream_totals(spark, sf_dir):
     """Running totals as kept by the daily rollup."""
     return pipeline.running_totals(spark, loaded(spark, sf_dir))

@@ -122,7 +122,7 @@ def month_to_date(
     """
     keyed = df.withColumns({
         "_cuarto": F.window(F.col(ts), slice_length)["start"],
-        "_hogar": F.coalesce(F.col(home), F.lit("")),
+        "_hogar": F.coalesce(F.col(home).cast("string"), F.lit("")),
         "_kwh": to_micro(F.col(kwh)),
     })
     quarters = keyed.groupBy("_hogar", "_cuarto").agg(F.sum("_kwh").alias("_total"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import sys
 from datetime import datetime
 
@@ -56,13 +57,23 @@ def make_readings(spark):
     return make
 
 
-@pytest.fixture
-def installation(spark, tmp_path):
-    """An empty star with the default meters."""
+@pytest.fixture(scope="session")
+def empty_site(spark, tmp_path_factory):
+    """An empty star with the default meters, made once."""
     from meterlake.operators.books import meter_registry
     from meterlake.sources import warehouse
     from meterlake.streaming.pipeline import Paths
 
-    paths = Paths(str(tmp_path / "site"))
+    paths = Paths(str(tmp_path_factory.mktemp("template") / "site"))
     warehouse.create_star(spark, paths.star, meter_registry(spark))
     return paths
+
+
+@pytest.fixture
+def installation(empty_site, tmp_path):
+    """A copy of the empty star for one test."""
+    from meterlake.streaming.pipeline import Paths
+
+    paths = Paths(str(tmp_path / "site"))
+    shutil.copytree(empty_site.root, paths.root)
+    return paths

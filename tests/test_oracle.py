@@ -8,6 +8,10 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = "/root/testdata/sf0.01"
+NOT_IN_PLANS = (
+    "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct",
+    "BroadcastNestedLoopJoin", "Scan ExistingRDD",
+)
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +26,8 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert [word for word in NOT_IN_PLANS if word in plan] == []
     assert compare.difference(df, con, entry.oracle_sql()[name]) is None
 
 

@@ -6,7 +6,6 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from checks import stage
 from meterlake.plans import marts, report
 
@@ -56,11 +55,3 @@ def test_top_lists_do_not_sort_everything(star):
                report.report_homes(star, "mes", "2024-01"),
                report.report_peaks(star, "mes", "2024-01")):
         assert "TakeOrderedAndProject" in plan(df)
-
-
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_python_no_nested_loop(spark, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
-    for word in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct",
-                 "BroadcastNestedLoopJoin", "Scan ExistingRDD"):
-        assert word not in text, word
