@@ -135,29 +135,36 @@ def home_lookup(
 
 def resolve_keys(
     clean: DataFrame,
-    tiempo: DataFrame,
+    tiempo: DataFrame | None,
     region: DataFrame,
     homes: DataFrame,
     registry: DataFrame,
 ) -> DataFrame:
-    """Add time, home and region keys and the city tariff; a miss gives NULL and keeps the row."""
+    """Add time, home and region keys and the city tariff; a miss gives NULL and keeps the row.
+
+    ``tiempo=None`` takes the time key as computed: for readings whose quarter hours were just
+    merged into the dimension.
+    """
     resolved = resolve_home_tariff(clean, registry).withColumn(
         "_tk", cal.tiempo_key(cal.bucket_15min(F.col("timestamp")))
     )
-    homes = homes.withColumnRenamed("id_hogar", "_hogar")
-    times = tiempo.select(F.col("tiempo_key"), F.col("tiempo_key").alias("_t"))
+    if tiempo is None:
+        timed = resolved.withColumnRenamed("_tk", "tiempo_key")
+    else:
+        times = tiempo.select("tiempo_key")
+        timed = resolved.join(times, F.col("_tk") == F.col("tiempo_key"), "left").drop("_tk")
     regions = region.select("region_key", F.col("region").alias("_region"))
+    homes = homes.withColumnRenamed("id_hogar", "_hogar")
     return (
-        resolved.join(times, F.col("_tk") == F.col("_t"), "left")
-        .join(regions, F.col("tarifa_resuelta") == F.col("_region"), "left")
+        timed.join(regions, F.col("tarifa_resuelta") == F.col("_region"), "left")
         .join(homes, F.col("hogar_resuelto") == F.col("_hogar"), "left")
-        .drop("_tk", "_t", "_region", "_hogar")
+        .drop("_region", "_hogar")
     )
 
 
 def build_fact(
     clean: DataFrame,
-    tiempo: DataFrame,
+    tiempo: DataFrame | None,
     region: DataFrame,
     homes: DataFrame,
     registry: DataFrame,

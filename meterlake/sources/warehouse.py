@@ -78,8 +78,13 @@ def _add_rows(spark: SparkSession, path: str, table: str, new: Callable) -> Data
     """Append ``new(existing)`` to a table, creating it if needed; returns the table as it is now."""
     existing, found = _read_or_empty(spark, path, table)
     rows = new(existing).select(*TABLES[table].names)
-    if not found or not rows.isEmpty():
-        rows.write.mode("append").parquet(f"{path}/{table}")
+    if not found:
+        rows.write.parquet(f"{path}/{table}")
+    else:
+        rows.persist()
+        if not rows.isEmpty():
+            rows.write.mode("append").parquet(f"{path}/{table}")
+        rows.unpersist()
     return read_table(spark, path, table)
 
 
@@ -154,6 +159,8 @@ def load_fact(
 ) -> None:
     """Append the facts of a batch, replacing those of an earlier attempt.
 
+    The batch's quarter hours must be in the time dimension already (``merge_dim_tiempo``).
+
     ``small_batch`` (micro-batches) first cuts the home lookup and the registry to the ids that
     occur in the batch, so neither large table is shuffled for every batch.
     """
@@ -166,7 +173,7 @@ def load_fact(
         homes = homes.join(seen, "id_hogar", "left_semi")
     fact = ops.build_fact(
         clean,
-        read_table(spark, path, "dim_tiempo"),
+        None,
         read_table(spark, path, "dim_region"),
         homes,
         meters,
