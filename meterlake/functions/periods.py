@@ -111,8 +111,11 @@ def _integer(text: str) -> int:
 
 
 def _on_day(text: str, fecha: str) -> Column:
+    parts = text.split("-")
+    if len(parts) != 3 or not all(part.isdigit() for part in parts):
+        return F.lit(False)
     try:
-        return F.col(fecha) == F.lit(date.fromisoformat(text))
+        return F.col(fecha) == F.lit(date(*map(int, parts)))
     except ValueError:
         return F.lit(False)
 

@@ -61,6 +61,21 @@ def dim_region(spark: SparkSession, books: Sequence[Tariff] = TARIFFS) -> DataFr
     )
 
 
+def new_dim_region(
+    spark: SparkSession, books: Sequence[Tariff], existing: DataFrame
+) -> DataFrame:
+    """Tariffs of the book that the dimension lacks; keys go on after the highest one there.
+
+    The window sees a few rows of the book.
+    """
+    absent = dim_region(spark, books).join(existing.select("region"), "region", "left_anti")
+    highest = existing.agg(F.coalesce(F.max("region_key"), F.lit(0))).scalar()
+    in_book_order = F.row_number().over(Window.orderBy("region_key"))
+    return absent.select(
+        (highest + in_book_order).alias("region_key"), "region", "tarifa_kwh"
+    )
+
+
 def _key_bucket(natural_key: Column) -> Column:
     return F.conv(F.substring(F.md5(natural_key), 1, 3), 16, 10).cast("long")
 

@@ -117,13 +117,18 @@ def report_profile(star: Star, kind: str, value: str, on_invalid: str = "all") -
 def period_report(
     star: Star, kind: str, value: str, on_invalid: str = "all"
 ) -> dict[str, DataFrame]:
-    """The five parts of a report. Each reads only the partitions and columns it needs."""
+    """The five parts of a report. Each reads only the partitions and columns it needs.
+
+    The hourly profile is left empty when it would have a single row; its window sees at most 24.
+    """
+    profile = report_profile(star, kind, value, on_invalid)
+    rows = F.count("*").over(Window.partitionBy())
     return {
         "resumen": preview_resumen(star, kind, value, on_invalid),
         "por_region": report_region(star, kind, value, on_invalid),
         "por_hogar": ranked_homes(star, kind, value, on_invalid),
         "picos": report_peaks(star, kind, value, on_invalid),
-        "perfil": report_profile(star, kind, value, on_invalid),
+        "perfil": profile.withColumn("_n", rows).where("_n > 1").drop("_n").orderBy("hora"),
     }
 
 

@@ -102,7 +102,7 @@ def create_star(
 
     region = _add_rows(
         spark, path, "dim_region",
-        lambda known: ops.merge_new_keys(known, ops.dim_region(spark, books), "region"),
+        lambda known: ops.new_dim_region(spark, books, known),
     )
     meters = _add_rows(
         spark, path, "medidores",

@@ -62,13 +62,15 @@ def process_batch(
     peak_scope: Sequence[str] | None = None,
     run: str = "0",
     micro_batch: bool = False,
+    unique: Sequence[str] = (),
 ) -> dict[str, int]:
     """Body of one micro-batch, also usable on a batch DataFrame; returns its counts.
 
     The batch is read from its source once, into the raw lake. Messages that could not be decoded
     stay there with their text (``read_quarantine``). ``run`` separates the batches of a replay with
     a new checkpoint from earlier ones. ``micro_batch`` says that batches of a run come in numeric
-    order, each small beside the registry and the day.
+    order, each small beside the registry and the day. ``unique`` names columns, such as meter and
+    timestamp, of which a batch keeps one reading each; by default repeated readings are kept.
     """
     spark = batch.sparkSession
     batch_name = f"{run}-{batch_id}"
@@ -85,6 +87,8 @@ def process_batch(
     received = raw.count()
     if CORRUPT in raw.columns:
         raw = good_messages(raw)
+    if unique:
+        raw = raw.dropDuplicates(list(unique))
     clean = transform(raw, books, peak_scope)
     lake.write_processed(clean, paths.processed, batch_name)
     kept, peaks = count_written(spark, paths, clean, batch_name)
@@ -130,6 +134,7 @@ def start_pipeline(
     available_now: bool = False,
     processing_time: str | None = None,
     micro_batch: bool = True,
+    unique: Sequence[str] = (),
     on_batch: Callable[[int, dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
     """Start the ingestion of a reading stream into an existing star.
@@ -141,7 +146,7 @@ def start_pipeline(
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        counts = process_batch(batch, batch_id, paths, books, peak_scope, run, micro_batch)
+        counts = process_batch(batch, batch_id, paths, books, peak_scope, run, micro_batch, unique)
         if on_batch is not None:
             on_batch(batch_id, counts)
 

@@ -31,6 +31,29 @@ def test_query(spark, con, name):
     assert compare.difference(df, con, entry.oracle_sql()[name]) is None
 
 
+@pytest.mark.parametrize("name", [
+    "resolve_keys", "cost_dwh", "flag_peaks_by_home", "tier_range_join", "v_picos", "report_homes",
+    "daily_consumo_por_hogar",
+])
+def test_without_any_automatic_broadcast(spark, con, name):
+    """As when a dimension outgrows the broadcast limit; small skew limits force split joins."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = entry.queries()[name](spark, SF_DIR)
+        assert compare.difference(df, con, entry.oracle_sql()[name]) is None
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 5
 

@@ -34,6 +34,7 @@ def test_kinds(days):
     assert chosen(days, "hora", "2024-01-05 9") == [("2024-01-05", 9)]
     assert chosen(days, "hora", " 2024-01-05 09 ") == [("2024-01-05", 9)]
     assert chosen(days, "dia", "2024-01-05 rest") == [("2024-01-05", 9), ("2024-01-05", 23)]
+    assert chosen(days, "hora", "2024-1-5 23") == [("2024-01-05", 23)]
     assert chosen(days, "mes", "2024-12") == [("2024-12-30", 0)]
     assert chosen(days, "mes", "2024-1") == [("2024-01-05", 9), ("2024-01-05", 23)]
 
@@ -58,7 +59,7 @@ def test_malformed_selects_everything_or_raises(days, kind, value):
 
 
 @pytest.mark.parametrize("kind, value", [
-    ("dia", "2024-13-45"), ("dia", "2024-01-05'; --"), ("hora", "2024-02-30 1"),
+    ("dia", "2024-13-45"), ("dia", "2024-W01-5"), ("dia", "2024-01-05'; --"), ("hora", "2024-02-30 1"),
     ("semana", "abcd-W01"), ("mes", "2024 OR 1=1-1"),
 ])
 def test_what_is_no_date_selects_nothing(days, kind, value):

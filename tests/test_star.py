@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from meterlake.fixed_values import METERS, Meter
+from meterlake.fixed_values import METERS, TARIFFS, Meter
 from meterlake.operators import star as ops
 from meterlake.operators.books import meter_registry
 from meterlake.operators.features import transform
@@ -101,6 +101,21 @@ def test_home_keys_survive_growth(spark, installation):
     assert ops.pk_duplicates(hogar, "hogar_key").isEmpty()
 
 
+def test_region_keys_survive_a_longer_book(spark, installation):
+    book = (TARIFFS[0], TARIFFS[0]._replace(clave="1A", ciudades=()), *TARIFFS[1:],
+            TARIFFS[0]._replace(clave="2", ciudades=()))
+    warehouse.create_star(spark, installation.star, meter_registry(spark), book)
+    region = warehouse.open_star(spark, installation.star).region
+    assert [(r.region_key, r.region) for r in region.orderBy("region_key").collect()] == [
+        (1, "1"), (2, "1B"), (3, "1E"), (4, "1F"), (5, "1C"), (6, "1A"), (7, "2"),
+    ]
+
+
+def test_profile_of_one_hour_is_left_out(odd_star):
+    assert report.period_report(odd_star, "dia", "2024-01-05")["perfil"].count() == 0
+    assert report.report_profile(odd_star, "dia", "2024-01-05").count() == 1
+
+
 def test_first_row_of_a_key_wins(spark):
     registry = meter_registry(spark, [
         Meter("MED-2", "HOG-A", "Mérida", "1F", 1.0), Meter("MED-1", "HOG-A", "Veracruz", "1C", 1.0),

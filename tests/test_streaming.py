@@ -193,12 +193,11 @@ def test_layout_of_the_lakes(spark, installation, make_readings):
     assert not {"year", "month", "batch_id"} & set(files.columns)
 
 
-def test_a_duplicated_reading_can_be_dropped_by_the_caller(spark, installation, make_readings):
+def test_repeated_readings_are_kept_unless_asked(installation, make_readings):
     df = make_readings({}, {})
-    counts = pipeline.process_batch(
-        df.dropDuplicates(["id_medidor", "timestamp"]), 0, installation
-    )
-    assert counts["filas_limpias"] == 1
+    key = ("id_medidor", "timestamp")
+    assert pipeline.process_batch(df, 0, installation)["filas_limpias"] == 2
+    assert pipeline.process_batch(df, 1, installation, unique=key)["filas_limpias"] == 1
 
 
 def test_encoding_is_the_message_form(make_readings):
