@@ -32,18 +32,23 @@ def new_root(spark: SparkSession, sf_dir: str) -> Paths:
     return Paths(f"{shared_dir(spark)}/meterlake/{app}/{name}-{uuid.uuid4().hex[:8]}")
 
 
+def load(spark: SparkSession, sf_dir: str) -> Paths:
+    """Lake and star of these tables in a new root, through the ingestion path."""
+    paths = new_root(spark, sf_dir)
+    warehouse.create_star(spark, paths.star, registry(spark, sf_dir))
+    process_batch(readings(spark, sf_dir), 0, paths)
+    return paths
+
+
 def loaded(spark: SparkSession, sf_dir: str) -> Paths:
-    """Lake and star of these tables, loaded once per application through the ingestion path.
+    """Lake and star of these tables, loaded once per application.
 
     Queries over the star then read stored tables, as they would in use, instead of repeating the
     ingestion of all history in each of them.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _loaded:
-        paths = new_root(spark, sf_dir)
-        warehouse.create_star(spark, paths.star, registry(spark, sf_dir))
-        process_batch(readings(spark, sf_dir), 0, paths)
-        _loaded[key] = paths
+        _loaded[key] = load(spark, sf_dir)
     return _loaded[key]
 
 
