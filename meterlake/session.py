@@ -21,6 +21,9 @@ def builder(app_name: str = "meterlake") -> SparkSession.Builder:
     )
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can see, as named by the session.
 
@@ -31,9 +34,10 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="meterlake-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = tempfile.mkdtemp(prefix="meterlake-")
+    return _own_dirs[app]
 
 
 def constant_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
