@@ -78,13 +78,9 @@ def _add_rows(spark: SparkSession, path: str, table: str, new: Callable) -> Data
     """Append ``new(existing)`` to a table, creating it if needed; returns the table as it is now."""
     existing, found = _read_or_empty(spark, path, table)
     rows = new(existing).select(*TABLES[table].names)
-    if not found:
-        rows.write.parquet(f"{path}/{table}")
-    else:
-        rows.persist()
-        if not rows.isEmpty():
-            rows.write.mode("append").parquet(f"{path}/{table}")
-        rows.unpersist()
+    # Not cached in between: a cached plan keeps all shuffle partitions, one small file each.
+    if not found or not rows.isEmpty():
+        rows.write.mode("append").parquet(f"{path}/{table}")
     return read_table(spark, path, table)
 
 
