@@ -1,7 +1,7 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-The terms are words that labelled examples associate with toxicity, found by exact binomial tests with a
-bounded false discovery rate; their document frequencies count all documents. Examples are indexed in
+The terms are words and beginnings of words that labelled examples associate with toxicity, found by exact
+binomial tests with a bounded false discovery rate; their document frequencies count all documents. Examples are indexed in
 blocks with the largest value of each term, so a search skips blocks that can't reach its k-th best. The
 neighbours vote by similarity; votes are calibrated on examples that leave themselves out.
 """
@@ -25,13 +25,37 @@ from meterlake.llm.common import documents, labels, remainder
 ROWS = 20_000
 NEIGHBOURS = 15
 BLOCK = 128
-RATE = 0.05
+RATE = 0.01
+BOUND = 1e-4
 PRIOR = 1.0
-TERM = re.compile(r"\w+")
+STEMS = (3, 4, 5, 6)
+WORD = re.compile(r"\w+")
+
+
+def features(word: str) -> list[str]:
+    """The word and its beginnings, which end in a star."""
+    return [word, *[word[:n] + "*" for n in STEMS if len(word) >= n]]
 
 
 def terms(text: str | None) -> list[str]:
-    return TERM.findall((text or "").lower())
+    return [f for word in WORD.findall((text or "").lower()) for f in features(word)]
+
+
+class Vocabulary:
+    """Terms and their numbers; most words are told by their first letters to be none of them."""
+
+    def __init__(self, terms_: list[str]):
+        self.number = {t: i for i, t in enumerate(terms_)}
+        self.gate = {t.rstrip("*")[: STEMS[0]] for t in terms_}
+
+    def counts(self, text: str | None) -> dict[int, int]:
+        out: dict[int, int] = defaultdict(int)
+        gate, number, first = self.gate, self.number, STEMS[0]
+        for word in [w for w in WORD.findall((text or "").lower()) if w[:first] in gate]:
+            for f in features(word):
+                if f in number:
+                    out[number[f]] += 1
+        return dict(out)
 
 
 def tail(k: int, n: int, p: float) -> float:
@@ -49,7 +73,10 @@ def tail(k: int, n: int, p: float) -> float:
 
 
 def telling_terms(examples: DataFrame, rate: float = RATE) -> list[str]:
-    """Words whose examples are toxic more often than examples are, at false discovery rate ``rate``."""
+    """Terms whose examples are toxic more often than examples are, at false discovery rate ``rate``.
+
+    Of terms that contain each other only the one with the smallest probability counts.
+    """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -69,24 +96,32 @@ def telling_terms(examples: DataFrame, rate: float = RATE) -> list[str]:
     # The test statistic's bound (Chernoff) is a column, so the driver sees near-significant terms only.
     share = F.col("k") / F.col("n")
     gain = F.col("n") * (share * F.log(share / base) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0))
-    counts = counts.withColumn("near", (share > base) & (gain > math.log(100)))
+    counts = counts.withColumn("near", (share > base) & (gain > -math.log(BOUND)))
     row = counts.agg(F.count("*").alias("m"), F.collect_list(F.when(F.col("near"), F.struct("term", "n", "k"))).alias("near")).first()
     ranked = sorted((tail(r["k"], r["n"], base), r["term"]) for r in row["near"])
     passed = [i for i, (p, _) in enumerate(ranked, 1) if p <= rate * i / row["m"]]
-    return sorted(t for _, t in ranked[: max(passed, default=0)])
+    chosen: set[str] = set()
+    longer: set[str] = set()
+    for _, term in ranked[: max(passed, default=0)]:
+        word = term.rstrip("*")
+        own = {word[:n] + "*" for n in STEMS if len(word) >= n} | {term}
+        if not own & chosen and term not in longer:
+            chosen.add(term)
+            longer |= own
+    return sorted(chosen)
 
 
 def document_frequencies(docs: DataFrame, vocabulary: list[str], text: str = "text") -> tuple[int, np.ndarray]:
     """(number of all documents, documents that have each term)."""
-    number = {t: i for i, t in enumerate(vocabulary)}
+    words = Vocabulary(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, found = 0, np.zeros(len(number), np.int64)
+        n, found = 0, np.zeros(len(vocabulary), np.int64)
         for batch in batches:
             for text_ in batch.column(0).to_pylist():
                 n += 1
-                for term in number.keys() & terms(text_):
-                    found[number[term]] += 1
+                for term in words.counts(text_):
+                    found[term] += 1
         own = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *own.tolist()], pa.int32()), pa.array([n, *found[own].tolist()], pa.int64())], ["term", "n"])
 
@@ -105,13 +140,14 @@ class Index:
 
     def __init__(self, vocabulary: list[str], idf: np.ndarray, examples: list[tuple[int, dict[int, int], int]]):
         """``examples``: (id, count of each term number, label), of which those without terms give the prior."""
-        self.number = {t: i for i, t in enumerate(vocabulary)}
+        self.words = Vocabulary(vocabulary)
         self.vocabulary, self.idf = vocabulary, idf
         rest = [x for x in examples if not x[1]]
         own = sorted((x for x in examples if x[1]), key=lambda x: (sorted(x[1]), x[0]))
         self.prior = (sum(x[2] for x in rest) + 0.5) / (len(rest) + 1) if rest else (sum(x[2] for x in own) + 0.5) / (len(own) + 1)
         self.ids = np.array([x[0] for x in own], dtype=np.int64)
         self.labels = np.array([x[2] for x in own], dtype=np.int64)
+        self.found = [x[1] for x in own]
         self.rows = np.zeros((len(own), len(vocabulary)), dtype=np.float32)
         for i, (_, counts, _) in enumerate(own):
             for t, v in self.unit(counts).items():
@@ -120,14 +156,6 @@ class Index:
         self.most = np.array([self.rows[b * BLOCK:(b + 1) * BLOCK].max(axis=0) for b in range(n)], dtype=np.float32).reshape(n, len(vocabulary))
         self.slope, self.shift = 1.0, 0.0
 
-    def counts(self, text: str | None) -> dict[int, int]:
-        out: dict[int, int] = defaultdict(int)
-        number = self.number
-        for term in terms(text):
-            if term in number:
-                out[number[term]] += 1
-        return dict(out)
-
     def unit(self, counts: dict[int, int]) -> dict[int, float]:
         value = {t: (1 + math.log(c)) * self.idf[t] for t, c in counts.items()}
         norm = math.sqrt(sum(v * v for v in value.values()))
@@ -159,7 +187,7 @@ class Index:
         """Fit slope and shift of the votes' log odds to the labels, every example without itself."""
         odds = []
         for i in range(len(self.ids)):
-            v = self.vote(self.nearest({int(t): 1 for t in np.flatnonzero(self.rows[i])}, without=int(self.ids[i])))
+            v = self.vote(self.nearest(self.found[i], without=int(self.ids[i])))
             odds.append(math.log(v / (1 - v)))
         if not odds or len(set(self.labels.tolist())) < 2:
             return
@@ -177,7 +205,7 @@ class Index:
 
     def score(self, text: str | None) -> tuple[float, list[int], list[str]]:
         """(calibrated score, ids of the neighbours, terms of the text that count)."""
-        counts = self.counts(text)
+        counts = self.words.counts(text)
         near = self.nearest(counts)
         v = self.vote(near)
         p = 1 / (1 + math.exp(-(self.slope * math.log(v / (1 - v)) + self.shift))) if near else v
@@ -188,19 +216,13 @@ def fit(docs: DataFrame, marks: DataFrame, rows: int = ROWS) -> Index:
     """The index of about ``rows`` labelled examples at most; document frequencies are those of all ``docs``."""
     examples = labelled(docs, marks, "toxic", 5, 0, rows)
     vocabulary = telling_terms(examples)
-    number = {t: i for i, t in enumerate(vocabulary)}
+    words = Vocabulary(vocabulary)
     total, df = document_frequencies(docs, vocabulary)
     idf = np.log((1 + total) / (1 + df)) + 1
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for text in batch.column(1).to_pylist():
-                own: dict[int, int] = defaultdict(int)
-                for term in terms(text):
-                    if term in number:
-                        own[number[term]] += 1
-                found.append(sorted(own.items()))
+            found = [sorted(words.counts(text).items()) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(2),
                 pa.array([[t for t, _ in x] for x in found], pa.list_(pa.int32())), pa.array([[c for _, c in x] for x in found], pa.list_(pa.int32())),
