@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -236,12 +237,11 @@ def fit(docs: DataFrame, marks: DataFrame, rows: int = ROWS) -> Index:
 
 def scored(text: Column, index: Index, spark: SparkSession) -> Column:
     """Struct of score, neighbours and evidence of each whole text; null counts as empty."""
-    shared = spark.sparkContext.broadcast(index.__dict__)
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(index))
 
     @F.pandas_udf("score double, neighbours array<long>, evidence array<string>")
     def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = Index.__new__(Index)
-        own.__dict__.update(shared.value)
+        own = cloudpickle.loads(shared.value)
         for texts in batches:
             rows = [own.score(t) for t in texts]
             yield pd.DataFrame(rows, columns=["score", "neighbours", "evidence"])
