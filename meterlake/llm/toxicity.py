@@ -29,6 +29,7 @@ BLOCK = 128
 RATE = 0.01
 BOUND = 1e-4
 PRIOR = 1.0
+SEEN = 50_000
 STEMS = (3, 4, 5, 6)
 WORD = re.compile(r"\w+")
 
@@ -76,7 +77,7 @@ def tail(k: int, n: int, p: float) -> float:
 def telling_terms(examples: DataFrame, rate: float = RATE) -> list[str]:
     """Terms whose examples are toxic more often than examples are, at false discovery rate ``rate``.
 
-    Of terms that contain each other only the one with the smallest probability counts.
+    Of terms that contain each other only the one with the larger share of toxic examples counts.
     """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,11 +100,11 @@ def telling_terms(examples: DataFrame, rate: float = RATE) -> list[str]:
     gain = F.col("n") * (share * F.log(share / base) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0))
     counts = counts.withColumn("near", (share > base) & (gain > -math.log(BOUND)))
     row = counts.agg(F.count("*").alias("m"), F.collect_list(F.when(F.col("near"), F.struct("term", "n", "k"))).alias("near")).first()
-    ranked = sorted((tail(r["k"], r["n"], base), r["term"]) for r in row["near"])
-    passed = [i for i, (p, _) in enumerate(ranked, 1) if p <= rate * i / row["m"]]
+    ranked = sorted((tail(r["k"], r["n"], base), (r["k"] + base) / (r["n"] + 1), r["term"]) for r in row["near"])
+    passed = max((i for i, (p, _, _) in enumerate(ranked, 1) if p <= rate * i / row["m"]), default=0)
     chosen: set[str] = set()
     longer: set[str] = set()
-    for _, term in ranked[: max(passed, default=0)]:
+    for _, _, term in sorted(ranked[:passed], key=lambda x: (-x[1], len(x[2]), x[2])):
         word = term.rstrip("*")
         own = {word[:n] + "*" for n in STEMS if len(word) >= n} | {term}
         if not own & chosen and term not in longer:
@@ -156,6 +157,7 @@ class Index:
         n = -(-len(own) // BLOCK)
         self.most = np.array([self.rows[b * BLOCK:(b + 1) * BLOCK].max(axis=0) for b in range(n)], dtype=np.float32).reshape(n, len(vocabulary))
         self.slope, self.shift = 1.0, 0.0
+        self.seen: dict[tuple, tuple[float, list[int]]] = {}
 
     def unit(self, counts: dict[int, int]) -> dict[int, float]:
         value = {t: (1 + math.log(c)) * self.idf[t] for t, c in counts.items()}
@@ -207,10 +209,15 @@ class Index:
     def score(self, text: str | None) -> tuple[float, list[int], list[str]]:
         """(calibrated score, ids of the neighbours, terms of the text that count)."""
         counts = self.words.counts(text)
-        near = self.nearest(counts)
-        v = self.vote(near)
-        p = 1 / (1 + math.exp(-(self.slope * math.log(v / (1 - v)) + self.shift))) if near else v
-        return p, [int(self.ids[i]) for _, i in near], [self.vocabulary[t] for t in sorted(counts)]
+        key = tuple(sorted(counts.items()))
+        if key not in self.seen:  # many texts have the same few terms
+            if len(self.seen) >= SEEN:
+                self.seen.clear()
+            near = self.nearest(counts)
+            v = self.vote(near)
+            p = 1 / (1 + math.exp(-(self.slope * math.log(v / (1 - v)) + self.shift))) if near else v
+            self.seen[key] = p, [int(self.ids[i]) for _, i in near]
+        return *self.seen[key], [self.vocabulary[t] for t, _ in key]
 
 
 def fit(docs: DataFrame, marks: DataFrame, rows: int = ROWS) -> Index:
