@@ -47,7 +47,7 @@ def asked(block: int, kind: int, keys: np.ndarray, low: np.ndarray, high: np.nda
     rows = []
     for b in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
         own = order[ends[b]:ends[b + 1]]
-        rows.append((b, block, kind, keys[own].tobytes(), low[own].tobytes() if len(low) else b"", high[own].tobytes()))
+        rows.append((b, block, kind, keys[own].tobytes(), low[own].tobytes() if len(low) else b"", high[own].tobytes() if len(high) else b""))
     return rows, order
 
 

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from meterlake.llm import classifier, exact, jaccard, mixing, packing, reshard, rules, toxicity
+from meterlake.llm import classifier, exact, jaccard, lm_scores, mixing, packing, reshard, rules, suffixes, toxicity
 
 QUERIES = {
+    "op1_lm_scores": lm_scores.op1_lm_scores,
     "op2_min_cost_resharding": reshard.op2_min_cost_resharding,
     "op3_quality_rules": rules.op3_quality_rules,
     "op4_ngram_jaccard_join": jaccard.op4_ngram_jaccard_join,
     "op5_quality_classifier": classifier.op5_quality_classifier,
     "op6_exact_dedup": exact.op6_exact_dedup,
     "op7_mixing": mixing.op7_mixing,
+    "op8_suffix_array_dedup": suffixes.op8_suffix_array_dedup,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
     "pipeline": corpus_pipeline.run,
