@@ -1,12 +1,12 @@
 """Repeated byte strings across documents, by sparse suffix arrays in a logarithmic index family.
 
-Of the byte positions only those are indexed that hold the least hash of a 12-byte string in some 50-byte
+Of the byte positions only those are indexed that hold the least hash of a 20-byte string in some 50-byte
 window; every 50-byte string has one at the same place wherever it occurs. Windows in a row that share
 such a position are a run. Buckets of the hash space keep sorted arrays of runs: each block of documents
 is a batch with its own array, arrays of equal size merge, and blocks are scanned against the family.
 
 First all runs are compared as wholes, which settles copies and the inside of passages. Only runs whose
-12 bytes also occur in another run, and that are the first of their kind, compare their single windows.
+20 bytes also occur in another run, and that are the first of their kind, compare their single windows.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from meterlake.llm.common import _ODD, documents, mix, powers, stored
 from meterlake.llm.exchange import ASKED, IndexFamily, answers, asked, asked_batch, bucket_number, numbered, with_answers
 
 LENGTH = 50
-GRAM = 12
+GRAM = 20
 LAST = np.iinfo(np.int64).max
 RUNS, WINDOWS = 1, 2
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
