@@ -29,7 +29,7 @@ def ngrams(texts: list[bytes], order: int = ORDER) -> tuple[list[np.ndarray], np
     for k in range(2, order + 1):
         h = np.zeros(len(words), dtype=np.uint64)
         if len(words) >= k:
-            h[k - 1:] = mix(out[-1][:-1] * np.uint64(_ODD) + words[k - 1:] + np.uint64(k))
+            h[k - 1:] = mix(out[-1][k - 2:-1] * np.uint64(_ODD) + words[k - 1:] + np.uint64(k))
         h[place < k - 1] = 0
         out.append(h)
     return out, doc
