@@ -18,8 +18,6 @@ class Block(NamedTuple):
 
 class Tariff(NamedTuple):
     clave: str
-    nombre: str
-    descripcion: str
     ciudades: tuple[str, ...]
     bloques: tuple[Block, ...]
     dac_kwh_mes: float
@@ -36,15 +34,15 @@ class Meter(NamedTuple):
 
 # --- Fixed values: household tariffs, in book order -------------------------------------------
 TARIFFS: tuple[Tariff, ...] = (
-    Tariff("1", "Tarifa 1", "Clima templado (<25 °C verano)", ("Ciudad de México",),
+    Tariff("1", ("Ciudad de México",),
            (Block(75, 0.954), Block(140, 1.013), Block(250, 1.313), Block(None, 3.397)), 500, 6.18),
-    Tariff("1B", "Tarifa 1B", "Calor moderado (≥28 °C verano)", ("Guadalajara",),
+    Tariff("1B", ("Guadalajara",),
            (Block(100, 0.906), Block(200, 1.013), Block(300, 1.313), Block(None, 3.241)), 600, 6.18),
-    Tariff("1E", "Tarifa 1E", "Extremadamente caluroso (≥32 °C verano)", ("Monterrey",),
+    Tariff("1E", ("Monterrey",),
            (Block(300, 0.785), Block(500, 0.944), Block(700, 1.313), Block(None, 2.942)), 850, 6.18),
-    Tariff("1F", "Tarifa 1F", "De las más calientes (≥33 °C verano)", ("Mérida",),
+    Tariff("1F", ("Mérida",),
            (Block(300, 0.741), Block(500, 0.900), Block(700, 1.313), Block(None, 2.849)), 1000, 6.18),
-    Tariff("1C", "Tarifa 1C", "Calor fuerte (≥30 °C verano)", ("Veracruz",),
+    Tariff("1C", ("Veracruz",),
            (Block(150, 0.859), Block(300, 1.013), Block(450, 1.313), Block(None, 3.102)), 700, 6.18),
 )
 DEFAULT_TARIFF = "1"

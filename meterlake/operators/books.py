@@ -21,8 +21,6 @@ from meterlake.session import constant_frame
 _BOOK = T.StructType([
     T.StructField("posicion", T.IntegerType()),
     T.StructField("tarifa", T.StringType()),
-    T.StructField("nombre", T.StringType()),
-    T.StructField("descripcion", T.StringType()),
     T.StructField("ciudades", T.ArrayType(T.StringType())),
     T.StructField("bloques", T.ArrayType(T.StructType([
         T.StructField("limite_kwh", T.DoubleType()),
@@ -33,6 +31,11 @@ _BOOK = T.StructType([
 ])
 
 
+_TIER = T.StructType([
+    T.StructField("tarifa", T.StringType()), T.StructField("nivel", T.StringType()),
+    T.StructField("desde", T.DoubleType()), T.StructField("hasta", T.DoubleType()),
+    T.StructField("precio", T.DoubleType()),
+])
 _CITY = T.StructType([
     T.StructField("_ciudad", T.StringType()), T.StructField("_tarifa", T.StringType()),
 ])
@@ -42,7 +45,7 @@ def tariff_book(spark: SparkSession, books: Sequence[Tariff] = TARIFFS) -> DataF
     """The nested book, one row per tariff, in book order."""
     rows = [
         (
-            i + 1, t.clave, t.nombre, t.descripcion, list(t.ciudades),
+            i + 1, t.clave, list(t.ciudades),
             [{"limite_kwh": b.limite_kwh, "precio": b.precio} for b in t.bloques],
             float(t.dac_kwh_mes), float(t.dac_precio),
         )
@@ -57,7 +60,7 @@ def meter_registry(spark: SparkSession, meters: Sequence[Meter] = METERS) -> Dat
 
 def first_block_prices(spark: SparkSession, books: Sequence[Tariff] = TARIFFS) -> DataFrame:
     return tariff_book(spark, books).select(
-        "posicion", "tarifa", F.element_at("bloques", 1)["precio"].alias("precio_base")
+        "posicion", "tarifa", F.get("bloques", F.lit(0))["precio"].alias("precio_base")
     )
 
 
@@ -65,44 +68,42 @@ def tier_bounds(spark: SparkSession, books: Sequence[Tariff] = TARIFFS) -> DataF
     """Month-to-date bounds of every block: running sums of the block widths.
 
     Blocks are cut at the high-consumption limit, above which one last row carries its price, so
-    one range join finds the price of any total. Columns: tarifa, nivel, desde, hasta (NULL = open),
-    precio; ``nivel`` is the block number or 'DAC'.
+    one range join finds the price of any total: the last block ends at that limit whatever its own
+    width, and without any block below the limit the last row starts at 0. Columns: tarifa, nivel,
+    desde, hasta (NULL = open), precio; ``nivel`` is the block number or 'DAC'.
     """
-    book = tariff_book(spark, books)
-    earlier_widths = F.aggregate(
-        F.slice("bloques", F.lit(1), F.col("pos")),
-        F.lit(0.0),
-        lambda total, block: total + F.coalesce(block["limite_kwh"], F.lit(0.0)),
-    )
-    blocks = (
-        book.select("tarifa", "dac_kwh_mes", "bloques", F.posexplode("bloques").alias("pos", "b"))
-        .withColumn("desde", earlier_widths)
-        .where("desde < dac_kwh_mes")
-        .select(
-            "tarifa",
-            (F.col("pos") + 1).cast("string").alias("nivel"),
-            "desde",
-            F.least(F.col("desde") + F.col("b.limite_kwh"), "dac_kwh_mes").alias("hasta"),
-            F.col("b.precio").alias("precio"),
-        )
-    )
-    dac = book.select(
-        "tarifa", F.lit("DAC").alias("nivel"), F.col("dac_kwh_mes").alias("desde"),
-        F.lit(None).cast("double").alias("hasta"), F.col("dac_precio").alias("precio"),
-    )
-    return blocks.unionByName(dac)
+    rows: list[tuple] = []
+    for tariff in books:
+        start, limit, own = 0.0, float(tariff.dac_kwh_mes), []
+        for number, block in enumerate(tariff.bloques, 1):
+            if start >= limit:
+                break
+            end = limit if block.limite_kwh is None else min(start + float(block.limite_kwh), limit)
+            own.append((tariff.clave, str(number), start, end, float(block.precio)))
+            start += float(block.limite_kwh or 0.0)
+        if own:
+            own[-1] = (*own[-1][:3], limit, own[-1][4])
+        rows += [*own, (tariff.clave, "DAC", limit if own else 0.0, None, float(tariff.dac_precio))]
+    return constant_frame(spark, rows, _TIER)
 
 
 def lookup_tariff(
-    df: DataFrame, books: Sequence[Tariff] = TARIFFS, code: str | Column = "tarifa"
+    df: DataFrame,
+    books: Sequence[Tariff] = TARIFFS,
+    code: str | Column = "tarifa",
+    default: str = DEFAULT_TARIFF,
 ) -> DataFrame:
     """Add ``tarifa_aplicada`` and its ``precio_base``; unknown and NULL codes take the default.
 
+    A ``default`` that is not in the book is an error, since its readings would have no price.
+
     The code is replaced by the default before the join (the codes are known here), so the join is
     a plain inner equi-join on a five-row side.
     """
+    if default not in {t.clave for t in books}:
+        raise ValueError(f"the default tariff {default!r} is not in the book")
     code = F.col(code) if isinstance(code, str) else code
-    known = F.when(code.isin(*[t.clave for t in books]), code).otherwise(F.lit(DEFAULT_TARIFF))
+    known = F.when(code.isin(*[t.clave for t in books]), code).otherwise(F.lit(default))
     prices = first_block_prices(df.sparkSession, books).select(
         F.col("tarifa").alias("tarifa_aplicada"), "precio_base"
     )
@@ -147,7 +148,9 @@ def tier_range_join(
 ) -> DataFrame:
     """Add ``nivel`` and ``precio`` of the block with desde <= total < hasta within the tariff.
 
-    The tariff equality keeps this a hash join; bounds and totals are compared in millionths.
+    Every row stays: the block that starts at 0 also takes negative totals, and a row without total or
+    with a tariff that has no bounds gets NULL. The tariff equality keeps this a hash join; bounds
+    and totals are compared in millionths.
     """
     bounds = tiers.select(
         F.col("tarifa").alias("_tarifa"), "nivel", "precio",
@@ -157,6 +160,7 @@ def tier_range_join(
     return df.join(
         bounds,
         (F.col(tariff) == F.col("_tarifa"))
-        & (position >= F.col("_desde"))
+        & ((position >= F.col("_desde")) | (F.col("_desde") <= 0))
         & (F.col("_hasta").isNull() | (position < F.col("_hasta"))),
+        "left",
     ).drop("_tarifa", "_desde", "_hasta")

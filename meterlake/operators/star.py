@@ -202,14 +202,14 @@ def build_fact(
     )
 
 
-def resumen_diario(fact: DataFrame, tiempo: DataFrame) -> DataFrame:
-    """Daily rollup; NULL home or region keys form groups of their own."""
+def resumen_diario(fact: DataFrame, tiempo: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Daily rollup; NULL home or region keys form groups of their own. ``by`` adds group columns."""
     timed = fact.join(tiempo.select("tiempo_key", "fecha"), ["tiempo_key", "fecha"])
-    return timed.groupBy("fecha", "hogar_key", "region_key").agg(
+    return timed.groupBy("fecha", "hogar_key", "region_key", *by).agg(
         *consumption(), F.max("kwh_intervalo").alias("kwh_max"),
         exact_avg(F.col("kwh_intervalo")).alias("kwh_promedio"),
         F.count("*").alias("num_lecturas"),
-    ).select(*schemas.RESUMEN_DIARIO.names)
+    ).select(*schemas.RESUMEN_DIARIO.names, *by)
 
 
 def merge_daily(parts: DataFrame) -> DataFrame:

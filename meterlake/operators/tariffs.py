@@ -18,6 +18,12 @@ from meterlake.operators.books import (
 )
 
 
+# What orders readings of one home and moment, as far as the columns are there.
+TIEBREAK = (
+    "id_medidor", "kwh_intervalo", "potencia_w", "voltaje", "corriente", "factor_potencia", "estado",
+)
+
+
 def _amount(kwh: Column, price: Column) -> Column:
     """kWh times price, six decimals half up, in integer arithmetic."""
     product = to_micro(kwh) * to_micro(price) + F.lit(MILLION // 2)
@@ -29,9 +35,10 @@ def price_flat(
     books: Sequence[Tariff] = TARIFFS,
     code: str | Column = "tarifa",
     out: str = "costo_mxn",
+    default: str = DEFAULT_TARIFF,
 ) -> DataFrame:
     """Price at the first block of the tariff: the cost when nothing was used yet this month."""
-    return lookup_tariff(df, books, code).withColumn(
+    return lookup_tariff(df, books, code, default).withColumn(
         out, _amount(F.col("kwh_intervalo"), F.col("precio_base"))
     ).drop("tarifa_aplicada", "precio_base")
 
@@ -108,7 +115,7 @@ def month_to_date(
     df: DataFrame,
     home: str = "id_hogar",
     ts: str = "timestamp",
-    tiebreak: Sequence[str] = (),
+    tiebreak: Sequence[str] | None = None,
     kwh: str = "kwh_intervalo",
     slice_length: str = "15 minutes",
 ) -> DataFrame:
@@ -117,34 +124,46 @@ def month_to_date(
     Two levels, so a home with a large share of all rows is never one sort: slice totals (partially
     aggregated before their shuffle) give the running total at the start of each slice, at most
     2,976 quarter hours per home and month; inside a slice the readings are accumulated in order.
-    Readings are shuffled once, by home and slice, for both the window and the join. Take a shorter
-    slice where one meter reports extremely often.
+    Readings are shuffled once, by home, month and slice, for both the window and the join. Take a
+    shorter slice where one meter reports extremely often; a slice over a month end counts for each
+    month apart. Readings of one moment follow ``tiebreak``, by default the meter and the measures.
+
+    Readings of no home (NULL or blank) have no total, 0, and no window; one without timestamp has
+    NULL. No row is lost.
     """
-    keyed = df.withColumns({
+    if tiebreak is None:
+        tiebreak = [c for c in TIEBREAK if c in df.columns]
+    known = (F.trim(F.coalesce(F.col(home).cast("string"), F.lit(""))) != "") & F.col(ts).isNotNull()
+    outside = df.where(~known).withColumn(
+        "kwh_acumulado_mes", F.when(F.col(ts).isNotNull(), F.lit(0.0))
+    )
+    keyed = df.where(known).withColumns({
         "_cuarto": F.window(F.col(ts), slice_length)["start"],
-        "_hogar": F.coalesce(F.col(home).cast("string"), F.lit("")),
+        "_hogar": F.col(home).cast("string"),
+        "_mes": F.year(ts) * 12 + F.month(ts),
         "_kwh": to_micro(F.col(kwh)),
     })
-    quarters = keyed.groupBy("_hogar", "_cuarto").agg(F.sum("_kwh").alias("_total"))
+    quarters = keyed.groupBy("_hogar", "_mes", "_cuarto").agg(F.sum("_kwh").alias("_total"))
     earlier_quarters = (
-        Window.partitionBy("_hogar", F.year("_cuarto"), F.month("_cuarto")).orderBy("_cuarto")
+        Window.partitionBy("_hogar", "_mes").orderBy("_cuarto")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     starts = quarters.select(
-        "_hogar", "_cuarto",
+        "_hogar", "_mes", "_cuarto",
         F.coalesce(F.sum("_total").over(earlier_quarters), F.lit(0)).alias("_antes"),
     )
     earlier_readings = (
-        Window.partitionBy("_hogar", "_cuarto").orderBy(ts, *tiebreak)
+        Window.partitionBy("_hogar", "_mes", "_cuarto").orderBy(ts, *tiebreak)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     inside = keyed.withColumn(
         "_dentro", F.coalesce(F.sum("_kwh").over(earlier_readings), F.lit(0))
     )
     return (
-        inside.join(starts, ["_hogar", "_cuarto"])
+        inside.join(starts, ["_hogar", "_mes", "_cuarto"])
         .withColumn("kwh_acumulado_mes", from_micro(F.col("_antes") + F.col("_dentro")))
-        .drop("_cuarto", "_hogar", "_kwh", "_antes", "_dentro")
+        .drop("_cuarto", "_hogar", "_mes", "_kwh", "_antes", "_dentro")
+        .unionByName(outside)
     )
 
 
@@ -155,12 +174,13 @@ def price_tiered(
     total: str = "kwh_acumulado_mes",
     kwh: str = "kwh_intervalo",
     out: str = "costo_mxn",
+    default: str = DEFAULT_TARIFF,
 ) -> DataFrame:
     """Price at the block where the month-to-date total falls; adds ``nivel`` and the cost.
 
     A reading is priced whole at the block its total starts in; it is not split over blocks.
     """
-    applied = lookup_tariff(df, books, code).drop("precio_base")
+    applied = lookup_tariff(df, books, code, default).drop("precio_base")
     placed = tier_range_join(applied, tier_bounds(df.sparkSession, books), total=total)
     return placed.withColumn(out, _amount(F.col(kwh), F.col("precio"))).drop(
         "tarifa_aplicada", "precio"

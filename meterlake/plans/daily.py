@@ -85,6 +85,6 @@ def report_homes(
         .groupBy("hogar_key", "region_key").agg(*_report())
     )
     best = join_region(star, totals).orderBy(F.desc("kwh"), "hogar_key").limit(limit)
-    return join_home(star, F.broadcast(best)).orderBy(F.desc("kwh"), "hogar_key").select(
+    return join_home(star, best).orderBy(F.desc("kwh"), "hogar_key").select(
         "id_hogar", "ciudad", "region", "kwh", "costo", "picos"
     )

@@ -15,9 +15,11 @@ def _two_digits(number: str | Column) -> Column:
     return F.lpad(column.cast("string"), 2, "0")
 
 
-def period_list_hour(dim_tiempo: DataFrame, limit: int = LATEST_HOURS) -> DataFrame:
+def period_list_hour(dim_tiempo: DataFrame, limit: int | None = LATEST_HOURS) -> DataFrame:
+    """The latest hours with readings, newest first; all of them without ``limit``."""
     hours = dim_tiempo.select("fecha", "hora").distinct()
-    latest = hours.orderBy(F.desc("fecha"), F.desc("hora")).limit(limit)
+    latest = hours.orderBy(F.desc("fecha"), F.desc("hora"))
+    latest = latest if limit is None else latest.limit(limit)
     day = date_text(F.col("fecha"))
     return latest.select(
         F.concat_ws(" ", day, F.col("hora").cast("string")).alias("value"),
@@ -25,9 +27,12 @@ def period_list_hour(dim_tiempo: DataFrame, limit: int = LATEST_HOURS) -> DataFr
     )
 
 
-def period_list_day(dim_tiempo: DataFrame, limit: int = LATEST_DAYS) -> DataFrame:
+def period_list_day(dim_tiempo: DataFrame, limit: int | None = LATEST_DAYS) -> DataFrame:
+    """The latest days with readings, newest first; all of them without ``limit``."""
     latest = dim_tiempo.select("fecha").where("fecha IS NOT NULL").distinct()
-    return _value_is_label(latest.orderBy(F.desc("fecha")).limit(limit), date_text(F.col("fecha")))
+    latest = latest.orderBy(F.desc("fecha"))
+    latest = latest if limit is None else latest.limit(limit)
+    return _value_is_label(latest, date_text(F.col("fecha")))
 
 
 def period_list_week(dim_tiempo: DataFrame, iso_year: bool = False) -> DataFrame:
@@ -46,12 +51,15 @@ def period_list_month(dim_tiempo: DataFrame) -> DataFrame:
     return _value_is_label(months.distinct().orderBy(F.desc("v")), F.col("v"))
 
 
-def period_list(dim_tiempo: DataFrame, kind: str = "dia") -> DataFrame:
-    """The list of one kind; any kind that is none of the others lists months."""
+def period_list(dim_tiempo: DataFrame, kind: str = "dia", complete: bool = False) -> DataFrame:
+    """The list of one kind; any kind that is none of the others lists months.
+
+    Hours and days are the latest, or all if ``complete``.
+    """
     if kind == "hora":
-        return period_list_hour(dim_tiempo)
+        return period_list_hour(dim_tiempo, None if complete else LATEST_HOURS)
     if kind == "dia":
-        return period_list_day(dim_tiempo)
+        return period_list_day(dim_tiempo, None if complete else LATEST_DAYS)
     if kind == "semana":
         return period_list_week(dim_tiempo)
     return period_list_month(dim_tiempo)

@@ -168,7 +168,7 @@ def top_picos(star: Star, limit: int = TOP_PEAKS) -> DataFrame:
         .limit(limit)
     )
     return (
-        join_region(star, join_home(star, F.broadcast(top)))
+        join_region(star, join_home(star, top))
         .orderBy(F.desc("kwh_intervalo"), "timestamp_real", "hogar_key")
         .select(
             timestamp_text(F.col("timestamp_real")).alias("timestamp"), "ciudad", "region",
@@ -189,9 +189,10 @@ def warehouse_totals(star: Star) -> DataFrame:
 
 
 def dense_hours(by_hour: DataFrame, value: str) -> DataFrame:
-    """One row per hour of the day; the input has at most 24 rows, one per hour."""
+    """One row per hour of the day with the sum of its values, zero where there is none."""
     hours = by_hour.sparkSession.range(0, 24, 1, 1).select(F.col("id").cast("int").alias("hora"))
-    return hours.join(F.broadcast(by_hour), "hora", "left").select(
+    sums = by_hour.groupBy("hora").agg(F.sum(value).alias(value))
+    return hours.join(sums, "hora", "left").select(
         "hora", zero_if_null(F.col(value)).alias(value)
     ).orderBy("hora")
 
@@ -208,7 +209,7 @@ def dense_heatmap(cells: DataFrame) -> DataFrame:
     known = cells.select(day_index(F.col("dia_semana")).alias("dia"), "hora", "kwh")
     names = F.array(*[F.lit(d) for d in DAYS_EN])
     short = F.array(*[F.lit(d) for d in DAYS_SHORT_ES])
-    return grid.join(F.broadcast(known), ["dia", "hora"], "left").select(
+    return grid.join(known, ["dia", "hora"], "left").select(
         "dia",
         F.element_at(names, F.col("dia") + 1).alias("dia_semana"),
         F.element_at(short, F.col("dia") + 1).alias("dia_corto"),

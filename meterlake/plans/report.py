@@ -56,7 +56,7 @@ def _top_homes(star: Star, facts: DataFrame, limit: int) -> DataFrame:
     ranked = best.withColumn(
         "posicion", F.row_number().over(Window.orderBy(F.desc("kwh"), "hogar_key"))
     )
-    return join_home(star, F.broadcast(ranked)).orderBy("posicion").select(
+    return join_home(star, ranked).orderBy("posicion").select(
         "posicion", "id_hogar", "ciudad", "region", "kwh", "costo", "picos"
     )
 
@@ -64,7 +64,7 @@ def _top_homes(star: Star, facts: DataFrame, limit: int) -> DataFrame:
 def _top_peaks(star: Star, facts: DataFrame, limit: int) -> DataFrame:
     order = [F.desc("kwh_intervalo"), F.asc("timestamp_real"), F.asc("hogar_key")]
     top = facts.where("es_pico AND hogar_key IS NOT NULL").orderBy(*order).limit(limit)
-    return join_home(star, F.broadcast(top)).orderBy(*order).select(
+    return join_home(star, top).orderBy(*order).select(
         timestamp_text(F.col("timestamp_real")).alias("timestamp_real"), "id_hogar", "ciudad",
         half_up(F.col("kwh_intervalo"), 6).alias("kwh"),
         half_up(F.col("costo_mxn"), 4).alias("costo"),

@@ -83,9 +83,3 @@ RESUMEN_DIARIO = T.StructType([
     T.StructField("num_picos", T.LongType()),
     T.StructField("fecha", T.DateType()),
 ])
-
-# Stored with the rollup, per row: the last batch its date has seen. NULL after a batch load.
-RESUMEN_APLICADO = T.StructType([
-    T.StructField("corrida", T.StringType()),
-    T.StructField("lote", T.LongType()),
-])

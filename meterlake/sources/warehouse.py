@@ -7,7 +7,6 @@ replaces its own partitions. Dimensions only grow, by rows whose key is absent.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import date
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -23,9 +22,6 @@ from meterlake.plans import marts
 from meterlake.session import constant_frame
 from meterlake.sources.lake import replace_partitions
 
-# Up to this many dates are pushed as literals (static pruning); beyond, a semi join selects them.
-MAX_LITERAL_DATES = 400
-
 _HOME_LOOKUP = T.StructType([
     T.StructField("id_hogar", T.StringType()),
     T.StructField("hogar_key", T.LongType()),
@@ -38,14 +34,12 @@ TABLES = {
     "dim_hogar": schemas.DIM_HOGAR,
     "fact_consumo": schemas.FACT_CONSUMO,
     "fact_resumen_diario": T.StructType(
-        schemas.RESUMEN_DIARIO.fields[:-1]
-        + schemas.RESUMEN_APLICADO.fields
-        + schemas.RESUMEN_DIARIO.fields[-1:]
+        [*schemas.RESUMEN_DIARIO.fields, T.StructField("batch_id", T.StringType())]
     ),
     "medidores": schemas.REGISTRY,
     "hogar_tarifa": _HOME_LOOKUP,
 }
-PARTITIONS = {"fact_consumo": ["fecha", "batch_id"], "fact_resumen_diario": ["fecha"]}
+PARTITIONS = {table: ["fecha", "batch_id"] for table in ("fact_consumo", "fact_resumen_diario")}
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -58,9 +52,7 @@ def open_star(spark: SparkSession, path: str) -> Star:
         tiempo=read_table(spark, path, "dim_tiempo"),
         region=read_table(spark, path, "dim_region"),
         hogar=read_table(spark, path, "dim_hogar"),
-        resumen_diario=read_table(spark, path, "fact_resumen_diario").select(
-            *schemas.RESUMEN_DIARIO.names
-        ),
+        resumen_diario=ops.merge_daily(read_table(spark, path, "fact_resumen_diario")),
     )
 
 
@@ -119,21 +111,17 @@ def load_star(
     path: str,
     batch_id: str = "0",
     books: Sequence[Tariff] = TARIFFS,
-    micro_batch: tuple[str, int] | None = None,
+    micro_batch: bool = False,
 ) -> None:
-    """Load a clean batch: new quarter hours, facts, and the rollup of the dates it touches.
+    """Load a clean batch: new quarter hours, facts, and the batch's part of the daily rollup.
 
     ``clean`` is read several times: pass a stored batch, not a long lineage. Any step may be
-    repeated with the same batch without effect. ``micro_batch`` is the run and number of a stream's
-    batch: its cost then follows the batch, not the size of the registry or of the day.
+    repeated with the same batch without effect. ``micro_batch`` cuts the home lookup and the registry
+    to the ids of the batch; both are still scanned.
     """
     merge_dim_tiempo(clean, path)
-    load_fact(clean, path, batch_id, books, small_batch=micro_batch is not None)
-    dates = clean.select(F.col("timestamp").cast("date").alias("fecha"))
-    if micro_batch is None:
-        refresh_daily(dates, path)
-    else:
-        add_to_daily(dates, path, batch_id, *micro_batch)
+    load_fact(clean, path, batch_id, books, small_batch=micro_batch)
+    refresh_daily(clean.select(F.col("timestamp").cast("date").alias("fecha")), path, batch_id)
 
 
 def merge_dim_tiempo(clean: DataFrame, path: str) -> None:
@@ -181,73 +169,34 @@ def load_fact(
     )
 
 
-def _few_dates(dates: DataFrame, limit: int = MAX_LITERAL_DATES) -> list[date] | None:
-    """The distinct dates, or None if there are more than the driver should hold."""
-    few = [row.fecha for row in dates.select("fecha").distinct().limit(limit + 1).collect()]
-    return few if len(few) <= limit else None
-
-
-def touched_dates(fact: DataFrame, dates: DataFrame, limit: int = MAX_LITERAL_DATES) -> DataFrame:
-    """Facts of the dates in ``dates`` (column ``fecha``).
+def touched_dates(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """Facts of the dates in ``dates`` (column ``fecha``), however many.
 
-    A bounded number of distinct dates comes to the driver; if there are more, a semi join does the
-    same without them.
+    Their first and last date prune the partitions; a semi join selects between them.
     """
-    few = _few_dates(dates, limit)
-    if few is None:
-        return fact.join(dates.select("fecha").distinct(), "fecha", "left_semi")
-    return fact.where(F.col("fecha").isin(few))
+    span = dates.agg(F.min("fecha").alias("first"), F.max("fecha").alias("last")).first()
+    if span["first"] is None:
+        return fact.where("false")
+    near = fact.where(F.col("fecha").between(F.lit(span["first"]), F.lit(span["last"])))
+    return near.join(dates.select("fecha").distinct(), "fecha", "left_semi")
 
 
-def _write_daily(daily: DataFrame, path: str, run: str | None, number: int | None) -> None:
-    replace_partitions(
-        daily.withColumns({
-            "corrida": F.lit(run).cast("string"), "lote": F.lit(number).cast("long"),
-        }).select(*TABLES["fact_resumen_diario"].names),
-        f"{path}/fact_resumen_diario", "fecha",
-    )
+def refresh_daily(dates: DataFrame, path: str, batch_id: str | None = None) -> None:
+    """Recompute the rollup rows of the given dates from their facts; other dates stay.
 
-
-def refresh_daily(dates: DataFrame, path: str) -> None:
-    """Recompute the daily rollup of the given dates from all their facts; other dates stay."""
-    spark = dates.sparkSession
-    facts = touched_dates(read_table(spark, path, "fact_consumo"), dates)
-    daily = ops.resumen_diario(facts, read_table(spark, path, "dim_tiempo"))
-    _write_daily(daily, path, None, None)
-
-
-def add_to_daily(dates: DataFrame, path: str, batch_id: str, run: str, number: int) -> None:
-    """Bring the rollup of a micro-batch's dates up to date.
-
-    A date whose rows come from an earlier batch of the same run gets this batch's facts added. Any
-    other date (new, repeated after a crash, loaded by another run) is recomputed from its facts.
-    Either way the date's partition is replaced and marked with this batch, so repeating the batch
-    cannot add it twice.
+    Rollup rows are kept per batch and added up when read, so a batch writes its own part only,
+    whatever else the day holds; ``batch_id`` says which, None recomputes those of all batches.
+    Repeating it replaces the same partitions.
     """
     spark = dates.sparkSession
-    touched = _few_dates(dates)
-    if touched is None:
-        refresh_daily(dates, path)
-        return
-    fact = read_table(spark, path, "fact_consumo").where(F.col("fecha").isin(touched))
-    tiempo = read_table(spark, path, "dim_tiempo")
-    stored = read_table(spark, path, "fact_resumen_diario").where(F.col("fecha").isin(touched))
-    seen = stored.groupBy("fecha").agg(
-        F.min(F.coalesce(F.col("corrida") == run, F.lit(False))).alias("misma"),
-        F.max("lote").alias("lote"),
-    ).collect()
-    behind = [row.fecha for row in seen if row.misma and row.lote < number]
-    rest = [day for day in touched if day not in behind]
-
-    daily = ops.resumen_diario(fact.where(F.col("fecha").isin(rest)), tiempo)
-    if behind:
-        added = ops.resumen_diario(
-            fact.where(F.col("fecha").isin(behind) & (F.col("batch_id") == batch_id)), tiempo
-        )
-        before = stored.where(F.col("fecha").isin(behind)).select(*schemas.RESUMEN_DIARIO.names)
-        merged = ops.merge_daily(before.unionByName(added))
-        daily = merged.unionByName(daily) if rest else merged
-    _write_daily(daily, path, run, number)
+    facts = touched_dates(read_table(spark, path, "fact_consumo"), dates)
+    if batch_id is not None:
+        facts = facts.where(F.col("batch_id") == batch_id)
+    daily = ops.resumen_diario(facts, read_table(spark, path, "dim_tiempo"), by=("batch_id",))
+    replace_partitions(
+        daily.select(*TABLES["fact_resumen_diario"].names),
+        f"{path}/fact_resumen_diario", "fecha", "batch_id",
+    )
 
 
 def register_views(spark: SparkSession, star: Star) -> None:

@@ -63,18 +63,22 @@ def process_batch(
     run: str = "0",
     micro_batch: bool = False,
     unique: Sequence[str] = (),
+    clock: datetime | None = None,
 ) -> dict[str, int]:
     """Body of one micro-batch, also usable on a batch DataFrame; returns its counts.
 
-    The batch is read from its source once, into the raw lake. Messages that could not be decoded
+    The batch is written to the raw lake before anything else reads it, but for the clock of a stream,
+    which is a look at one row. ``clock`` is the processing time of a batch without ``ingested_at``, by
+    default now; a caller that repeats a batch passes the same, or the raw lake keeps it under two
+    days. Messages that could not be decoded
     stay there with their text (``read_quarantine``). ``run`` separates the batches of a replay with
-    a new checkpoint from earlier ones. ``micro_batch`` says that batches of a run come in numeric
-    order, each small beside the registry and the day. ``unique`` names columns, such as meter and
+    a new checkpoint from earlier ones. ``micro_batch`` says that a batch is small beside the registry.
+    ``unique`` names columns, such as meter and
     timestamp, of which a batch keeps one reading each; by default repeated readings are kept.
     """
     spark = batch.sparkSession
     batch_name = f"{run}-{batch_id}"
-    clock = datetime.now()
+    clock = clock or datetime.now()
     if "ingested_at" in batch.columns:
         first = batch.select(F.col("ingested_at").cast("timestamp_ntz").alias("t")).head(1)
         if not first:
@@ -94,8 +98,7 @@ def process_batch(
     kept, peaks = count_written(spark, paths, clean, batch_name)
     if kept:
         stored = lake.read_processed(spark, paths.processed, clean.schema, batch_name)
-        position = (run, int(batch_id)) if micro_batch else None
-        warehouse.load_star(stored, paths.star, batch_name, books, position)
+        warehouse.load_star(stored, paths.star, batch_name, books, micro_batch)
     counts = dict(zip(COUNTS, (received, kept, received - kept, peaks)))
     log.info("batch %s: %s", batch_name, counts)
     return counts

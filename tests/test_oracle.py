@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, on the whole tables."""
+"""Every registered query of the library against its SQL, on the whole tables."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from checks.oracles import all_oracles
+from checks.queries import REGISTERED
 
 SF_DIR = "/root/testdata/sf0.01"
 NOT_IN_PLANS = (
@@ -20,15 +22,16 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(REGISTERED) == set(all_oracles())
+    assert set(REGISTERED) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTERED))
 def test_query(spark, con, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = REGISTERED[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert [word for word in NOT_IN_PLANS if word in plan] == []
-    assert compare.difference(df, con, entry.oracle_sql()[name]) is None
+    assert compare.difference(df, con, all_oracles()[name]) is None
 
 
 @pytest.mark.parametrize("name", [
@@ -47,8 +50,8 @@ def test_without_any_automatic_broadcast(spark, con, name):
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
-        df = entry.queries()[name](spark, SF_DIR)
-        assert compare.difference(df, con, entry.oracle_sql()[name]) is None
+        df = REGISTERED[name](spark, SF_DIR)
+        assert compare.difference(df, con, all_oracles()[name]) is None
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)

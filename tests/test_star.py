@@ -156,14 +156,23 @@ def test_late_reading_changes_its_date_only(spark, installation, make_readings):
     assert other_day and [f for f in files if "fecha=2024-01-06" in f] == other_day
 
 
-def test_many_touched_dates_use_the_semi_join(spark, installation, make_readings):
+def test_touched_dates_prune_by_range_and_semi_join(spark, installation, make_readings):
     rows = [{"timestamp": START + timedelta(days=i)} for i in range(6)]
     star = load(spark, installation, make_readings(*rows))
-    dates = star.fact.where("day(fecha) <= 8").select("fecha")
-    literal = warehouse.touched_dates(star.fact, dates)
-    joined = warehouse.touched_dates(star.fact, dates, limit=2)
-    assert literal.count() == joined.count() == 4
-    assert "LeftSemi" in joined._jdf.queryExecution().toString()
+    dates = star.fact.where("day(fecha) in (6, 8)").select("fecha")
+    found = warehouse.touched_dates(star.fact, dates)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 2 and "LeftSemi" in plan
+    assert "fecha#" in plan and ">= 2024-01-06" in plan and "<= 2024-01-08" in plan
+    assert warehouse.touched_dates(star.fact, dates.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("days", [10, 401])
+def test_any_number_of_dates_gives_the_same_stored_form(spark, installation, make_readings, days):
+    rows = [{"timestamp": START + timedelta(days=i)} for i in range(days)]
+    load(spark, installation, make_readings(*rows), "7")
+    stored = warehouse.read_table(spark, installation.star, "fact_resumen_diario")
+    assert {r.batch_id for r in stored.collect()} == {"7"} and stored.count() == days
 
 
 def test_sql_over_views(spark, odd_star):

@@ -68,17 +68,17 @@ def test_stream_equals_batch(spark, installation, tmp_path):
 
 def test_failed_attempt_then_restart_leaves_one_copy(spark, installation, tmp_path, monkeypatch):
     source = drop_files(tmp_path / "in", [[message(i) for i in range(8)]])
-    honest = warehouse.add_to_daily
+    honest = warehouse.refresh_daily
 
     def lost(*_):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(warehouse, "add_to_daily", lost)
+    monkeypatch.setattr(warehouse, "refresh_daily", lost)
     with pytest.raises(Exception, match="lost"):
         pipeline.drain(stream(spark, source), installation)
     assert warehouse.open_star(spark, installation.star).fact.count() == 8
 
-    monkeypatch.setattr(warehouse, "add_to_daily", honest)
+    monkeypatch.setattr(warehouse, "refresh_daily", honest)
     drop_files(tmp_path / "in", [[message(i) for i in range(8, 12)]])
     pipeline.drain(stream(spark, source), installation)
     star = warehouse.open_star(spark, installation.star)
@@ -111,7 +111,7 @@ def test_rollup_grows_batch_by_batch(spark, installation, make_readings):
         run(n)
         assert daily_is_that_of_the_facts(spark, installation)
     stored = warehouse.read_table(spark, installation.star, "fact_resumen_diario")
-    assert {(r.corrida, r.lote) for r in stored.collect()} == {("0", 2)}
+    assert {r.batch_id for r in stored.collect()} == {"0-0", "0-1", "0-2"}
     run(1)                      # an older batch once more
     assert daily_is_that_of_the_facts(spark, installation)
     run(0, "other")             # a replay beside it
@@ -123,14 +123,16 @@ def test_rollup_grows_batch_by_batch(spark, installation, make_readings):
     assert warehouse.open_star(spark, installation.star).fact.count() == 21
 
 
-def test_a_date_lost_from_the_rollup_is_recomputed(spark, installation, make_readings):
+def test_a_lost_rollup_is_recomputed_from_its_facts(spark, installation, make_readings):
     for n in range(2):
         pipeline.process_batch(make_readings({}), n, installation, micro_batch=True)
     empty = warehouse.read_table(spark, installation.star, "fact_resumen_diario").where("false")
-    empty.write.mode("overwrite").partitionBy("fecha").parquet(
+    empty.write.mode("overwrite").partitionBy("fecha", "batch_id").parquet(
         f"{installation.star}/fact_resumen_diario"
     )
     pipeline.process_batch(make_readings({}), 2, installation, micro_batch=True)
+    facts = warehouse.open_star(spark, installation.star).fact
+    warehouse.refresh_daily(facts.select("fecha"), installation.star)
     assert daily_is_that_of_the_facts(spark, installation)
 
 

@@ -55,7 +55,7 @@ def test_every_total_has_exactly_one_block(spark):
 
 
 def test_a_book_without_reachable_limit_keeps_its_open_block(spark):
-    book = (Tariff("X", "X", "", ("A",), (Block(10, 1.0), Block(None, 2.0)), 1000, 3.0),)
+    book = (Tariff("X", ("A",), (Block(10, 1.0), Block(None, 2.0)), 1000, 3.0),)
     rows = books.tier_bounds(spark, book).orderBy("desde").collect()
     assert [(r.nivel, r.desde, r.hasta, r.precio) for r in rows] == [
         ("1", 0.0, 10.0, 1.0), ("2", 10.0, 1000.0, 2.0), ("DAC", 1000.0, None, 3.0),
@@ -128,7 +128,8 @@ def test_month_to_date_against_brute_force(spark, make_readings):
     for r in sorted(full, key=lambda r: (r["timestamp"], r["potencia_w"])):
         key = (r["id_hogar"], r["timestamp"].year, r["timestamp"].month)
         expected[r["potencia_w"]] = float(running[key])
-        running[key] += Decimal(str(r["kwh_intervalo"]))
+        if r["id_hogar"] is not None:
+            running[key] += Decimal(str(r["kwh_intervalo"]))
     df = tariffs.month_to_date(make_readings(*full), tiebreak=["potencia_w"])
     assert {r.potencia_w: r.kwh_acumulado_mes for r in df.collect()} == expected
 
@@ -154,3 +155,57 @@ def test_first_meter_of_a_home_sets_its_tariff(spark):
         Meter("MED-1", "HOG-A", "Mérida", "1F", 1.0),
     ])
     assert [tuple(r) for r in tariffs.home_tariffs(registry).collect()] == [("HOG-A", "1F")]
+
+
+CLOSED = Tariff("R1", ("A",), (Block(10, 1.0), Block(10, 2.0)), 500, 9.0)
+SINGLE = Tariff("R2", ("B",), (Block(5, 1.5),), 100, 9.0)
+ONLY_DAC = Tariff("R3", ("C",), (), 300, 7.0)
+
+
+@pytest.mark.parametrize("book, prices", [
+    (CLOSED, [1.0, 1.0, 2.0, 2.0, 2.0, 9.0, None]),
+    (SINGLE, [1.5, 1.5, 1.5, 1.5, 9.0, 9.0, None]),
+    (ONLY_DAC, [7.0, 7.0, 7.0, 7.0, 7.0, 7.0, None]),
+])
+def test_every_total_has_a_price(spark, book, prices):
+    totals = [-1.0, 0.0, 15.0, 25.0, 499.0, 500.0, None]
+    rows = [(i, book.clave, t, 1.0) for i, t in enumerate(totals)]
+    df = spark.createDataFrame(rows, "i int, tarifa string, kwh_acumulado_mes double, kwh_intervalo double")
+    out = tariffs.price_tiered(df, [book], default=book.clave).orderBy("i").collect()
+    assert [r.costo_mxn for r in out] == prices
+
+
+def test_codes_unknown_to_the_book(spark):
+    df = spark.createDataFrame([("1",), ("R1",), (None,)], "tarifa string")
+    assert books.lookup_tariff(df, [CLOSED], default="R1").count() == 3
+    with pytest.raises(ValueError):
+        books.lookup_tariff(df, [CLOSED])
+
+
+def test_month_to_date_keeps_odd_readings(spark, make_readings):
+    noon = datetime(2024, 1, 5, 12)
+    out = tariffs.month_to_date(make_readings(
+        {"id_hogar": None, "kwh_intervalo": 600.0, "timestamp": noon},
+        {"id_hogar": "", "kwh_intervalo": 1.0, "timestamp": noon},
+        {"id_hogar": "H", "kwh_intervalo": 5.0, "timestamp": datetime(2024, 2, 29, 23)},
+        {"id_hogar": "H", "kwh_intervalo": 2.0, "timestamp": datetime(2024, 3, 2)},
+        {"id_hogar": "H", "kwh_intervalo": 1.0, "timestamp": None},
+        {"id_hogar": "T", "kwh_intervalo": 1.0, "id_medidor": "MED-002", "timestamp": noon},
+        {"id_hogar": "T", "kwh_intervalo": 3.0, "id_medidor": "MED-001", "timestamp": noon},
+    ), slice_length="7 days")
+    rows = sorted((r.id_hogar or "", r.kwh_intervalo, r.kwh_acumulado_mes) for r in out.collect())
+    assert rows == [
+        ("", 1.0, 0.0), ("", 600.0, 0.0), ("H", 1.0, None), ("H", 2.0, 0.0), ("H", 5.0, 0.0),
+        ("T", 1.0, 3.0), ("T", 3.0, 0.0),
+    ]
+
+
+def test_numbers_that_are_none(spark):
+    from meterlake.functions import exact
+
+    df = spark.createDataFrame([(1.5,), (float("nan"),), (None,)], "x double")
+    row = df.agg(exact.exact_sum(F.col("x")).alias("s"), exact.exact_avg(F.col("x")).alias("a")).first()
+    assert (row.s, row.a) == (1.5, 1.5)
+    for bad in (float("inf"), 1e300):
+        with pytest.raises(Exception, match="beyond exact sums"):
+            spark.createDataFrame([(bad,)], "x double").agg(exact.exact_sum(F.col("x"))).collect()
