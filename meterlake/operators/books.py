@@ -160,7 +160,7 @@ def tier_range_join(
     return df.join(
         bounds,
         (F.col(tariff) == F.col("_tarifa"))
-        & ((position >= F.col("_desde")) | (F.col("_desde") <= 0))
+        & ((position >= F.col("_desde")) | ((position < 0) & (F.col("_desde") <= 0)))
         & (F.col("_hasta").isNull() | (position < F.col("_hasta"))),
         "left",
     ).drop("_tarifa", "_desde", "_hasta")
