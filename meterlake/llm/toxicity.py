@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm.classifier import labelled
-from meterlake.llm.common import documents, labels, remainder
+from meterlake.llm.common import documents, labels, remainder, stored
 
 ROWS = 20_000
 NEIGHBOURS = 15
@@ -30,6 +30,7 @@ RATE = 0.01
 BOUND = 1e-4
 PRIOR = 1.0
 SEEN = 50_000
+WORDS, WORD_CHARS = 200_000, 64
 STEMS = (3, 4, 5, 6)
 WORD = re.compile(r"\w+")
 
@@ -44,20 +45,28 @@ def terms(text: str | None) -> list[str]:
 
 
 class Vocabulary:
-    """Terms and their numbers; most words are told by their first letters to be none of them."""
+    """Terms and their numbers; the terms of up to ``WORDS`` words, none over ``WORD_CHARS`` long, are kept."""
 
     def __init__(self, terms_: list[str]):
         self.number = {t: i for i, t in enumerate(terms_)}
-        self.gate = {t.rstrip("*")[: STEMS[0]] for t in terms_}
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def numbers(self, word: str) -> tuple[int, ...]:
+        own = tuple(self.number[f] for f in features(word) if f in self.number)
+        if len(word) <= WORD_CHARS:
+            if len(self.known) >= WORDS:
+                self.known.clear()
+            self.known[word] = own
+        return own
 
     def counts(self, text: str | None) -> dict[int, int]:
-        out: dict[int, int] = defaultdict(int)
-        gate, number, first = self.gate, self.number, STEMS[0]
-        for word in [w for w in WORD.findall((text or "").lower()) if w[:first] in gate]:
-            for f in features(word):
-                if f in number:
-                    out[number[f]] += 1
-        return dict(out)
+        out: dict[int, int] = {}
+        known = self.known
+        for word, n in Counter(WORD.findall((text or "").lower())).items():
+            own = known[word] if word in known else self.numbers(word)
+            for t in own:
+                out[t] = out.get(t, 0) + n
+        return out
 
 
 def tail(k: int, n: int, p: float) -> float:
@@ -113,28 +122,27 @@ def telling_terms(examples: DataFrame, rate: float = RATE) -> list[str]:
     return sorted(chosen)
 
 
-def document_frequencies(docs: DataFrame, vocabulary: list[str], text: str = "text") -> tuple[int, np.ndarray]:
-    """(number of all documents, documents that have each term)."""
+def counted(docs: DataFrame, vocabulary: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, t, c) of every row: the numbers of the terms in the whole text, ascending, and their counts."""
     words = Vocabulary(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, found = 0, np.zeros(len(vocabulary), np.int64)
         for batch in batches:
-            for text_ in batch.column(0).to_pylist():
-                n += 1
-                for term in words.counts(text_):
-                    found[term] += 1
-        own = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *own.tolist()], pa.int32()), pa.array([n, *found[own].tolist()], pa.int64())], ["term", "n"])
-
-    rows = docs.select(F.col(text).alias("text")).mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    out, total = np.zeros(len(vocabulary)), 0
-    for r in rows:
-        if r["term"] < 0:
-            total = r["n"]
-        else:
-            out[r["term"]] = r["n"]
-    return total, out
+            for begin in range(0, len(batch), 1024):
+                part = batch.slice(begin, 1024)
+                found = [sorted(words.counts(text_).items()) for text_ in part.column(1).to_pylist()]
+                t, c = [[x[0] for x in f] for f in found], [[x[1] for x in f] for f in found]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(t, pa.list_(pa.int32())), pa.array(c, pa.list_(pa.int32()))], ["doc_id", "t", "c"])
+
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(count, "doc_id long, t array<int>, c array<int>")
+
+
+def document_frequencies(found: DataFrame, terms_: int) -> tuple[int, np.ndarray]:
+    """(number of rows of :func:`counted`, rows that have each term)."""
+    out = np.zeros(terms_)
+    for r in found.select(F.explode("t").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect():
+        out[r["term"]] = r["n"]
+    return found.count(), out
 
 
 class Index:
@@ -206,9 +214,8 @@ class Index:
                 break
         self.slope, self.shift = float(max(w[0], 0.05)), float(w[1])
 
-    def score(self, text: str | None) -> tuple[float, list[int], list[str]]:
-        """(calibrated score, ids of the neighbours, terms of the text that count)."""
-        counts = self.words.counts(text)
+    def score(self, counts: dict[int, int]) -> tuple[float, list[int], list[str]]:
+        """(calibrated score, ids of the neighbours, terms that count) for a text's counts of terms."""
         key = tuple(sorted(counts.items()))
         if key not in self.seen:  # many texts have the same few terms
             if len(self.seen) >= SEEN:
@@ -220,44 +227,56 @@ class Index:
         return *self.seen[key], [self.vocabulary[t] for t, _ in key]
 
 
-def fit(docs: DataFrame, marks: DataFrame, rows: int = ROWS) -> Index:
-    """The index of about ``rows`` labelled examples at most; document frequencies are those of all ``docs``."""
+def fit(docs: DataFrame, marks: DataFrame, rows: int = ROWS) -> tuple[Index, DataFrame]:
+    """The index of about ``rows`` labelled examples at most, and the term counts of all ``docs``, stored.
+
+    Document frequencies are those of all ``docs``; every text is read once.
+    """
     examples = labelled(docs, marks, "toxic", 5, 0, rows)
     vocabulary = telling_terms(examples)
-    words = Vocabulary(vocabulary)
-    total, df = document_frequencies(docs, vocabulary)
+    found = stored(counted(docs, vocabulary), "terms")
+    total, df = document_frequencies(found, len(vocabulary))
     idf = np.log((1 + total) / (1 + df)) + 1
+    words = Vocabulary(vocabulary)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(words.counts(text).items()) for text in batch.column(1).to_pylist()]
+            own = [sorted(words.counts(text).items()) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(2),
-                pa.array([[t for t, _ in x] for x in found], pa.list_(pa.int32())), pa.array([[c for _, c in x] for x in found], pa.list_(pa.int32())),
+                pa.array([[t for t, _ in x] for x in own], pa.list_(pa.int32())), pa.array([[c for _, c in x] for x in own], pa.list_(pa.int32())),
             ], ["doc_id", "label", "t", "c"])
 
-    found = examples.select("doc_id", "text", "label").mapInArrow(vectors, "doc_id long, label int, t array<int>, c array<int>").collect()
-    index = Index(vocabulary, idf, [(r["doc_id"], dict(zip(r["t"], r["c"])), r["label"]) for r in found])
+    own = examples.select("doc_id", "text", "label").mapInArrow(vectors, "doc_id long, label int, t array<int>, c array<int>").collect()
+    index = Index(vocabulary, idf, [(r["doc_id"], dict(zip(r["t"], r["c"])), r["label"]) for r in own])
     index.calibrate()
-    return index
+    return index, found
 
 
-def scored(text: Column, index: Index, spark: SparkSession) -> Column:
-    """Struct of score, neighbours and evidence of each whole text; null counts as empty."""
+def _scored(index: Index, spark: SparkSession, counts, columns: list[Column]) -> Column:
     shared = spark.sparkContext.broadcast(cloudpickle.dumps(index))
 
     @F.pandas_udf("score double, neighbours array<long>, evidence array<string>")
-    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def nearest(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         own = cloudpickle.loads(shared.value)
-        for texts in batches:
-            rows = [own.score(t) for t in texts]
+        for batch in batches:
+            rows = [own.score(counts(own, *cells)) for cells in zip(*batch)]
             yield pd.DataFrame(rows, columns=["score", "neighbours", "evidence"])
 
-    return nearest(text)
+    return nearest(*columns)
+
+
+def scored(text: Column, index: Index, spark: SparkSession) -> Column:
+    """Struct of score, neighbours and evidence of each whole text; null counts as empty."""
+    return _scored(index, spark, lambda own, value, _: own.words.counts(value), [text, F.lit(0)])
+
+
+def scored_counts(t: Column, c: Column, index: Index, spark: SparkSession) -> Column:
+    """As :func:`scored`, from the columns of :func:`counted`."""
+    return _scored(index, spark, lambda _, terms_, n: dict(zip(terms_.tolist(), n.tolist())), [t, c])
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    index = fit(docs, labels(spark, sf_dir))
-    out = docs.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), scored(F.col("text"), index, spark).alias("s"))
+    index, found = fit(documents(spark, sf_dir), labels(spark, sf_dir))
+    out = found.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), scored_counts(F.col("t"), F.col("c"), index, spark).alias("s"))
     return out.select("doc_id", "held_out", "s.score", (F.col("s.score") >= 0.5).cast("int").alias("predicted"), "s.neighbours", "s.evidence")
