@@ -26,6 +26,7 @@ from meterlake.llm.common import documents, labels, remainder, stored
 ROWS = 20_000
 NEIGHBOURS = 15
 BLOCK = 128
+STEP = 4
 RATE = 0.01
 BOUND = 1e-4
 PRIOR = 1.0
@@ -158,15 +159,26 @@ class Index:
         self.ids = np.array([x[0] for x in own], dtype=np.int64)
         self.labels = np.array([x[2] for x in own], dtype=np.int64)
         self.found = [x[1] for x in own]
-        self.rows = np.zeros((len(own), len(vocabulary)), dtype=np.float32)
-        for i, (_, counts, _) in enumerate(own):
-            for t, v in self.unit(counts).items():
-                self.rows[i, t] = v
-        n = -(-len(own) // BLOCK)
-        self.most = np.array([self.rows[b * BLOCK:(b + 1) * BLOCK].max(axis=0) for b in range(n)], dtype=np.float32).reshape(n, len(vocabulary))
         self.slope, self.shift = 1.0, 0.0
+        self._lay_out()
+
+    def _lay_out(self) -> None:
+        n = -(-len(self.ids) // BLOCK)
+        self.lists = np.zeros((len(self.vocabulary), n, BLOCK), dtype=np.float32)
+        for i, counts in enumerate(self.found):
+            for t, v in self.unit(counts).items():
+                self.lists[t, i // BLOCK, i % BLOCK] = v
+        self.most = self.lists.max(axis=2)
         self.seen: dict[tuple, tuple[float, list[int]]] = {}
 
+    def __getstate__(self) -> dict:
+        """Without the lists, which a worker lays out anew: they are mostly zeros."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("lists", "most", "seen")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._lay_out()
+
     def unit(self, counts: dict[int, int]) -> dict[int, float]:
         value = {t: (1 + math.log(c)) * self.idf[t] for t, c in counts.items()}
         norm = math.sqrt(sum(v * v for v in value.values()))
@@ -178,17 +190,24 @@ class Index:
         if not query or not len(self.ids):
             return []
         t, q = np.array(sorted(query)), np.array([query[x] for x in sorted(query)], dtype=np.float32)
-        bound = self.most[:, t] @ q
-        best: list[tuple[float, int]] = []
-        for b in np.lexsort((np.arange(len(bound)), -bound)).tolist():
-            if bound[b] <= 0 or len(best) == k and bound[b] + 1e-6 < best[-1][0]:
-                break
-            sims = np.round(self.rows[b * BLOCK:(b + 1) * BLOCK][:, t] @ q, 6)
-            for i in np.flatnonzero(sims >= (best[-1][0] if len(best) == k else 1e-9)).tolist():
-                if without is None or self.ids[b * BLOCK + i] != without:
-                    best.append((float(sims[i]), b * BLOCK + i))
-            best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-        return best
+        bound = q @ self.most[t]
+        blocks = np.argsort(-bound, kind="stable")
+        blocks = blocks[: np.count_nonzero(bound > 0)]
+        sims, rows, least, step = np.zeros(0), np.zeros(0, np.int64), 1e-9, STEP
+        while len(blocks):
+            own, blocks, step = blocks[:step], blocks[step:], 4 * step
+            found = np.round(np.tensordot(q, self.lists[t[:, None], own], 1).astype(np.float64), 6)
+            b, i = np.nonzero(found >= least)
+            row = own[b] * BLOCK + i
+            if without is not None:
+                b, i, row = (x[self.ids[row] != without] for x in (b, i, row))
+            sims, rows = np.concatenate([sims, found[b, i]]), np.concatenate([rows, row])
+            order = np.lexsort((rows, -sims))[:k]
+            sims, rows = sims[order], rows[order]
+            if len(sims) == k:
+                least = sims[-1]
+                blocks = blocks[bound[blocks] + 1e-6 >= least]
+        return list(zip(sims.tolist(), rows.tolist()))
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         weight = sum(s for s, _ in near)

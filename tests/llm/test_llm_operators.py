@@ -273,7 +273,7 @@ def test_index_finds_the_true_nearest():
         query = np.zeros(12, np.float32)
         for t, v in index.unit(counts).items():
             query[t] = v
-        true = sorted(np.round(index.rows @ query, 6), reverse=True)[: toxicity.NEIGHBOURS]
+        true = sorted(np.round(np.tensordot(query, index.lists, 1).ravel(), 6), reverse=True)[: toxicity.NEIGHBOURS]
         assert [s for s, _ in index.nearest(counts)] == pytest.approx([float(x) for x in true], abs=2e-6)
 
 
