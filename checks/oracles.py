@@ -258,9 +258,9 @@ BODIES: dict[str, str] = {
     "seed_dims": """SELECT h.hogar_key, h.id_hogar, h.id_medidor, h.ciudad,
         CAST(b.region_key AS BIGINT) AS region_key, b.tarifa AS region,
         CAST(b.p1 AS DOUBLE) AS tarifa_kwh FROM hogar h JOIN book b ON b.tarifa = h.tarifa""",
-    "query": f"""SELECT v.region, count(*) AS dias, max(v.num_lecturas) AS max_lecturas,
-        CAST(max(b.p1) AS DOUBLE) AS tarifa_kwh FROM ({_BY_REGION}) v
-        JOIN book b ON b.tarifa = v.region WHERE v.fecha >= '2024-01-10' GROUP BY v.region""",
+    "query": f"""SELECT v.region, v.fecha >= '2024-01-10' AS reciente, count(*) AS dias,
+        max(v.num_lecturas) AS max_lecturas, CAST(max(b.p1) AS DOUBLE) AS tarifa_kwh
+        FROM ({_BY_REGION}) v JOIN book b ON b.tarifa = v.region GROUP BY ALL""",
     "register_views": f"""SELECT 'fact_consumo' AS tabla, count(*) AS filas FROM fact
         UNION ALL SELECT 'dim_tiempo', count(*) FROM tiempo
         UNION ALL SELECT 'dim_region', count(*) FROM book
@@ -346,10 +346,11 @@ BODIES: dict[str, str] = {
         GROUP BY t.tarifa, t.nivel, t.desde, t.hasta, t.precio""",
     "tier_range_join": "SELECT event_id, nivel, CAST(precio AS DOUBLE) AS precio FROM placed",
     "resolve_home_tariff": "SELECT event_id, hogar_resuelto, tarifa_resuelta FROM odd_resolved",
-    "zero_if_null": """SELECT '1999-12-31' AS dia, CAST(coalesce(sum(d), 0) AS DOUBLE) AS kwh
-        FROM fact WHERE fecha = DATE '1999-12-31'
-        UNION ALL SELECT '2024-01-05', CAST(coalesce(sum(d), 0) AS DOUBLE)
-        FROM fact WHERE fecha = DATE '2024-01-05'""",
+    "zero_if_null": """SELECT CAST(CAST(c.dia AS DATE) AS VARCHAR) AS dia,
+        CAST(coalesce(sum(d), 0) AS DOUBLE) AS kwh
+        FROM (SELECT unnest(range(min(fecha) - INTERVAL 1 DAY, max(fecha) + INTERVAL 2 DAY,
+              INTERVAL 1 DAY)) AS dia FROM fact) c
+        LEFT JOIN fact ON fact.fecha = c.dia GROUP BY c.dia""",
     "join_region": """SELECT CAST(timestamp_real AS VARCHAR) AS timestamp_real, hogar_key, region,
         CAST(b.p1 AS DOUBLE) AS tarifa_kwh FROM fact JOIN book b ON b.region_key = fact.region_key""",
     "join_time": """SELECT CAST(timestamp_real AS VARCHAR) AS timestamp_real, hogar_key,
@@ -372,7 +373,7 @@ BODIES: dict[str, str] = {
         CAST(coalesce(b.p1, 0.954) AS DOUBLE) AS precio_base
         FROM odd o LEFT JOIN book b ON b.tarifa = o.tarifa""",
     "dense_hours": f"""SELECT horas.hora, count(f.hogar_key) AS lecturas FROM {_HOURS}
-        LEFT JOIN (SELECT * FROM fact WHERE {_DAY}) f ON f.hora = horas.hora GROUP BY horas.hora""",
+        LEFT JOIN (SELECT * FROM fact WHERE es_pico) f ON f.hora = horas.hora GROUP BY horas.hora""",
     "dense_heatmap": f"""SELECT dias.dia, dias.dia_semana, dias.dia_corto, horas.hora,
         coalesce(p.kwh, 0) AS kwh FROM {_DAYS} CROSS JOIN {_HOURS}
         LEFT JOIN (SELECT dia_semana, hora, {_AVG} AS kwh FROM fact WHERE es_pico
@@ -456,7 +457,7 @@ BODIES: dict[str, str] = {
         '$' || CASE WHEN n >= 100 THEN regexp_replace({_text('n', 3, True)}, '(\.\d\d)0$', '\1')
              ELSE {_text('n', 3, False)} END AS mxn FROM bands""",
     "period_label": " UNION ALL ".join(
-        f"SELECT '{kind}' AS kind, value, title AS label FROM ({sql})"
+        f"SELECT '{kind}' AS kind, value, title AS label FROM ({sql.split(' LIMIT ')[0]})"
         for kind, sql in _PERIODS.items()
     ),
     "day_index": "SELECT DISTINCT dia_semana, isodow(fecha) - 1 AS dia FROM tiempo",

@@ -117,9 +117,9 @@ def query_views(spark, sf_dir):
     warehouse.register_views(spark, star(spark, sf_dir))
     return warehouse.query(
         spark,
-        "SELECT v.region, COUNT(*) AS dias, MAX(v.num_lecturas) AS max_lecturas, "
-        "MAX(r.tarifa_kwh) AS tarifa_kwh FROM v_consumo_por_region v "
-        "JOIN dim_region r ON r.region = v.region WHERE v.fecha >= :desde GROUP BY v.region",
+        "SELECT v.region, v.fecha >= :desde AS reciente, COUNT(*) AS dias, "
+        "MAX(v.num_lecturas) AS max_lecturas, MAX(r.tarifa_kwh) AS tarifa_kwh "
+        "FROM v_consumo_por_region v JOIN dim_region r ON r.region = v.region GROUP BY ALL",
         desde="2024-01-10",
     )
 
@@ -369,16 +369,14 @@ def resolve_home_tariff(spark, sf_dir):
 
 @register
 def zero_if_null(spark, sf_dir):
-    """Totals of a day without readings, beside those of one with readings."""
+    """Totals of every day from the one before the first reading to the one after the last."""
     fact = star(spark, sf_dir).fact
-
-    def totals(day: str) -> DataFrame:
-        return fact.where(periods.period_filter("dia", day)).agg(
-            F.lit(day).alias("dia"),
-            exact.zero_if_null(exact.exact_sum(F.col("kwh_intervalo"))).alias("kwh"),
-        )
-
-    return totals("1999-12-31").unionByName(totals(DAY))
+    bounds = fact.agg(F.date_sub(F.min("fecha"), 1).alias("a"), F.date_add(F.max("fecha"), 1).alias("b"))
+    days = bounds.where("a IS NOT NULL").select(F.explode(F.sequence("a", "b")).alias("fecha"))
+    totals = fact.groupBy("fecha").agg(exact.exact_sum(F.col("kwh_intervalo")).alias("sum"))
+    return days.join(totals, "fecha", "left").select(
+        F.col("fecha").cast("string").alias("dia"), exact.zero_if_null(F.col("sum")).alias("kwh")
+    )
 
 
 # --- joins ------------------------------------------------------------------------------------
@@ -444,9 +442,10 @@ def lookup_tariff(spark, sf_dir):
 
 @register
 def dense_hours(spark, sf_dir):
-    """Readings of one day by hour, all 24 hours."""
-    day = report.facts_of_period(star(spark, sf_dir), "dia", DAY)
-    return marts.dense_hours(day.groupBy("hora").agg(F.count("*").alias("lecturas")), "lecturas")
+    """Peaks by hour, all 24 hours; some have none."""
+    s = star(spark, sf_dir)
+    peaks = star_ops.join_time(s, marts.only_peaks(s.fact)).groupBy("hora")
+    return marts.dense_hours(peaks.agg(F.count("*").alias("lecturas")), "lecturas")
 
 
 @register
@@ -650,11 +649,11 @@ def fmt_dashboard(spark, sf_dir):
 
 @register
 def period_label(spark, sf_dir):
-    """Labels of all periods in the listings of the star."""
+    """Labels of all periods of the star."""
     tiempo = star(spark, sf_dir).tiempo
     result = None
     for kind in periods.KINDS:
-        part = listings.period_list(tiempo, kind).select(
+        part = listings.period_list(tiempo, kind, complete=True).select(
             F.lit(kind).alias("kind"), "value",
             periods.period_label(kind, F.col("value")).alias("label"),
         )
