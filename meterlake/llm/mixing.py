@@ -19,6 +19,7 @@ from meterlake.llm.common import WORD, documents, stored
 
 BLOCK_WORDS = 64
 SHARD_SLOTS = 65_536
+RUN_SLOTS, TASKS = 4096, 16_384
 BUCKETS = 4096
 ROUNDS = 16
 WEIGHTS = (5, 2, 1)
@@ -132,7 +133,11 @@ def draw_slots(spark: SparkSession, sources: list[Source], seed: int = SEED, sha
     numbers = F.array(*[F.lit(x.slots).cast("long") for x in sources])
     before = F.sum("n").over(Window.partitionBy("s").orderBy("shard")) - F.col("n")
     runs = counts.withColumn("first", before).withColumn("slots", F.element_at(numbers, F.col("s") + 1))
-    runs = runs.select("shard", "s", "slots", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("k"))
+    # Few rows become many: short runs are dealt to a task per shard, at most TASKS, before they are slots.
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(RUN_SLOTS).cast("long")))
+    runs = runs.withColumn("part", part).repartition(min(TASKS, -(-total // shard_slots)), "shard", "s", "part")
+    last = F.col("first") + F.least(F.col("part") + RUN_SLOTS, F.col("n")) - 1
+    runs = runs.select("shard", "s", "slots", F.explode(F.sequence(F.col("first") + F.col("part"), last)).alias("k"))
     if not lack:
         return runs.select("shard", "s", "k")
     number = F.col("k") + F.element_at(F.array(*[F.lit(x).cast("long") for x in spare]), F.col("s") + 1)
