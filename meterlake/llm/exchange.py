@@ -39,6 +39,17 @@ def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[int
                 number += 1
 
 
+def packed(keys: np.ndarray) -> bytes:
+    """Ascending keys (uint64) as differences, all lowest bytes first: the highest are zero and compress away."""
+    gaps = np.diff(keys, prepend=np.uint64(0))
+    return gaps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    gaps = np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T.copy().view(np.uint64)
+    return np.cumsum(gaps.ravel(), dtype=np.uint64)
+
+
 def asked(block: int, kind: int, keys: np.ndarray, low: np.ndarray, high: np.ndarray, buckets: int) -> tuple[list[tuple], np.ndarray]:
     """The packed rows for distinct ``keys`` (uint64), and the order in which the answers come."""
     bucket = (keys % np.uint64(buckets)).astype(np.int64)
@@ -47,7 +58,7 @@ def asked(block: int, kind: int, keys: np.ndarray, low: np.ndarray, high: np.nda
     rows = []
     for b in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
         own = order[ends[b]:ends[b + 1]]
-        rows.append((b, block, kind, keys[own].tobytes(), low[own].tobytes() if len(low) else b"", high[own].tobytes() if len(high) else b""))
+        rows.append((b, block, kind, packed(keys[own]), low[own].tobytes() if len(low) else b"", high[own].tobytes() if len(high) else b""))
     return rows, order
 
 
@@ -62,7 +73,7 @@ def answers(rows: DataFrame, resolve: Callable[[int, list[np.ndarray], list[byte
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
-        keys = [np.frombuffer(x, dtype=np.uint64) for x in table.column("keys").to_pylist()]
+        keys = [unpacked(x) for x in table.column("keys").to_pylist()]
         data = resolve(table.column("kind")[0].as_py(), keys, table.column("low").to_pylist(), table.column("high").to_pylist())
         return pa.table([table.column("block"), table.column("kind"), table.column("bucket"), pa.array(data, pa.binary())], ["block", "kind", "bucket", "data"])
 

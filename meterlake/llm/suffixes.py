@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import _ODD, documents, mix, powers, stored
-from meterlake.llm.exchange import ASKED, IndexFamily, answers, asked, asked_batch, bucket_number, numbered, with_answers
+from meterlake.llm.exchange import ASKED, IndexFamily, answers, asked, asked_batch, bucket_number, numbered, packed, with_answers
 
 LENGTH = 50
 GRAM = 20
@@ -87,7 +87,7 @@ class Block:
         rows = []
         for b in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
             o = order[ends[b]:ends[b + 1]]
-            rows.append((b, block, RUNS, gram[o].tobytes(), (span[o] >> np.uint64(32)).astype(np.uint32).tobytes(), least[o].tobytes()))
+            rows.append((b, block, RUNS, packed(gram[o]), (span[o] >> np.uint64(32)).astype(np.uint32).tobytes(), least[o].tobytes()))
         return rows, order
 
     def settled(self, flags: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray]:
