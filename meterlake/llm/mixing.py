@@ -151,7 +151,10 @@ def draw_slots(spark: SparkSession, sources: list[Source], seed: int = SEED, sha
 
 
 def block_draws(spark: SparkSession, sources: list[Source], seed: int = SEED, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """(shard, s, pass, block) of every slot of the mix."""
+    """(shard, s, pass, block) of every slot of the mix.
+
+    The planner takes the slots for as few as the counts they come from: join them by merge, never by broadcast.
+    """
     slots = draw_slots(spark, sources, seed, shard_slots)
     if not sources:
         return slots.select("shard", "s", F.col("k").alias("pass"), F.col("k").alias("block"))
@@ -203,7 +206,7 @@ def mixed(docs: DataFrame, seed: int = SEED, block_words: int = BLOCK_WORDS, doc
     rows = stored(located(thin, sources, seed), "located")
     times = block_draws(spark, sources, seed).groupBy("s", "block").agg(F.count("*").alias("times"))
     keys = ["doc_id", "size", "source_size", "target"]
-    cut = pieces(rows, block_words).select("s", "start", *keys, "block", "words").join(times, ["s", "block"], "left")
+    cut = pieces(rows, block_words).select("s", "start", *keys, "block", "words").join(times.hint("merge"), ["s", "block"], "left")
     taken = cut.groupBy("s", "start", *keys).agg(F.sum(F.col("words") * F.coalesce(F.col("times"), F.lit(0))).alias("taken"))
     return taken.select(*keys, "taken").unionByName(rows.where("size = 0").select(*keys, F.lit(0).cast("long").alias("taken")))
 
@@ -221,7 +224,7 @@ def mixed_documents(docs: DataFrame, seed: int = SEED, block_words: int = BLOCK_
         return docs
     found = stored(located(thin, sources, seed), "located")
     draws = block_draws(spark, sources, seed).select("s", "block", "pass")
-    cut = pieces(found, block_words).join(draws, ["s", "block"])
+    cut = pieces(found, block_words).join(draws.hint("merge"), ["s", "block"])
     spans = cut.groupBy("s", "start", "doc_id", "size", "digest", "pass").agg(F.sum("words").alias("taken"), F.sort_array(F.collect_list(F.struct("first", "words"))).alias("spans"))
     names = _table(spark, sources).select("s", F.col("name").alias("source"))
     passes = spans.join(F.broadcast(names), "s").groupBy("doc_id", "source", "size", "digest", "start").agg(F.collect_list(F.struct("pass", "taken", "spans")).alias("passes"))
