@@ -177,6 +177,22 @@ def test_mixing(docs, spark):
 def test_mixing_plan_is_native(spark):
     plan = mixing.op7_mixing(spark, SF)._jdf.queryExecution().toString() + rules.op3_quality_rules(spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+    assert re.search(r"SortMergeJoin \[s#\d+, block#\d+L\]", plan)
+
+
+def test_many_slots_are_dealt_to_many_tasks(spark):
+    sources = [mixing.Source(0, "a", 64_000, 96_000.0, 1000, 1500), mixing.Source(1, "b", 6400, 12_800.0, 100, 200)]
+    slots = mixing.draw_slots(spark, sources, shard_slots=100)
+    assert len({r["shard"] for r in slots.collect()}) == 17
+    assert sorted((r["s"], r["k"]) for r in slots.collect()) == [(0, k) for k in range(1500)] + [(1, k) for k in range(200)]
+    whole = mixing.draw_slots(spark, [mixing.Source(0, "a", 64 * 9000, 64.0 * 13_000, 9000, 13_000)])
+    assert sorted(r["k"] for r in whole.collect()) == list(range(13_000))
+
+
+def test_packed_keys_come_back():
+    keys = np.sort(np.random.default_rng(1).integers(0, (1 << 64) - 1, 1000, dtype=np.uint64, endpoint=True))
+    for own in (keys, keys[:1], np.array([0, 5, 5, (1 << 64) - 1], np.uint64)):
+        assert (exchange.unpacked(exchange.packed(own)) == own).all()
 
 
 def test_shares_stop_at_two_passes():
