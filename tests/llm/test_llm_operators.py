@@ -293,6 +293,33 @@ def test_index_finds_the_true_nearest():
         assert [s for s, _ in index.nearest(counts)] == pytest.approx([float(x) for x in true], abs=2e-6)
 
 
+def test_a_copy_without_telling_terms_has_its_original_as_neighbour(spark):
+    clean = [(i, f"plain words about topic {i % 7} and number {i}", 0) for i in range(40)]
+    toxic = [(100 + i, f"zorb grunt{'le' * (i % 3)} people {i}", 1) for i in range(12)]
+    odd = (200, "quixotic blether upon thrawn folk", 1)
+    held = next(i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 5 == 0)
+    rows = [*clean, *toxic, odd]
+    docs = spark.createDataFrame([*[(i, t) for i, t, _ in rows], (held, odd[1]), (held, odd[1] + " unheard"), (None, None)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, y) for i, _, y in rows if zlib.crc32(str(i).encode()) % 5], "doc_id long, toxic int")
+    assert zlib.crc32(b"200") % 5
+    out = toxicity.judged(docs, *toxicity.fit(docs, marks)).where("doc_id IS NULL OR doc_id >= 200").collect()
+    by = collections.defaultdict(list)
+    for r in out:
+        by[r["doc_id"]].append(r)
+    assert all(r["neighbours"][0] == 200 and not r["evidence"] for r in by[held])
+    # An unheard word lengthens the text, so its neighbours weigh less.
+    assert by[held][0]["score"] != by[held][1]["score"] and min(r["score"] for r in by[held]) > by[None][0]["score"]
+    assert by[None][0]["neighbours"] == []
+
+
+def test_all_words_count_in_the_cosine():
+    index = toxicity.Index(["a", "b", "c"], np.array([1.0, 2.0, 3.0]), [(1, {0: 1, 1: 1}, 0), (2, {1: 1, 2: 2}, 1), (3, {}, 0)])
+    near = dict((index.ids[i], s) for s, i in index.nearest({0: 1, 1: 1}))
+    other = 3 * (1 + math.log(2))
+    assert near == pytest.approx({1: 1.0, 2: 4 / math.sqrt(5 * (4 + other * other))}, abs=1e-5)
+    assert index.score("a b unheard")[0] != index.score("a b")[0]
+
+
 def test_packing_keeps_every_token(docs, texts, spark):
     encoder = packing.Encoder.of(packing.default_vocabulary())
     import public_tokenizers
