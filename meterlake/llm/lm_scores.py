@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from meterlake.llm.common import _ODD, documents, mix, word_hashes
 from meterlake.llm.exchange import ASKED, answers, asked, asked_batch, bucket_number, numbered, with_answers
 
-ORDER = 2
+ORDER = 3
 ALPHA = 0.4
 RESULT = "doc_id long, n_words long, n_backed_off long, log_score double"
 
@@ -107,5 +107,10 @@ def scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, doc_id: st
     return with_answers(plain, answers(plain.mapInArrow(ask, ASKED), _resolve), finish, RESULT)
 
 
-def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scores(documents(spark, sf_dir))
+def op1_lm_scores(spark: SparkSession, sf_dir: str, order: int = 2) -> DataFrame:
+    return scores(documents(spark, sf_dir), order)
+
+
+def op1_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registered query: order ``ORDER``."""
+    return op1_lm_scores(spark, sf_dir, ORDER)

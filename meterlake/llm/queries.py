@@ -6,7 +6,7 @@ import corpus_pipeline
 from meterlake.llm import classifier, exact, jaccard, lm_scores, mixing, packing, reshard, rules, suffixes, toxicity
 
 QUERIES = {
-    "op1_lm_scores": lm_scores.op1_lm_scores,
+    "op1_lm_scores": lm_scores.op1_registered,
     "op2_min_cost_resharding": reshard.op2_min_cost_resharding,
     "op3_quality_rules": rules.op3_quality_rules,
     "op4_ngram_jaccard_join": jaccard.op4_ngram_jaccard_join,

@@ -231,6 +231,32 @@ def test_lm_scores_against_counts(texts, spark):
         assert (r["n_words"], r["n_backed_off"]) == (len(w), off) and r["log_score"] == pytest.approx(score)
 
 
+def test_registered_scores_back_off_from_three_words(texts, spark):
+    counts, words = collections.Counter(), {}
+    for key, text in texts:
+        w = words[key] = WORD.findall(text)
+        counts.update(tuple(w[i:i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1))
+    total = sum(map(len, words.values()))
+    for r in queries.QUERIES["op1_lm_scores"](spark, SF).collect():
+        w = words[r["doc_id"]]
+        own = collections.Counter(tuple(w[i:i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1))
+        score, off = 0.0, 0
+        for i in range(len(w)):
+            longest = min(i + 1, 3)
+            for k in range(longest, 0, -1):
+                gram = tuple(w[i - k + 1:i + 1])
+                seen = counts[gram] - own[gram]
+                base = counts[gram[:-1]] - own[gram[:-1]] if k > 1 else total - len(w)
+                if seen and base:
+                    score += math.log(seen / base) + (longest - k) * math.log(0.4)
+                    break
+            else:
+                k = 0
+                score += longest * math.log(0.4) - math.log(total - len(w) + 1)
+            off += k < longest
+        assert (r["n_words"], r["n_backed_off"]) == (len(w), off) and r["log_score"] == pytest.approx(score)
+
+
 def test_lm_score_edges(docs, spark):
     rows = lm_scores.scores(docs, order=3).collect()
     assert len(rows) == len(ROWS) and {r["log_score"] for r in rows if not r["n_words"]} == {0.0}
