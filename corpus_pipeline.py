@@ -10,7 +10,7 @@ from meterlake.llm.common import documents, labels, stored
 from meterlake.llm.exact import without_copies
 from meterlake.llm.jaccard import without_near_copies
 from meterlake.llm.mixing import mixed_documents
-from meterlake.llm.packing import default_vocabulary, pack, token_pieces
+from meterlake.llm.packing import default_vocabulary, packed_rows, places
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +35,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in packed sequences."""
-    return pack(token_pieces(docs, default_vocabulary()))
+    """The pieces of all documents with their places in the packed sequences, which are written."""
+    return places(packed_rows(docs, default_vocabulary()))
 
 
 STAGES = [

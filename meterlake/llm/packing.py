@@ -58,7 +58,7 @@ def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, doc_id: str =
     ``mark`` tells equal rows apart by their place in a batch. ``with_ids`` adds the ids themselves.
     """
 
-    schema = PIECES + (", ids array<long>" if with_ids else "")
+    schema = PIECES + (", ids array<int>" if with_ids else "")
     names = [part.split()[0] for part in schema.split(", ")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,7 +75,7 @@ def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, doc_id: str =
                         own = (doc_ids[at], piece, a, b - a, zlib.crc32(ids[a:b].tobytes()), at)
                         for column, cell in zip(rows, (*own, ids[a:b].tolist()) if with_ids else own):
                             column.append(cell)
-                types = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.list_(pa.int64())]
+                types = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.list_(pa.int32())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names)
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)
@@ -124,7 +124,9 @@ def pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, st
     Pieces are dealt by hash to streams of about ``stream_pieces``, whatever their number, so each task
     has a bounded stream. A stream arrives in the order of its hashes through a buffer of ``buffer``
     pieces, from which the longest goes first. No pieces: no rows. Equal pieces are packed each for itself.
+    Pieces with ids keep them.
     """
+    carried = [*PACKED, *[c for c in pieces.columns if c == "ids"]]
     thin = stored(pieces, "pieces")
     streams = max(1, -(-thin.count() // stream_pieces))
     keyed = thin.withColumn("h", F.xxhash64("doc_id", "piece", "start", "ids_crc32", "mark")).withColumn("stream", F.pmod("h", F.lit(streams)))
@@ -134,11 +136,11 @@ def pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, st
         sizes = table.column("length").to_numpy()
         order = np.concatenate([i + np.argsort(-sizes[i:i + buffer], kind="stable") for i in range(0, len(sizes), buffer)])
         bins, offsets = best_fit(sizes[order].tolist(), length, open_bins)
-        table = table.select(PACKED).take(pa.array(order))
+        table = table.select(carried).take(pa.array(order))
         table = table.append_column("sequence_id", pa.array((key[0].as_py() << 32) + np.array(bins, dtype=np.int64)))
         return table.append_column("offset", pa.array(offsets, pa.int64()))
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, " + ("ids array<int>, " if "ids" in carried else "") + "sequence_id long, offset long"
     return keyed.groupBy("stream").applyInArrow(run, schema)
 
 
@@ -153,6 +155,34 @@ def sequences(pieces_with_ids: DataFrame, packed: DataFrame) -> DataFrame:
     return rows.groupBy("sequence_id").agg(F.sort_array(F.collect_list("part")).alias("parts")).select("sequence_id", F.flatten("parts.ids").alias("ids"))
 
 
+def packed_rows(docs: DataFrame, path: str) -> DataFrame:
+    """The packed sequences, written to the shared folder: (sequence_id, ids, pieces with their places), a row for each."""
+    packed = pack(token_pieces(docs, path, with_ids=True))
+    part = F.struct("offset", "length", "doc_id", "piece", "start", "ids")
+    rows = packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    pieces = F.transform("parts", lambda x: x.dropFields("ids"))
+    return stored(rows.select("sequence_id", F.flatten("parts.ids").alias("ids"), pieces.alias("pieces")), "sequences")
+
+
+def places(rows: DataFrame) -> DataFrame:
+    """The pieces of :func:`packed_rows`; length and ids_crc32 are those of the ids that lie at their places."""
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for sequence, ids, pieces in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                own = ids.values.to_numpy().astype("<u4")
+                for x in pieces:
+                    found = own[x["offset"]:x["offset"] + x["length"]]
+                    out.append((x["doc_id"], x["piece"], x["start"], len(found), zlib.crc32(found.tobytes()), sequence, x["offset"]))
+            columns = list(zip(*out)) if out else [[]] * 7
+            types = [pa.int64(), pa.int32(), *[pa.int64()] * 5]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], [x.split()[0] for x in schema.split(", ")])
+
+    return rows.mapInArrow(read, schema)
+
+
 def _same(keys: list[str]):
     from pyspark.sql import Window
 
@@ -167,4 +197,4 @@ def default_vocabulary() -> str:
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(token_pieces(documents(spark, sf_dir), default_vocabulary()))
+    return places(packed_rows(documents(spark, sf_dir), default_vocabulary()))

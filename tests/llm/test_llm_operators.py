@@ -378,6 +378,21 @@ def test_packing_keeps_every_token(docs, texts, spark):
     assert packing.pack(packing.token_pieces(nothing(spark), packing.default_vocabulary())).count() == 0
 
 
+def test_packed_sequences_are_written_with_their_ids(docs, spark):
+    encoder = packing.Encoder.of(packing.default_vocabulary())
+    rows = packing.packed_rows(docs, packing.default_vocabulary())
+    assert rows.inputFiles() and packing.packed_rows(nothing(spark), packing.default_vocabulary()).count() == 0
+    found = collections.defaultdict(list)
+    for r in rows.collect():
+        assert len(r["ids"]) == sum(x["length"] for x in r["pieces"]) <= packing.LENGTH
+        for x in r["pieces"]:
+            found[x["doc_id"]].append((x["start"], r["ids"][x["offset"]:x["offset"] + x["length"]]))
+    for key, text, *_ in ROWS:
+        if [x[0] for x in ROWS].count(key) == 1:
+            assert [i for _, ids in sorted(found[key]) for i in ids] == [*encoder.ids(text or ""), packing.END]
+    assert sum(len(x) for x in found.values()) == packing.places(rows).count()
+
+
 def test_best_fit_closes_the_fullest():
     assert packing.best_fit([6, 6, 4, 3], 10, 2) == ([0, 1, 0, 1], [0, 0, 6, 6])
     assert packing.best_fit([6, 7, 8, 4], 10, 2)[0] == [0, 1, 2, 0]
