@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from meterlake.llm import classifier, exact, jaccard, lm_scores, mixing, packing, reshard, rules, suffixes, toxicity
+from meterlake.llm import classifier, exact, jaccard, lm_scores, mixing, packing, reshard, rules, spelling, suffixes, toxicity
 
 QUERIES = {
     "op1_lm_scores": lm_scores.op1_registered,
@@ -16,10 +16,12 @@ QUERIES = {
     "op8_suffix_array_dedup": suffixes.op8_suffix_array_dedup,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op3_quality_rules": rules.op3_sql(),
     "op4_ngram_jaccard_join": jaccard.OP4_SQL,
     "op6_exact_dedup": exact.OP6_SQL,
+    "op11_spelling_variants": spelling.OP11_SQL,
 }
