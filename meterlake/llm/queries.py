@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from meterlake.llm import classifier, exact, jaccard, lm_scores, mixing, packing, reshard, rules, spelling, suffixes, toxicity
+from meterlake.llm import classifier, exact, html_text, jaccard, lm_scores, mixing, packing, periodic, reshard, rules, spelling, suffixes, toxicity
 
 QUERIES = {
     "op1_lm_scores": lm_scores.op1_registered,
@@ -17,6 +17,8 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
     "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_periodic_runs": periodic.op12_periodic_runs,
+    "op13_html_text": html_text.op13_html_text,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
