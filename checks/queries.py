@@ -509,7 +509,7 @@ for _function in (
 @register
 def resumen_diario(spark, sf_dir):
     s = star(spark, sf_dir)
-    return star_ops.resumen_diario(s.fact, s.tiempo)
+    return star_ops.resumen_diario(s.fact)
 
 
 def _report(function: Callable, kind: str, value: str, name: str) -> None:

@@ -202,9 +202,12 @@ def build_fact(
     )
 
 
-def resumen_diario(fact: DataFrame, tiempo: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Daily rollup; NULL home or region keys form groups of their own. ``by`` adds group columns."""
-    timed = fact.join(tiempo.select("tiempo_key", "fecha"), ["tiempo_key", "fecha"])
+def resumen_diario(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Daily rollup; NULL home or region keys form groups of their own. ``by`` adds group columns.
+
+    The date is the fact's own, which it shares with its quarter hour; facts without a quarter hour are left out.
+    """
+    timed = fact.where(F.col("tiempo_key").isNotNull())
     return timed.groupBy("fecha", "hogar_key", "region_key", *by).agg(
         *consumption(), F.max("kwh_intervalo").alias("kwh_max"),
         exact_avg(F.col("kwh_intervalo")).alias("kwh_promedio"),

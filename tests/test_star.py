@@ -65,7 +65,7 @@ def test_null_keys_form_rollup_groups(odd_star):
 
 
 def test_rollup_is_the_aggregate_of_the_facts(odd_star):
-    recomputed = ops.resumen_diario(odd_star.fact, odd_star.tiempo)
+    recomputed = ops.resumen_diario(odd_star.fact)
     stored = odd_star.resumen_diario.select(*recomputed.columns)
     assert recomputed.exceptAll(stored).isEmpty() and stored.exceptAll(recomputed).isEmpty()
 

@@ -90,7 +90,7 @@ def test_failed_attempt_then_restart_leaves_one_copy(spark, installation, tmp_pa
 
 def daily_is_that_of_the_facts(spark, paths):
     star = warehouse.open_star(spark, paths.star)
-    wanted = ops.resumen_diario(star.fact, star.tiempo)
+    wanted = ops.resumen_diario(star.fact)
     stored = star.resumen_diario.select(*wanted.columns)
     return wanted.exceptAll(stored).isEmpty() and stored.exceptAll(wanted).isEmpty()
 
