@@ -247,7 +247,13 @@ BODIES: dict[str, str] = {
     "load_fact": """SELECT tiempo_key, hogar_key, CAST(region_key AS BIGINT) AS region_key,
         CAST(timestamp_real AS VARCHAR) AS timestamp_real, kwh_intervalo, voltaje, potencia_w,
         CAST(c AS DOUBLE) AS costo_mxn, es_pico, CAST(fecha AS VARCHAR) AS fecha FROM fact""",
+    "reprocess_messages": """SELECT 'v' || CAST(event_id % 7 AS VARCHAR) AS firmware, tarifa, count(*) AS filas,
+        CAST(sum(d) AS DOUBLE) AS kwh FROM clean WHERE event_id % 7 <> 3 GROUP BY ALL""",
     "refresh_daily": _DAILY,
+    "fold_daily": _DAILY,
+    "fold_fact": """SELECT tiempo_key, hogar_key, CAST(region_key AS BIGINT) AS region_key,
+        CAST(timestamp_real AS VARCHAR) AS timestamp_real, kwh_intervalo, voltaje, potencia_w,
+        CAST(c AS DOUBLE) AS costo_mxn, es_pico, CAST(fecha AS VARCHAR) AS fecha FROM fact""",
     "merge_new_keys": """SELECT DISTINCT
         CAST(strftime(time_bucket(INTERVAL '15 minutes', "timestamp"), '%Y%m%d%H%M') AS BIGINT)
           AS tiempo_key,
@@ -334,6 +340,18 @@ BODIES: dict[str, str] = {
         FROM clean JOIN book b ON b.tarifa = clean.tarifa GROUP BY b.tarifa""",
     "month_to_date": "SELECT event_id, CAST(antes AS DOUBLE) AS kwh_acumulado_mes FROM month_totals",
     "price_tiered": "SELECT event_id, nivel, CAST(costo AS DOUBLE) AS costo_mxn FROM placed",
+    "month_ledger": "SELECT event_id, nivel, CAST(costo AS DOUBLE) AS costo_mxn FROM placed",
+    "month_bills": """SELECT id_hogar, CAST(strftime(c."timestamp", '%Y%m') AS BIGINT) AS mes,
+        CAST(sum(CAST(kwh_intervalo * 10 AS DECIMAL(18,6))) AS DOUBLE) AS kwh, CAST(sum(costo) AS DOUBLE) AS costo,
+        count(*) AS lecturas, bool_or(c.event_id % 2 = 0 AND p.nivel <> q.nivel) AS corregida
+        FROM clean c JOIN placed p ON p.event_id = c.event_id LEFT JOIN (
+          SELECT m.event_id, t.nivel FROM (
+            SELECT event_id, tarifa, coalesce(sum(CAST(kwh_intervalo * 10 AS DECIMAL(18,6))) OVER (
+              PARTITION BY id_hogar, year("timestamp"), month("timestamp") ORDER BY "timestamp", event_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS antes
+            FROM clean WHERE event_id % 2 = 0) m JOIN tiers t
+          ON t.tarifa = m.tarifa AND m.antes >= t.desde AND (t.hasta IS NULL OR m.antes < t.hasta)) q ON q.event_id = c.event_id
+        GROUP BY ALL""",
     "price_tiered_totals": """SELECT nivel, count(*) AS filas, CAST(sum(costo) AS DOUBLE) AS costo
         FROM placed GROUP BY nivel""",
     "tier_bounds": """SELECT t.tarifa, t.nivel, CAST(t.desde AS DOUBLE) AS desde,

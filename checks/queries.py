@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks.stage import irregular, loaded, new_root, portable, readings, registry, star, table
 from meterlake.functions import calendar as cal
@@ -13,9 +15,9 @@ from meterlake.functions import energy, exact, periods, text
 from meterlake.operators import books, features, peaks, quality, tariffs
 from meterlake.operators import star as star_ops
 from meterlake.plans import daily, listings, marts, report
-from meterlake.sources import lake, warehouse
+from meterlake.sources import lake, ledger, warehouse
 from meterlake.sources.events import read_events, readings_from_events
-from meterlake.sources.readings import CORRUPT, decode_readings, encode_readings
+from meterlake.sources.readings import CORRUPT, MESSAGE, decode_readings, encode_readings
 from meterlake.streaming import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,6 +159,57 @@ def to_records(spark, sf_dir):
     return lake.to_records(rows)
 
 
+@register
+def reprocess_messages(spark, sf_dir):
+    """Messages with a key the first schema lacks, some of them broken, stored and decoded again with it."""
+    paths = new_root(spark, sf_dir)
+    df = readings(spark, sf_dir)
+    df = df.withColumn("firmware", F.concat(F.lit("v"), (F.col("event_id") % 7).cast("string")))
+    sent = encode_readings(df, ["firmware"]).select(
+        F.when(F.col("value").contains('"v3"'), F.concat(F.lit("{roto "), "value")).otherwise(F.col("value")).alias("value")
+    )
+    lake.write_raw(decode_readings(sent, keep=MESSAGE), paths.raw)
+    again = lake.reprocess_messages(spark, paths.raw, [T.StructField("firmware", T.StringType())])
+    return again.groupBy("firmware", "tarifa").agg(
+        F.count("*").alias("filas"), exact.exact_sum(F.col("kwh_intervalo")).alias("kwh"),
+    )
+
+
+_folded_stars: dict[tuple[str, str], str] = {}
+
+
+def _folded(spark, sf_dir):
+    """Four batches by event number, one late in every day, one repeated; days folded twice in between.
+
+    Loaded once per application, like the other stored tables.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _folded_stars:
+        return warehouse.open_star(spark, _folded_stars[key])
+    paths = new_root(spark, sf_dir)
+    warehouse.create_star(spark, paths.star, registry(spark, sf_dir))
+    rows = features.transform(readings(spark, sf_dir)).withColumn("_lote", F.pmod(F.col("event_id"), F.lit(4)))
+    for step, lote in enumerate((0, 1, 2, 1, 3)):
+        warehouse.load_star(rows.where(F.col("_lote") == lote).drop("_lote"), paths.star, f"0-{lote}", micro_batch=True)
+        if step in (1, 3):
+            warehouse.fold_days(spark, paths.star, date(2024, 1, 20))
+    _folded_stars[key] = paths.star
+    return warehouse.open_star(spark, paths.star)
+
+
+@register
+def fold_fact(spark, sf_dir):
+    return _folded(spark, sf_dir).fact.select(
+        "tiempo_key", "hogar_key", "region_key", "timestamp_real", "kwh_intervalo", "voltaje",
+        "potencia_w", "costo_mxn", "es_pico", "fecha",
+    )
+
+
+@register
+def fold_daily(spark, sf_dir):
+    return _folded(spark, sf_dir).resumen_diario
+
+
 # --- filters ----------------------------------------------------------------------------------
 
 
@@ -335,6 +388,30 @@ def price_tiered_totals(spark, sf_dir):
     )
 
 
+@register
+def month_ledger(spark, sf_dir):
+    """Three batches, the last of them late and the second repeated after it: prices as over all readings."""
+    path = new_root(spark, sf_dir).star
+    rows = _scaled(spark, sf_dir)
+    late = F.pmod(F.col("event_id"), F.lit(5)) == 0
+    second = F.col("timestamp") >= F.lit("2024-01-12").cast("timestamp_ntz")
+    batches = [rows.where(~late & ~second), rows.where(~late & second), rows.where(late)]
+    for lote in (0, 1, 2, 1):
+        ledger.price_batch(batches[lote], path, lote, tiebreak=["event_id"])
+    return ledger.priced_readings(spark, path).select("event_id", "nivel", "costo_mxn")
+
+
+@register
+def month_bills(spark, sf_dir):
+    """Bills per home and month from the ledger of two batches, every other reading being late."""
+    path = new_root(spark, sf_dir).star
+    rows = _scaled(spark, sf_dir)
+    for lote in (0, 1):
+        ledger.price_batch(rows.where(F.pmod("event_id", F.lit(2)) == lote), path, lote, tiebreak=["event_id"])
+    bills = ledger.month_bills(spark, path)
+    return bills.select("id_hogar", "mes", "kwh", "costo", "lecturas", (F.col("correcciones") > 0).alias("corregida"))
+
+
 @register
 def tier_bounds(spark, sf_dir):
     """Blocks with their bounds and the number of home-months that end in each."""

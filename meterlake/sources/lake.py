@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from meterlake.fixed_values import TARIFFS, Tariff
 from meterlake.operators.features import transform
+from meterlake.sources.readings import MESSAGE, decode_readings, good_messages
 
 _RAW_PARTITIONS = [T.StructField(c, T.StringType()) for c in ("year", "month", "day", "batch_id")]
 _CLEAN_PARTITIONS = [T.StructField(c, T.StringType()) for c in ("year", "month", "batch_id")]
@@ -100,6 +101,34 @@ def reprocess_raw(
     return transform(read_raw(spark, path, schema).drop(*partitions), books, peak_scope)
 
 
+def read_messages(spark: SparkSession, path: str) -> DataFrame:
+    """Text of all messages of the raw lake as received (``mensaje``), with day and batch.
+
+    Batches that came as columns, not as messages, have NULL.
+    """
+    schema = T.StructType([T.StructField(MESSAGE, T.StringType())])
+    return read_raw(spark, path, schema)
+
+
+def decode_again(
+    spark: SparkSession, path: str, fields: Sequence[T.StructField] = ()
+) -> DataFrame:
+    """All stored messages decoded anew, with keys (``fields``) that were unknown when they came in."""
+    return decode_readings(read_messages(spark, path).where(F.col(MESSAGE).isNotNull()), MESSAGE, fields=fields)
+
+
+def reprocess_messages(
+    spark: SparkSession,
+    path: str,
+    fields: Sequence[T.StructField] = (),
+    books: Sequence[Tariff] = TARIFFS,
+    peak_scope: Sequence[str] | None = None,
+) -> DataFrame:
+    """As ``reprocess_raw``, from the messages themselves; ``fields`` pass through the transform."""
+    partitions = [p.name for p in _RAW_PARTITIONS]
+    return transform(good_messages(decode_again(spark, path, fields)).drop(*partitions), books, peak_scope)
+
+
 def to_records(df: DataFrame, column: str = "registro") -> DataFrame:
     """Result rows as JSON objects, one per row."""
     return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(column))

@@ -23,8 +23,8 @@ from meterlake import schemas
 from meterlake.fixed_values import TARIFFS, Tariff
 from meterlake.functions.exact import count_where, exact_sum, half_up
 from meterlake.operators.features import transform
-from meterlake.sources import lake, warehouse
-from meterlake.sources.readings import CORRUPT, good_messages
+from meterlake.sources import lake, ledger, warehouse
+from meterlake.sources.readings import CORRUPT, MESSAGE, good_messages
 
 log = logging.getLogger(__name__)
 
@@ -64,6 +64,7 @@ def process_batch(
     micro_batch: bool = False,
     unique: Sequence[str] = (),
     clock: datetime | None = None,
+    monthly: bool = False,
 ) -> dict[str, int]:
     """Body of one micro-batch, also usable on a batch DataFrame; returns its counts.
 
@@ -75,6 +76,8 @@ def process_batch(
     a new checkpoint from earlier ones. ``micro_batch`` says that a batch is small beside the registry.
     ``unique`` names columns, such as meter and
     timestamp, of which a batch keeps one reading each; by default repeated readings are kept.
+    ``monthly`` also prices the batch by month-to-date totals (``sources.ledger``); ``batch_id`` must be a
+    number then, which orders the batches.
     """
     spark = batch.sparkSession
     batch_name = f"{run}-{batch_id}"
@@ -91,6 +94,7 @@ def process_batch(
     received = raw.count()
     if CORRUPT in raw.columns:
         raw = good_messages(raw)
+    raw = raw.drop(MESSAGE)
     if unique:
         raw = raw.dropDuplicates(list(unique))
     clean = transform(raw, books, peak_scope)
@@ -99,6 +103,8 @@ def process_batch(
     if kept:
         stored = lake.read_processed(spark, paths.processed, clean.schema, batch_name)
         warehouse.load_star(stored, paths.star, batch_name, books, micro_batch)
+        if monthly:
+            ledger.price_batch(stored, paths.star, int(batch_id), books)
     counts = dict(zip(COUNTS, (received, kept, received - kept, peaks)))
     log.info("batch %s: %s", batch_name, counts)
     return counts
@@ -138,6 +144,7 @@ def start_pipeline(
     processing_time: str | None = None,
     micro_batch: bool = True,
     unique: Sequence[str] = (),
+    monthly: bool = False,
     on_batch: Callable[[int, dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
     """Start the ingestion of a reading stream into an existing star.
@@ -149,7 +156,9 @@ def start_pipeline(
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        counts = process_batch(batch, batch_id, paths, books, peak_scope, run, micro_batch, unique)
+        counts = process_batch(
+            batch, batch_id, paths, books, peak_scope, run, micro_batch, unique, monthly=monthly
+        )
         if on_batch is not None:
             on_batch(batch_id, counts)
 

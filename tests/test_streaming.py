@@ -6,12 +6,14 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from meterlake.fixed_values import METERS
+from meterlake.fixed_values import METERS, TARIFFS
 from meterlake.operators import star as ops
 from meterlake.operators.features import transform
+from meterlake.operators.tariffs import month_to_date, price_tiered
 from meterlake.plans import marts
-from meterlake.sources import lake, warehouse
+from meterlake.sources import lake, ledger, warehouse
 from meterlake.sources.readings import encode_readings, read_readings_stream
 from meterlake.streaming import pipeline
 
@@ -202,6 +204,38 @@ def test_repeated_readings_are_kept_unless_asked(installation, make_readings):
     assert pipeline.process_batch(df, 1, installation, unique=key)["filas_limpias"] == 1
 
 
+def test_messages_stay_as_received(spark, installation, tmp_path):
+    """A key the schema lacks, odd spacing and a broken message come back from the raw lake; then the key is read."""
+    lines = [message(0, firmware="1.2"), "  " + message(1), "{broken", message(2, firmware="1.3", estado="apagado")]
+    source = drop_files(tmp_path / "in", [lines])
+    pipeline.drain(stream(spark, source), installation)
+    stored = [r.mensaje for r in lake.read_messages(spark, installation.raw).collect()]
+    assert sorted(stored) == sorted(lines)
+    field = T.StructField("firmware", T.StringType())
+    again = lake.reprocess_messages(spark, installation.raw, [field])
+    assert sorted((r.id_medidor, r.firmware) for r in again.collect()) == [("MED-001", "1.2"), ("MED-002", None)]
+    assert "mensaje" not in again.columns
+    assert lake.decode_again(spark, installation.raw).count() == 4
+    assert warehouse.open_star(spark, installation.star).fact.count() == 2
+
+
+def test_month_prices_in_the_stream(spark, installation, tmp_path):
+    """Three micro-batches, the last one late: the ledger holds the prices of one run over everything."""
+    kwh = {i: 4.9 if i % 8 == 0 else 0.5 for i in range(96)}
+    on_time = [message(i, kwh_intervalo=kwh[i]) for i in range(96) if i % 5]
+    late = [message(i, kwh_intervalo=kwh[i]) for i in range(96) if i % 5 == 0]
+    source = drop_files(tmp_path / "in", [on_time[:40], on_time[40:], late])
+    books = [t._replace(bloques=tuple(b._replace(limite_kwh=b.limite_kwh and 2.0) for b in t.bloques), dac_kwh_mes=9) for t in TARIFFS]
+    pipeline.drain(stream(spark, source), installation, books=books, monthly=True)
+    everything = lake.read_processed(spark, installation.processed, spark.read.parquet(installation.processed).schema)
+    wanted = price_tiered(month_to_date(everything), books)
+    columns = ["id_hogar", "timestamp", "kwh_intervalo", "nivel", "costo_mxn"]
+    got = ledger.priced_readings(spark, installation.star)
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, wanted.select(columns).collect()))
+    assert ledger.read_ledger(spark, installation.star).where("signo < 0").count() > 0
+    assert len({r.nivel for r in got.collect()}) > 2
+
+
 def test_encoding_is_the_message_form(make_readings):
     text = encode_readings(make_readings({})).first().value
     assert json.loads(text)["timestamp"] == "2024-01-05T10:07:30"
