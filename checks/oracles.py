@@ -444,6 +444,8 @@ BODIES: dict[str, str] = {
     "preview_resumen_hour": _preview(_HOUR, "2024-01-05  09:00 – 09:59 h"),
     "report_region": f"""SELECT region, {_REPORT_MEASURES}, count(*) AS lecturas FROM fact
         WHERE {_MONTH} GROUP BY region""",
+    "hourly_report_region": f"""SELECT region, {_REPORT_MEASURES}, count(*) AS lecturas FROM fact
+        WHERE {_HOUR} GROUP BY region""",
     "report_homes": f"SELECT * EXCLUDE (posicion) FROM ({_homes(_WEEK)})",
     "ranked_homes": _homes(_MONTH),
     "report_peaks": _peaks(_WEEK),
@@ -454,6 +456,23 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 'por_hogar', count(*) FROM ({_homes(_DAY)})
         UNION ALL SELECT 'picos', count(*) FROM ({_peaks(_DAY)})
         UNION ALL SELECT 'perfil', count(*) FROM ({_PROFILE})""",
+    "period_report_values": f"""SELECT 'resumen' AS parte, label AS linea, kwh
+          FROM ({_preview(_DAY, '5 de Enero de 2024')})
+        UNION ALL SELECT 'por_region', region, CAST(sum(d) AS DOUBLE) FROM fact WHERE {_DAY} GROUP BY region
+        UNION ALL SELECT 'por_hogar', id_hogar, kwh FROM ({_homes(_DAY)})
+        UNION ALL SELECT 'picos', timestamp_real, kwh FROM ({_peaks(_DAY)})
+        UNION ALL SELECT 'perfil', CAST(hora AS VARCHAR), kwh_prom FROM ({_PROFILE})""",
+    "preview_resumen_empty": f"""SELECT 'Mayo 2031' AS label, count(*) AS lecturas, CAST(0 AS DOUBLE) AS kwh,
+        {_kwh_text('CAST(0 AS DECIMAL(28,10))')} AS kwh_fmt, CAST(0 AS DOUBLE) AS costo,
+        {_mxn_text('CAST(0 AS DECIMAL(28,10))')} AS costo_fmt, count(*) FILTER (WHERE es_pico) AS picos,
+        count(DISTINCT hogar_key) AS hogares FROM fact WHERE fecha >= DATE '2031-05-01'""",
+    "fk_violations_found": """SELECT 'dim_tiempo' AS tabla, count(*) AS filas FROM fact WHERE hora = 3
+        UNION ALL SELECT 'dim_hogar', count(*) FROM fact WHERE hogar_key % 7 = 0
+        UNION ALL SELECT 'dim_region', count(*) FROM fact WHERE region_key = 5""",
+    "pk_duplicates_found": """SELECT hogar_key, CASE WHEN hogar_key % 15 = 0 THEN 3 ELSE 2 END::BIGINT AS veces
+        FROM hogar WHERE hogar_key % 5 = 0""",
+    "cost_other_book": """SELECT event_id, CAST(round(d * CASE WHEN ciudad IN ('Guadalajara', 'Monterrey')
+        THEN CAST(2.125 AS DECIMAL(10,3)) ELSE 3.25 END, 6) AS DOUBLE) AS costo_dwh FROM clean""",
     "batch_stats": """SELECT (SELECT count(*) FROM readings) AS filas_raw,
         count(*) AS filas_limpias, (SELECT count(*) FROM readings) - count(*) AS filas_eliminadas,
         count(*) FILTER (WHERE es_pico) AS picos_detectados FROM flagged""",
@@ -505,6 +524,11 @@ for _rolled, _name in (
     ("daily_resumen_general", "v_resumen_general"),
     ("daily_report_region", "report_region"),
     ("daily_report_homes", "report_homes"),
+    ("hourly_consumo_por_region", "v_consumo_por_region"),
+    ("hourly_perfil_horario", "v_perfil_horario"),
+    ("hourly_picos_por_hora", "picos_por_hora"),
+    ("hourly_heatmap", "heatmap"),
+    ("hourly_report_profile", "report_profile"),
 ):
     BODIES[_rolled] = BODIES[_name]
 

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.stage import irregular, loaded, new_root, portable, readings, registry, star, table
+from meterlake.fixed_values import Block, Tariff
 from meterlake.functions import calendar as cal
 from meterlake.functions import energy, exact, periods, text
 from meterlake.operators import books, features, peaks, quality, tariffs
 from meterlake.operators import star as star_ops
-from meterlake.plans import daily, listings, marts, report
+from meterlake.plans import daily, hourly, listings, marts, report
 from meterlake.sources import lake, ledger, warehouse
 from meterlake.sources.events import read_events, readings_from_events
 from meterlake.sources.readings import CORRUPT, MESSAGE, decode_readings, encode_readings
@@ -600,6 +601,10 @@ for _function, _name in (
     (daily.consumo_por_region, "daily_consumo_por_region"),
     (daily.consumo_por_hogar, "daily_consumo_por_hogar"),
     (daily.resumen_general, "daily_resumen_general"),
+    (hourly.consumo_por_region, "hourly_consumo_por_region"),
+    (hourly.perfil_horario, "hourly_perfil_horario"),
+    (hourly.picos_por_hora, "hourly_picos_por_hora"),
+    (hourly.heatmap, "hourly_heatmap"),
 ):
     _mart(_function, _name)
 
@@ -607,6 +612,8 @@ for _function, _name in (
 for _function, _kind, _value, _name in (
     (daily.report_region, "mes", MONTH, "daily_report_region"),
     (daily.report_homes, "semana", WEEK, "daily_report_homes"),
+    (hourly.report_region, "hora", HOUR, "hourly_report_region"),
+    (hourly.report_profile, "dia", DAY, "hourly_report_profile"),
     (report.preview_resumen, "semana", WEEK, "preview_resumen"),
     (report.preview_resumen, "hora", HOUR, "preview_resumen_hour"),
     (report.report_region, "mes", MONTH, "report_region"),
@@ -632,6 +639,51 @@ def period_report_parts(spark, sf_dir):
     return result
 
 
+@register
+def period_report_values(spark, sf_dir):
+    """What the parts of a day's report hold: a line and its kWh."""
+    lines = {"resumen": "label", "por_region": "region", "por_hogar": "id_hogar", "picos": "timestamp_real", "perfil": "hora"}
+    result = None
+    for name, df in report.period_report(star(spark, sf_dir), "dia", DAY).items():
+        value = "kwh_prom" if name == "perfil" else "kwh"
+        part = df.select(F.lit(name).alias("parte"), F.col(lines[name]).cast("string").alias("linea"), F.col(value).alias("kwh"))
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
+@register
+def preview_resumen_empty(spark, sf_dir):
+    return report.preview_resumen(star(spark, sf_dir), "mes", "2031-05", keep_empty=True)
+
+
+@register
+def fk_violations_found(spark, sf_dir):
+    """As fk_violations, dimensions having lost some of their rows."""
+    s = star(spark, sf_dir)
+    return star_ops.fk_violations(star_ops.Star(
+        s.fact, s.tiempo.where("hora <> 3"), s.region.where("region_key <> 5"), s.hogar.where("hogar_key % 7 <> 0")
+    ))
+
+
+@register
+def pk_duplicates_found(spark, sf_dir):
+    """Keys of a home dimension that holds some homes twice and a few three times."""
+    hogar = star(spark, sf_dir).hogar
+    twice = hogar.unionByName(hogar.where("hogar_key % 5 = 0")).unionByName(hogar.where("hogar_key % 15 = 0"))
+    return star_ops.pk_duplicates(twice, "hogar_key")
+
+
+@register
+def cost_other_book(spark, sf_dir):
+    """Two tariffs of another utility, the second for all cities that the first does not serve."""
+    book = (
+        Tariff("A", ("Guadalajara", "Monterrey"), (Block(None, 2.125),), 500, 9.0),
+        Tariff("B", (), (Block(None, 3.25),), 500, 9.0),
+    )
+    priced = tariffs.cost_dwh(clean(spark, sf_dir), registry(spark, sf_dir), book, default="B")
+    return priced.select("event_id", "costo_dwh")
+
+
 @register
 def batch_stats(spark, sf_dir):
     return quality.batch_stats(readings(spark, sf_dir))

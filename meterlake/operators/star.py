@@ -28,6 +28,7 @@ class Star:
     region: DataFrame
     hogar: DataFrame
     resumen_diario: DataFrame | None = None
+    resumen_horario: DataFrame | None = None
 
 
 # --- dimensions -------------------------------------------------------------------------------
@@ -207,24 +208,56 @@ def resumen_diario(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
     The date is the fact's own, which it shares with its quarter hour; facts without a quarter hour are left out.
     """
-    timed = fact.where(F.col("tiempo_key").isNotNull())
-    return timed.groupBy("fecha", "hogar_key", "region_key", *by).agg(
+    return fact.where(F.col("tiempo_key").isNotNull()).groupBy("fecha", "hogar_key", "region_key", *by).agg(
         *consumption(), F.max("kwh_intervalo").alias("kwh_max"),
         exact_avg(F.col("kwh_intervalo")).alias("kwh_promedio"),
         F.count("*").alias("num_lecturas"),
     ).select(*schemas.RESUMEN_DIARIO.names, *by)
 
 
-def merge_daily(parts: DataFrame) -> DataFrame:
-    """Add up rollup rows of the same date, home and region; exact, like the rollup itself."""
-    return parts.groupBy("fecha", "hogar_key", "region_key").agg(
+def resumenes(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Both rollups in one pass over the facts: rows of date, home and region, and rows of date, hour and region.
+
+    ``por_hora`` tells them apart; the hour is the quarter hour's. Facts without a quarter hour are left out.
+    """
+    timed = fact.where(F.col("tiempo_key").isNotNull()).withColumn(
+        "hora", (F.call_function("div", "tiempo_key", F.lit(100)) % 100).cast("int")
+    )
+    sets = [["fecha", "region_key", "hogar_key", *by], ["fecha", "region_key", "hora", *by]]
+    return timed.groupingSets(sets, "fecha", "region_key", "hogar_key", "hora", *by).agg(
+        *consumption(), F.max("kwh_intervalo").alias("kwh_max"),
+        exact_avg(F.col("kwh_intervalo")).alias("kwh_promedio"),
+        F.count("*").alias("num_lecturas"), (F.grouping("hogar_key") == 1).alias("por_hora"),
+    )
+
+
+def daily_rows(both: DataFrame, *more: str) -> DataFrame:
+    return both.where("NOT por_hora").select(*schemas.RESUMEN_DIARIO.names, *more)
+
+
+def hourly_rows(both: DataFrame, *more: str) -> DataFrame:
+    return both.where("por_hora").select(*schemas.RESUMEN_HORARIO.names, *more)
+
+
+def _added_up(parts: DataFrame, *keys: str) -> DataFrame:
+    return parts.groupBy(*keys).agg(
         exact_sum(F.col("kwh_total")).alias("kwh_total"),
         F.max("kwh_max").alias("kwh_max"),
         (exact_sum(F.col("kwh_total")) / F.sum("num_lecturas")).alias("kwh_promedio"),
         exact_sum(F.col("costo_total")).alias("costo_total"),
         F.sum("num_lecturas").alias("num_lecturas"),
         F.sum("num_picos").alias("num_picos"),
-    ).select(*schemas.RESUMEN_DIARIO.names)
+    )
+
+
+def merge_daily(parts: DataFrame) -> DataFrame:
+    """Add up rollup rows of the same date, home and region; exact, like the rollup itself."""
+    return _added_up(parts, "fecha", "hogar_key", "region_key").select(*schemas.RESUMEN_DIARIO.names)
+
+
+def merge_hourly(parts: DataFrame) -> DataFrame:
+    """Add up rollup rows of the same date, hour and region."""
+    return _added_up(parts, "fecha", "hora", "region_key").select(*schemas.RESUMEN_HORARIO.names)
 
 
 def consumption() -> list[Column]:
@@ -274,6 +307,12 @@ def join_time(star: Star, fact: DataFrame | None = None) -> DataFrame:
     return fact.join(star.tiempo, ["tiempo_key", "fecha"])
 
 
+def with_date(star: Star, fact: DataFrame | None = None) -> DataFrame:
+    """Facts that have a quarter hour, for questions of day grain: the fact carries its date, so they need
+    no time dimension."""
+    return (star.fact if fact is None else fact).where(F.col("tiempo_key").isNotNull())
+
+
 def join_region(star: Star, fact: DataFrame | None = None) -> DataFrame:
     fact = star.fact if fact is None else fact
     return fact.join(star.region, "region_key")

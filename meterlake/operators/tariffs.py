@@ -43,10 +43,12 @@ def price_flat(
     ).drop("tarifa_aplicada", "precio_base")
 
 
-def cost_etl(clean: DataFrame, books: Sequence[Tariff] = TARIFFS) -> DataFrame:
+def cost_etl(
+    clean: DataFrame, books: Sequence[Tariff] = TARIFFS, default: str = DEFAULT_TARIFF
+) -> DataFrame:
     """Cost by the tariff written on the reading (default tariff if it has none)."""
     code = F.col("tarifa") if "tarifa" in clean.columns else F.lit(None).cast("string")
-    return price_flat(clean, books, code)
+    return price_flat(clean, books, code, default=default)
 
 
 def _text(df: DataFrame, column: str) -> Column:
@@ -56,8 +58,10 @@ def _text(df: DataFrame, column: str) -> Column:
     return F.nullif(F.col(column), F.lit(""))
 
 
-def resolve_home_tariff(readings: DataFrame, registry: DataFrame) -> DataFrame:
-    """Add ``hogar_resuelto`` and ``tarifa_resuelta``.
+def resolve_home_tariff(
+    readings: DataFrame, registry: DataFrame, default: str = DEFAULT_TARIFF
+) -> DataFrame:
+    """Add ``hogar_resuelto`` and ``tarifa_resuelta``; ``default`` is the tariff of a reading that has none.
 
     Each is the reading's own value, else the registry's by meter, else "" and the default tariff.
     Only readings that lack one of the two are joined to the registry; the others, normally nearly
@@ -71,24 +75,26 @@ def resolve_home_tariff(readings: DataFrame, registry: DataFrame) -> DataFrame:
     if "id_medidor" not in readings.columns:
         return own.withColumns({
             "hogar_resuelto": F.coalesce("hogar_resuelto", F.lit("")),
-            "tarifa_resuelta": F.coalesce("tarifa_resuelta", F.lit(DEFAULT_TARIFF)),
+            "tarifa_resuelta": F.coalesce("tarifa_resuelta", F.lit(default)),
         })
     repaired = lookup_meter(own.where(~whole), registry).withColumns({
         "hogar_resuelto": F.coalesce("hogar_resuelto", "hogar_registro", F.lit("")),
         "tarifa_resuelta": F.coalesce(
             F.col("tarifa_resuelta"),
             F.nullif(F.col("tarifa_registro"), F.lit("")),
-            F.lit(DEFAULT_TARIFF),
+            F.lit(default),
         ),
     }).drop("hogar_registro", "tarifa_registro")
     return own.where(whole).unionByName(repaired)
 
 
-def home_tariffs(registry: DataFrame, books: Sequence[Tariff] = TARIFFS) -> DataFrame:
+def home_tariffs(
+    registry: DataFrame, books: Sequence[Tariff] = TARIFFS, default: str = DEFAULT_TARIFF
+) -> DataFrame:
     """Tariff of the city of every registered home, by its first meter; one row per home."""
     meters = registry.select("id_hogar", "id_medidor", "ciudad").distinct()
     homes = meters.groupBy("id_hogar").agg(F.min_by("ciudad", "id_medidor").alias("ciudad"))
-    return tariff_of_city(homes, books).select("id_hogar", "tarifa_ciudad")
+    return tariff_of_city(homes, books, default=default).select("id_hogar", "tarifa_ciudad")
 
 
 def cost_dwh(
@@ -97,18 +103,19 @@ def cost_dwh(
     books: Sequence[Tariff] = TARIFFS,
     homes: DataFrame | None = None,
     out: str = "costo_dwh",
+    default: str = DEFAULT_TARIFF,
 ) -> DataFrame:
     """Cost by the tariff of the home's city; for an unknown home by the resolved tariff.
 
     ``homes`` is a stored home lookup; without it the lookup is derived from the registry.
     """
-    resolved = resolve_home_tariff(readings, registry)
-    cities = (home_tariffs(registry, books) if homes is None else homes).select(
+    resolved = resolve_home_tariff(readings, registry, default)
+    cities = (home_tariffs(registry, books, default) if homes is None else homes).select(
         F.col("id_hogar").alias("_hogar"), "tarifa_ciudad"
     )
     joined = resolved.join(cities, F.col("hogar_resuelto") == F.col("_hogar"), "left")
     code = F.coalesce("tarifa_ciudad", "tarifa_resuelta")
-    return price_flat(joined, books, code, out).drop("_hogar", "tarifa_ciudad")
+    return price_flat(joined, books, code, out, default).drop("_hogar", "tarifa_ciudad")
 
 
 def month_to_date(

@@ -14,14 +14,14 @@ from meterlake.fixed_values import DAYS_EN, DAYS_SHORT_ES, SCATTER_PEAKS, TOP_PE
 from meterlake.functions.calendar import date_text, day_index, timestamp_text
 from meterlake.functions.exact import count_where, exact_avg, exact_sum, half_up, zero_if_null
 from meterlake.functions.text import fmt_kwh, fmt_mxn
-from meterlake.operators.star import Star, consumption, join_home, join_region, join_time
+from meterlake.operators.star import Star, consumption, join_home, join_region, join_time, with_date
 
 # --- views ------------------------------------------------------------------------------------
 
 
 def v_consumo_por_region(star: Star) -> DataFrame:
     return (
-        join_region(star, join_time(star))
+        join_region(star, with_date(star))
         .groupBy("region", "fecha")
         .agg(
             *consumption(),

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from meterlake.fixed_values import TOP_HOMES, TOP_PEAKS
 from meterlake.functions.calendar import timestamp_text
-from meterlake.functions.exact import count_where, exact_avg, exact_sum, half_up
+from meterlake.functions.exact import count_where, exact_avg, exact_sum, half_up, zero_if_null
 from meterlake.functions.periods import period_filter, period_label
 from meterlake.functions.text import fmt_kwh, fmt_mxn
-from meterlake.operators.star import Star, join_home, join_region, join_time
+from meterlake.operators.star import Star, join_home, join_region, join_time, with_date
 
 
 def facts_of_period(star: Star, kind: str, value: str, on_invalid: str = "all") -> DataFrame:
@@ -18,6 +18,13 @@ def facts_of_period(star: Star, kind: str, value: str, on_invalid: str = "all")
     return join_time(star).where(period_filter(kind, value, on_invalid))
 
 
+def _dated(star: Star, kind: str, value: str, on_invalid: str) -> DataFrame:
+    """The facts of a period without time attributes; only hours need the time dimension."""
+    if kind == "hora":
+        return facts_of_period(star, kind, value, on_invalid)
+    return with_date(star).where(period_filter(kind, value, on_invalid))
+
+
 def _kwh() -> Column:
     return half_up(exact_sum(F.col("kwh_intervalo")), 6).alias("kwh")
 
@@ -30,11 +37,12 @@ def _peaks() -> Column:
     return count_where(F.col("es_pico")).alias("picos")
 
 
-def _summary(facts: DataFrame) -> DataFrame:
-    return facts.agg(
-        F.count("*").alias("lecturas"), _kwh(), _cost(), _peaks(),
-        F.count_distinct("hogar_key").alias("hogares"),
-    ).where("lecturas > 0")
+def _summary(facts: DataFrame, keep_empty: bool = False) -> DataFrame:
+    row = facts.agg(
+        F.count("*").alias("lecturas"), zero_if_null(_kwh()).alias("kwh"), zero_if_null(_cost()).alias("costo"),
+        _peaks(), F.count_distinct("hogar_key").alias("hogares"),
+    )
+    return row if keep_empty else row.where("lecturas > 0")
 
 
 def _regions(star: Star, facts: DataFrame) -> DataFrame:
@@ -78,9 +86,13 @@ def _profile(facts: DataFrame) -> DataFrame:
     ).orderBy("hora")
 
 
-def preview_resumen(star: Star, kind: str, value: str, on_invalid: str = "all") -> DataFrame:
-    """One row with label and texts, or no row when the period has no data."""
-    return _summary(facts_of_period(star, kind, value, on_invalid)).select(
+def preview_resumen(
+    star: Star, kind: str, value: str, on_invalid: str = "all", keep_empty: bool = False
+) -> DataFrame:
+    """One row with label and texts. When the period has no data: no row, or with ``keep_empty`` a row of
+    zeros, so that its label is there to be shown."""
+    summary = _summary(_dated(star, kind, value, on_invalid), keep_empty)
+    return summary.select(
         period_label(kind, F.lit(value)).alias("label"),
         "lecturas", "kwh", fmt_kwh(F.col("kwh")).alias("kwh_fmt"),
         "costo", fmt_mxn(F.col("costo")).alias("costo_fmt"), "picos", "hogares",
@@ -88,14 +100,14 @@ def preview_resumen(star: Star, kind: str, value: str, on_invalid: str = "all")
 
 
 def report_region(star: Star, kind: str, value: str, on_invalid: str = "all") -> DataFrame:
-    return _regions(star, facts_of_period(star, kind, value, on_invalid))
+    return _regions(star, _dated(star, kind, value, on_invalid))
 
 
 def ranked_homes(
     star: Star, kind: str, value: str, on_invalid: str = "all", limit: int = TOP_HOMES
 ) -> DataFrame:
     """The homes that used most, with their rank."""
-    return _top_homes(star, facts_of_period(star, kind, value, on_invalid), limit)
+    return _top_homes(star, _dated(star, kind, value, on_invalid), limit)
 
 
 def report_homes(
@@ -107,7 +119,7 @@ def report_homes(
 def report_peaks(
     star: Star, kind: str, value: str, on_invalid: str = "all", limit: int = TOP_PEAKS
 ) -> DataFrame:
-    return _top_peaks(star, facts_of_period(star, kind, value, on_invalid), limit)
+    return _top_peaks(star, _dated(star, kind, value, on_invalid), limit)
 
 
 def report_profile(star: Star, kind: str, value: str, on_invalid: str = "all") -> DataFrame:

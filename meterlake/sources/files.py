@@ -20,6 +20,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(place)) if fs.exists(place) else []
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path has the form of ``pattern``, in which * stands for any name."""
+    fs, place = _open(spark, pattern)
+    return bool(fs.globStatus(place))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder with all it holds; nothing happens if it is not there."""
     fs, place = _open(spark, path)

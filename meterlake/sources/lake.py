@@ -9,13 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.fixed_values import TARIFFS, Tariff
 from meterlake.operators.features import transform
-from meterlake.sources.readings import MESSAGE, decode_readings, good_messages
+from meterlake.sources.readings import INGESTED, MESSAGE, decode_readings, good_messages
 
 _RAW_PARTITIONS = [T.StructField(c, T.StringType()) for c in ("year", "month", "day", "batch_id")]
 _CLEAN_PARTITIONS = [T.StructField(c, T.StringType()) for c in ("year", "month", "batch_id")]
@@ -52,6 +52,33 @@ def write_raw(
     return folder
 
 
+def write_raw_counted(
+    readings: DataFrame, path: str, batch_id: str, clock: datetime | None = None
+) -> tuple[str, int]:
+    """``write_raw`` that reads the batch once: returns its folder and its number of rows.
+
+    With a column ``ingested_at``, constant in a batch, the rows themselves say the day, and the write observes
+    it; a batch without rows writes nothing. The metrics belong to the tasks that write, so they count every
+    row once, and a repeated batch anew.
+    """
+    if INGESTED not in readings.columns:
+        seen = Observation()
+        folder = write_raw(readings.observe(seen, F.count("*").alias("n")), path, batch_id, clock)
+        return folder, seen.get["n"]
+    seen = Observation()
+    moment = F.col(INGESTED).cast("timestamp_ntz")
+    pattern = {"year": "yyyy", "month": "MM", "day": "dd"}
+    (
+        readings.observe(seen, F.count("*").alias("n"), F.max(moment).alias("clock"))
+        .withColumns({c: F.date_format(moment, p) for c, p in pattern.items()})
+        .withColumn("batch_id", F.lit(batch_id)).drop(INGESTED)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("year", "month", "day", "batch_id").parquet(path)
+    )
+    got = seen.get
+    return (raw_folder(path, got["clock"], batch_id) if got["n"] else ""), got["n"]
+
+
 def write_processed(clean: DataFrame, path: str, batch_id: str = "0") -> None:
     """Store clean readings by month of the reading; partition columns stay out of the files."""
     month = F.lpad(F.month("timestamp").cast("string"), 2, "0")
@@ -79,6 +106,11 @@ def read_raw_batch(spark: SparkSession, folder: str, schema: T.StructType) -> Da
     return spark.read.schema(schema).parquet(folder)
 
 
+def processed_folders(path: str, batch_id: str) -> str:
+    """Pattern of the folders of a batch in the processed lake."""
+    return f"{path}/year=*/month=*/batch_id={batch_id}"
+
+
 def read_processed(
     spark: SparkSession, path: str, schema: T.StructType, batch_id: str | None = None
 ) -> DataFrame:
@@ -86,7 +118,7 @@ def read_processed(
     reader = spark.read.schema(_with_partitions(schema, _CLEAN_PARTITIONS))
     if batch_id is None:
         return reader.parquet(path)
-    return reader.option("basePath", path).parquet(f"{path}/year=*/month=*/batch_id={batch_id}")
+    return reader.option("basePath", path).parquet(processed_folders(path, batch_id))
 
 
 def reprocess_raw(

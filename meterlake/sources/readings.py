@@ -12,6 +12,7 @@ from meterlake import schemas
 
 CORRUPT = "registro_corrupto"
 MESSAGE = "mensaje"
+INGESTED = "ingested_at"
 
 
 def decode_readings(
@@ -87,4 +88,4 @@ def read_readings_stream(
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         messages = reader.options(**options).load(source).select("value")
-    return decode_readings(messages, keep=MESSAGE).withColumn("ingested_at", F.current_timestamp())
+    return decode_readings(messages, keep=MESSAGE).withColumn(INGESTED, F.current_timestamp())

@@ -18,7 +18,6 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import date
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,11 +45,14 @@ TABLES = {
     "fact_resumen_diario": T.StructType(
         [*schemas.RESUMEN_DIARIO.fields, T.StructField("batch_id", T.StringType())]
     ),
+    "fact_resumen_horario": T.StructType(
+        [*schemas.RESUMEN_HORARIO.fields, T.StructField("batch_id", T.StringType())]
+    ),
     "medidores": schemas.REGISTRY,
     "hogar_tarifa": _HOME_LOOKUP,
 }
 #: Tables with a partition per date and batch.
-DATED = ("fact_consumo", "fact_resumen_diario", "dim_tiempo")
+DATED = ("fact_consumo", "fact_resumen_diario", "fact_resumen_horario", "dim_tiempo")
 #: In the files of ``fact_consumo``: the batch of a folded row, NULL in partitions of a single batch.
 LOTE = T.StructField("lote", T.StringType())
 FOLD = "plegado-"
@@ -109,17 +111,15 @@ def open_star(spark: SparkSession, path: str) -> Star:
         region=read_table(spark, path, "dim_region"),
         hogar=read_table(spark, path, "dim_hogar"),
         resumen_diario=ops.merge_daily(read_table(spark, path, "fact_resumen_diario")),
+        resumen_horario=ops.merge_hourly(read_table(spark, path, "fact_resumen_horario")),
     )
 
 
 def _read_or_empty(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, bool]:
     """The table and whether it exists yet."""
-    try:
+    if files.names(spark, f"{path}/{table}"):
         return read_table(spark, path, table), True
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return constant_frame(spark, [], TABLES[table]), False
+    return constant_frame(spark, [], TABLES[table]), False
 
 
 def _add_rows(spark: SparkSession, path: str, table: str, new: Callable) -> DataFrame:
@@ -168,17 +168,19 @@ def load_star(
     batch_id: str = "0",
     books: Sequence[Tariff] = TARIFFS,
     micro_batch: bool = False,
+    days: Sequence[date] | None = None,
 ) -> None:
     """Load a clean batch: new quarter hours, facts, and the batch's part of the daily rollup.
 
     ``clean`` is read several times: pass a stored batch, not a long lineage. Any step may be
     repeated with the same batch without effect. ``micro_batch`` cuts the home lookup and the registry
-    to the ids of the batch; both are still scanned. The dates of the batch come to the driver: at most one
+    to the ids of the batch; both are still scanned. The dates (``days``, if known already) of the batch come to the driver: at most one
     value per day of the calendar, as many as the folders the batch writes.
     """
     spark = clean.sparkSession
-    moment = F.col("timestamp").cast("date")
-    days = [r.fecha for r in clean.select(moment.alias("fecha")).where("fecha IS NOT NULL").distinct().collect()]
+    if days is None:
+        dates = clean.select(F.col("timestamp").cast("date").alias("fecha")).where("fecha IS NOT NULL")
+        days = [r.fecha for r in dates.distinct().collect()]
     finish_folds(spark, path)
     take_out_of_folds(spark, path, batch_id, days)
     merge_dim_tiempo(clean, path, batch_id, days)
@@ -267,11 +269,13 @@ def refresh_daily(dates: DataFrame | Sequence[date], path: str, batch_id: str |
 
 
 def _write_daily(facts: DataFrame, path: str) -> None:
-    daily = ops.resumen_diario(facts, by=("batch_id",))
-    replace_partitions(
-        daily.select(*TABLES["fact_resumen_diario"].names),
-        f"{path}/fact_resumen_diario", "fecha", "batch_id",
-    )
+    """Both rollups of ``facts``, from one pass over them."""
+    both = ops.resumenes(facts, by=("batch_id",)).persist()
+    for table, rows in (("fact_resumen_diario", ops.daily_rows), ("fact_resumen_horario", ops.hourly_rows)):
+        replace_partitions(
+            rows(both, "batch_id").select(*TABLES[table].names), f"{path}/{table}", "fecha", "batch_id"
+        )
+    both.unpersist()
 
 
 # --- folding ----------------------------------------------------------------------------------
@@ -365,10 +369,13 @@ def _fold(
     _write_fold(facts, path, "fact_consumo", "tiempo_key")
     if without is None:
         daily = ops.merge_daily(old["fact_resumen_diario"])
+        hourly = ops.merge_hourly(old["fact_resumen_horario"])
     else:
         written = {d: [fold] for d in chosen if f"batch_id={fold}" in files.names(spark, f"{path}/fact_consumo/fecha={d}")}
-        daily = ops.resumen_diario(_of_parts(spark, path, "fact_consumo", written))
+        both = ops.resumenes(_of_parts(spark, path, "fact_consumo", written))
+        daily, hourly = ops.daily_rows(both), ops.hourly_rows(both)
     _write_fold(daily.select("*", named), path, "fact_resumen_diario", "hogar_key")
+    _write_fold(hourly.select("*", named), path, "fact_resumen_horario", "hora")
     if "dim_tiempo" in plan:
         times = old["dim_tiempo"].drop("batch_id").distinct().select("*", named)
         _write_fold(times, path, "dim_tiempo", "tiempo_key")
@@ -404,8 +411,8 @@ def take_out_of_folds(spark: SparkSession, path: str, batch_id: str, days: Itera
     held = _of_parts(spark, path, "fact_consumo", folded).where(F.col("lote") == batch_id)
     again = {r.fecha: folded[r.fecha] for r in held.select("fecha").distinct().collect()}
     if again:
-        rollup = {d: folds_of("fact_resumen_diario", d) for d in again}
-        _fold(spark, path, {"fact_consumo": again, "fact_resumen_diario": rollup}, without=batch_id)
+        rollups = {t: {d: folds_of(t, d) for d in again} for t in ("fact_resumen_diario", "fact_resumen_horario")}
+        _fold(spark, path, {"fact_consumo": again, **rollups}, without=batch_id)
 
 
 def register_views(spark: SparkSession, star: Star) -> None:
@@ -416,6 +423,7 @@ def register_views(spark: SparkSession, star: Star) -> None:
         "dim_region": star.region,
         "dim_hogar": star.hogar,
         "fact_resumen_diario": star.resumen_diario,
+        "fact_resumen_horario": star.resumen_horario,
         "v_consumo_por_region": marts.v_consumo_por_region(star),
         "v_consumo_por_hogar": marts.v_consumo_por_hogar(star),
         "v_perfil_horario": marts.v_perfil_horario(star),

@@ -11,9 +11,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,8 +22,8 @@ from meterlake import schemas
 from meterlake.fixed_values import TARIFFS, Tariff
 from meterlake.functions.exact import count_where, exact_sum, half_up
 from meterlake.operators.features import transform
-from meterlake.sources import lake, ledger, warehouse
-from meterlake.sources.readings import CORRUPT, MESSAGE, good_messages
+from meterlake.sources import files, lake, ledger, warehouse
+from meterlake.sources.readings import CORRUPT, INGESTED, MESSAGE, good_messages
 
 log = logging.getLogger(__name__)
 
@@ -68,8 +67,8 @@ def process_batch(
 ) -> dict[str, int]:
     """Body of one micro-batch, also usable on a batch DataFrame; returns its counts.
 
-    The batch is written to the raw lake before anything else reads it, but for the clock of a stream,
-    which is a look at one row. ``clock`` is the processing time of a batch without ``ingested_at``, by
+    The batch is read once, to be written to the raw lake; its number of rows and the clock of a stream are
+    observed by that write. ``clock`` is the processing time of a batch without ``ingested_at``, by
     default now; a caller that repeats a batch passes the same, or the raw lake keeps it under two
     days. Messages that could not be decoded
     stay there with their text (``read_quarantine``). ``run`` separates the batches of a replay with
@@ -81,17 +80,10 @@ def process_batch(
     """
     spark = batch.sparkSession
     batch_name = f"{run}-{batch_id}"
-    clock = clock or datetime.now()
-    if "ingested_at" in batch.columns:
-        first = batch.select(F.col("ingested_at").cast("timestamp_ntz").alias("t")).head(1)
-        if not first:
-            return dict.fromkeys(COUNTS, 0)
-        clock = first[0].t
-        batch = batch.drop("ingested_at")
-
-    folder = lake.write_raw(batch, paths.raw, batch_name, clock)
-    raw = lake.read_raw_batch(spark, folder, batch.schema)
-    received = raw.count()
+    folder, received = lake.write_raw_counted(batch, paths.raw, batch_name, clock)
+    if not received:
+        return dict.fromkeys(COUNTS, 0)
+    raw = lake.read_raw_batch(spark, folder, batch.drop(INGESTED).schema)
     if CORRUPT in raw.columns:
         raw = good_messages(raw)
     raw = raw.drop(MESSAGE)
@@ -99,12 +91,13 @@ def process_batch(
         raw = raw.dropDuplicates(list(unique))
     clean = transform(raw, books, peak_scope)
     lake.write_processed(clean, paths.processed, batch_name)
-    kept, peaks = count_written(spark, paths, clean, batch_name)
-    if kept:
+    days = days_written(spark, paths, clean, batch_name)
+    if days:
         stored = lake.read_processed(spark, paths.processed, clean.schema, batch_name)
-        warehouse.load_star(stored, paths.star, batch_name, books, micro_batch)
+        warehouse.load_star(stored, paths.star, batch_name, books, micro_batch, list(days))
         if monthly:
             ledger.price_batch(stored, paths.star, int(batch_id), books)
+    kept, peaks = (sum(n[i] for n in days.values()) for i in range(2))
     counts = dict(zip(COUNTS, (received, kept, received - kept, peaks)))
     log.info("batch %s: %s", batch_name, counts)
     return counts
@@ -118,20 +111,17 @@ def read_quarantine(spark: SparkSession, paths: Paths) -> DataFrame:
     )
 
 
-def count_written(
+def days_written(
     spark: SparkSession, paths: Paths, clean: DataFrame, batch_name: str
-) -> tuple[int, int]:
-    """Clean readings and peaks of a stored batch; zeros if nothing was left to store."""
-    try:
-        stored = lake.read_processed(spark, paths.processed, clean.schema, batch_name)
-    except AnalysisException as problem:  # no folder for this batch: every reading was removed
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return 0, 0
-    row = stored.agg(
+) -> dict[date, tuple[int, int]]:
+    """Clean readings and peaks of a stored batch for each of its dates; none if nothing was left to store."""
+    if not files.matches(spark, lake.processed_folders(paths.processed, batch_name)):
+        return {}  # every reading was removed
+    stored = lake.read_processed(spark, paths.processed, clean.schema, batch_name)
+    rows = stored.groupBy(F.col("timestamp").cast("date").alias("fecha")).agg(
         F.count("*").alias("n"), count_where(F.col("es_pico")).alias("p")
-    ).first()
-    return row.n, row.p
+    ).collect()
+    return {r.fecha: (r.n, r.p) for r in rows}
 
 
 def start_pipeline(

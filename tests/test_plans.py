@@ -7,7 +7,8 @@ import re
 import pytest
 
 from checks import stage
-from meterlake.plans import marts, report
+from meterlake.operators import star as star_ops
+from meterlake.plans import daily, hourly, marts, report
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -41,8 +42,10 @@ def test_scans_read_needed_columns_only(star):
 
 def test_small_dimensions_are_broadcast(star):
     text = plan(marts.v_consumo_por_region(star))
-    assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
+    assert text.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in text and "dim_tiempo" not in text
     assert text.count("Exchange hashpartitioning") == 1
+    text = plan(marts.v_picos(star))
+    assert text.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in text
 
 
 def test_homes_join_after_the_aggregation(star):
@@ -55,3 +58,16 @@ def test_top_lists_do_not_sort_everything(star):
                report.report_homes(star, "mes", "2024-01"),
                report.report_peaks(star, "mes", "2024-01")):
         assert "TakeOrderedAndProject" in plan(df)
+
+
+def test_rollups_answer_without_the_facts(star):
+    for df in (hourly.consumo_por_region(star), hourly.perfil_horario(star), hourly.picos_por_hora(star), hourly.heatmap(star),
+               hourly.report_profile(star, "hora", "2024-01-05 9"), daily.consumo_por_hogar(star)):
+        assert "fact_consumo" not in plan(df) and "fact_resumen" in plan(df)
+    filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(hourly.report_region(star, "dia", "2024-01-05")))
+    assert any("= 2024-01-05" in f for f in filters)
+
+
+def test_both_rollups_take_one_pass(star):
+    text = plan(star_ops.resumenes(star.fact))
+    assert text.count("Scan parquet") == 1 and "Expand" in text and text.count("Exchange hashpartitioning") == 1
