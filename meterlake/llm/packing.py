@@ -18,6 +18,9 @@ BUFFER = 1024
 STREAM_PIECES = 16_384
 END = 2
 PACKED = ["doc_id", "piece", "start", "length", "ids_crc32"]
+#: Bytes of an id in ``ids``: little-endian, for vocabularies of up to 65,536 ids and beyond.
+NARROW, WIDE = "<u2", "<u4"
+SEQUENCES = "sequence_id long, ids binary, pieces array<struct<offset: long, length: long, doc_id: long, piece: int, start: long>>"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, mark long"
 
 
@@ -38,11 +41,14 @@ class Encoder:
             special = {"<|endoftext|>": len(ranks)}
             made = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
             self.ids = lambda text: made.encode(text, allowed_special="all")
+            largest = made.n_vocab
         else:
             from tokenizers import Tokenizer
 
             made = Tokenizer.from_file(path)
             self.ids = lambda text: made.encode(text, add_special_tokens=False).ids
+            largest = made.get_vocab_size()
+        self.kind = NARROW if largest <= 1 << 16 else WIDE
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -55,10 +61,11 @@ def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, doc_id: str =
     """The pieces of every document: its ids and ``END``, cut only if longer than ``length``.
 
     All pieces but the first of a cut document are full. Null texts are empty, that is ``END`` alone.
-    ``mark`` tells equal rows apart by their place in a batch. ``with_ids`` adds the ids themselves.
+    ``mark`` tells equal rows apart by their place in a batch. ``with_ids`` adds the ids themselves, packed
+    in two or four bytes each, whichever the vocabulary needs.
     """
 
-    schema = PIECES + (", ids array<int>" if with_ids else "")
+    schema = PIECES + (", ids binary" if with_ids else "")
     names = [part.split()[0] for part in schema.split(", ")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,9 +80,9 @@ def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, doc_id: str =
                     bounds = [0, *range(first, len(ids) + 1, length)]
                     for piece, (a, b) in enumerate(zip(bounds, bounds[1:])):
                         own = (doc_ids[at], piece, a, b - a, zlib.crc32(ids[a:b].tobytes()), at)
-                        for column, cell in zip(rows, (*own, ids[a:b].tolist()) if with_ids else own):
+                        for column, cell in zip(rows, (*own, ids[a:b].astype(encoder.kind).tobytes()) if with_ids else own):
                             column.append(cell)
-                types = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.list_(pa.int32())]
+                types = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names)
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)
@@ -118,77 +125,92 @@ def best_fit(lengths: list[int], capacity: int = LENGTH, open_bins: int = OPEN_B
     return bins, offsets
 
 
+def _streams(pieces: DataFrame, stream_pieces: int) -> DataFrame:
+    """Stored ``pieces`` dealt by hash to streams of about ``stream_pieces``, whatever their number."""
+    thin = stored(pieces, "pieces")
+    streams = max(1, -(-thin.count() // stream_pieces))
+    return thin.withColumn("h", F.xxhash64("doc_id", "piece", "start", "ids_crc32", "mark")).withColumn("stream", F.pmod("h", F.lit(streams)))
+
+
+def _packed(key: tuple, table: pa.Table, length: int, open_bins: int, buffer: int) -> pa.Table:
+    """A stream in the order of its hashes, from each ``buffer`` the longest first, with sequence_id and offset."""
+    table = table.sort_by([(c, "ascending") for c in ("h", "doc_id", "piece", "mark")])
+    sizes = table.column("length").to_numpy()
+    order = np.concatenate([i + np.argsort(-sizes[i:i + buffer], kind="stable") for i in range(0, len(sizes), buffer)])
+    bins, offsets = best_fit(sizes[order].tolist(), length, open_bins)
+    table = table.take(pa.array(order))
+    table = table.append_column("sequence_id", pa.array((key[0].as_py() << 32) + np.array(bins, dtype=np.int64)))
+    return table.append_column("offset", pa.array(offsets, pa.int64()))
+
+
 def pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, stream_pieces: int = STREAM_PIECES, buffer: int = BUFFER) -> DataFrame:
-    """``pieces`` with sequence_id and offset.
+    """``pieces`` with sequence_id and offset, without ids.
 
     Pieces are dealt by hash to streams of about ``stream_pieces``, whatever their number, so each task
     has a bounded stream. A stream arrives in the order of its hashes through a buffer of ``buffer``
     pieces, from which the longest goes first. No pieces: no rows. Equal pieces are packed each for itself.
-    Pieces with ids keep them.
     """
-    carried = [*PACKED, *[c for c in pieces.columns if c == "ids"]]
-    thin = stored(pieces, "pieces")
-    streams = max(1, -(-thin.count() // stream_pieces))
-    keyed = thin.withColumn("h", F.xxhash64("doc_id", "piece", "start", "ids_crc32", "mark")).withColumn("stream", F.pmod("h", F.lit(streams)))
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by([(c, "ascending") for c in ("h", "doc_id", "piece", "mark")])
-        sizes = table.column("length").to_numpy()
-        order = np.concatenate([i + np.argsort(-sizes[i:i + buffer], kind="stable") for i in range(0, len(sizes), buffer)])
-        bins, offsets = best_fit(sizes[order].tolist(), length, open_bins)
-        table = table.select(carried).take(pa.array(order))
-        table = table.append_column("sequence_id", pa.array((key[0].as_py() << 32) + np.array(bins, dtype=np.int64)))
-        return table.append_column("offset", pa.array(offsets, pa.int64()))
+        return _packed(key, table, length, open_bins, buffer).select([*PACKED, "sequence_id", "offset"])
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, " + ("ids array<int>, " if "ids" in carried else "") + "sequence_id long, offset long"
-    return keyed.groupBy("stream").applyInArrow(run, schema)
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+    return _streams(pieces.drop("ids"), stream_pieces).groupBy("stream").applyInArrow(run, schema)
 
 
-def sequences(pieces_with_ids: DataFrame, packed: DataFrame) -> DataFrame:
-    """The packed training rows: sequence_id and its ids in order of offset (at most ``length`` of them)."""
-    keys = ["doc_id", "piece", "start", "ids_crc32"]
-    numbered = [F.row_number().over(_same(keys)).alias("copy")]
-    left = pieces_with_ids.select("*", *numbered)
-    right = packed.select("*", *numbered).withColumnRenamed("length", "n")
-    on = [left[k].eqNullSafe(right[k]) for k in [*keys, "copy"]]
-    rows = left.join(right, on[0] & on[1] & on[2] & on[3] & on[4]).select("sequence_id", F.struct("offset", "ids").alias("part"))
-    return rows.groupBy("sequence_id").agg(F.sort_array(F.collect_list("part")).alias("parts")).select("sequence_id", F.flatten("parts.ids").alias("ids"))
+def sequences(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, stream_pieces: int = STREAM_PIECES, buffer: int = BUFFER) -> DataFrame:
+    """The packed training rows of pieces with ids: (sequence_id, ids, pieces with their places), put together where they are packed.
+
+    Packed as by :func:`pack`; a task holds a stream's ids, 34 MB at most with two bytes each.
+    """
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        table = _packed(key, table, length, open_bins, buffer).sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
+        number = table.column("sequence_id").to_numpy()
+        starts = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
+        ids = table.column("ids").to_pylist()
+        ends = [*starts[1:].tolist(), len(ids)]
+        whole = pa.array([b"".join(ids[a:b]) for a, b in zip(starts.tolist(), ends)], pa.binary())
+        own = table.select(["offset", "length", "doc_id", "piece", "start"]).combine_chunks().to_struct_array()
+        own = own.combine_chunks() if isinstance(own, pa.ChunkedArray) else own
+        lists = pa.ListArray.from_arrays(pa.array([*starts.tolist(), len(ids)], pa.int32()), own)
+        return pa.Table.from_arrays([pa.array(number[starts]), whole, lists], ["sequence_id", "ids", "pieces"])
+
+    return _streams(pieces, stream_pieces).groupBy("stream").applyInArrow(run, SEQUENCES)
 
 
 def packed_rows(docs: DataFrame, path: str) -> DataFrame:
-    """The packed sequences, written to the shared folder: (sequence_id, ids, pieces with their places), a row for each."""
-    packed = pack(token_pieces(docs, path, with_ids=True))
-    part = F.struct("offset", "length", "doc_id", "piece", "start", "ids")
-    rows = packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(part)).alias("parts"))
-    pieces = F.transform("parts", lambda x: x.dropFields("ids"))
-    return stored(rows.select("sequence_id", F.flatten("parts.ids").alias("ids"), pieces.alias("pieces")), "sequences")
+    """The packed sequences, written to the shared folder: a row for each, its ids packed as in :func:`token_pieces`.
+
+    Null texts are empty. An empty table gives no sequences.
+    """
+    return stored(sequences(token_pieces(docs, path, with_ids=True)), "sequences")
 
 
 def places(rows: DataFrame) -> DataFrame:
-    """The pieces of :func:`packed_rows`; length and ids_crc32 are those of the ids that lie at their places."""
+    """The pieces of :func:`packed_rows`; length and ids_crc32 are those of the ids that lie at their places.
+
+    No sequences: no rows.
+    """
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for sequence, ids, pieces in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                own = ids.values.to_numpy().astype("<u4")
-                for x in pieces:
-                    found = own[x["offset"]:x["offset"] + x["length"]]
-                    out.append((x["doc_id"], x["piece"], x["start"], len(found), zlib.crc32(found.tobytes()), sequence, x["offset"]))
-            columns = list(zip(*out)) if out else [[]] * 7
-            types = [pa.int64(), pa.int32(), *[pa.int64()] * 5]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], [x.split()[0] for x in schema.split(", ")])
+            for begin in range(0, len(batch), 256):
+                out: list[tuple] = []
+                part = batch.slice(begin, 256)
+                for sequence, ids, pieces in zip(*(part.column(k).to_pylist() for k in range(3))):
+                    width = len(ids) // sum(x["length"] for x in pieces)
+                    own = np.frombuffer(ids, NARROW if width == 2 else WIDE).astype("<u4")
+                    for x in pieces:
+                        found = own[x["offset"]:x["offset"] + x["length"]]
+                        out.append((x["doc_id"], x["piece"], x["start"], len(found), zlib.crc32(found.tobytes()), sequence, x["offset"]))
+                types = [pa.int64(), pa.int32(), *[pa.int64()] * 5]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), types)], [x.split()[0] for x in schema.split(", ")])
 
     return rows.mapInArrow(read, schema)
 
 
-def _same(keys: list[str]):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*keys).orderBy("length")
-
-
 def default_vocabulary() -> str:
     """The ranks of the byte-level vocabulary of 50,257 ids: the same ids as its JSON file, read four times faster."""
     import public_tokenizers
