@@ -524,6 +524,8 @@ for _rolled, _name in (
     ("daily_resumen_general", "v_resumen_general"),
     ("daily_report_region", "report_region"),
     ("daily_report_homes", "report_homes"),
+    ("daily_report_peaks", "report_peaks"),
+    ("daily_top_picos", "top_picos"),
     ("hourly_consumo_por_region", "v_consumo_por_region"),
     ("hourly_perfil_horario", "v_perfil_horario"),
     ("hourly_picos_por_hora", "picos_por_hora"),

@@ -180,7 +180,7 @@ _folded_stars: dict[tuple[str, str], str] = {}
 
 
 def _folded(spark, sf_dir):
-    """Four batches by event number, one late in every day, one repeated; days folded twice in between.
+    """Two batches by event number, the second late in every day; all but the last days folded; then the first again.
 
     Loaded once per application, like the other stored tables.
     """
@@ -189,10 +189,10 @@ def _folded(spark, sf_dir):
         return warehouse.open_star(spark, _folded_stars[key])
     paths = new_root(spark, sf_dir)
     warehouse.create_star(spark, paths.star, registry(spark, sf_dir))
-    rows = features.transform(readings(spark, sf_dir)).withColumn("_lote", F.pmod(F.col("event_id"), F.lit(4)))
-    for step, lote in enumerate((0, 1, 2, 1, 3)):
+    rows = features.transform(readings(spark, sf_dir)).withColumn("_lote", F.pmod(F.col("event_id"), F.lit(2)))
+    for step, lote in enumerate((0, 1, 0)):
         warehouse.load_star(rows.where(F.col("_lote") == lote).drop("_lote"), paths.star, f"0-{lote}", micro_batch=True)
-        if step in (1, 3):
+        if step == 1:
             warehouse.fold_days(spark, paths.star, date(2024, 1, 20))
     _folded_stars[key] = paths.star
     return warehouse.open_star(spark, paths.star)
@@ -601,6 +601,7 @@ for _function, _name in (
     (daily.consumo_por_region, "daily_consumo_por_region"),
     (daily.consumo_por_hogar, "daily_consumo_por_hogar"),
     (daily.resumen_general, "daily_resumen_general"),
+    (daily.top_picos, "daily_top_picos"),
     (hourly.consumo_por_region, "hourly_consumo_por_region"),
     (hourly.perfil_horario, "hourly_perfil_horario"),
     (hourly.picos_por_hora, "hourly_picos_por_hora"),
@@ -612,6 +613,7 @@ for _function, _name in (
 for _function, _kind, _value, _name in (
     (daily.report_region, "mes", MONTH, "daily_report_region"),
     (daily.report_homes, "semana", WEEK, "daily_report_homes"),
+    (daily.report_peaks, "semana", WEEK, "daily_report_peaks"),
     (hourly.report_region, "hora", HOUR, "hourly_report_region"),
     (hourly.report_profile, "dia", DAY, "hourly_report_profile"),
     (report.preview_resumen, "semana", WEEK, "preview_resumen"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterlake import schemas
-from meterlake.fixed_values import TARIFFS, Tariff
+from meterlake.fixed_values import TARIFFS, TOP_PEAKS, Tariff
 from meterlake.functions import calendar as cal
 from meterlake.functions.exact import count_where, exact_avg, exact_sum
 from meterlake.operators.books import first_block_prices
@@ -29,6 +29,7 @@ class Star:
     hogar: DataFrame
     resumen_diario: DataFrame | None = None
     resumen_horario: DataFrame | None = None
+    picos_mayores: DataFrame | None = None
 
 
 # --- dimensions -------------------------------------------------------------------------------
@@ -260,6 +261,23 @@ def merge_hourly(parts: DataFrame) -> DataFrame:
     return _added_up(parts, "fecha", "hora", "region_key").select(*schemas.RESUMEN_HORARIO.names)
 
 
+def biggest_peaks(fact: DataFrame, by: Sequence[str] = (), limit: int = TOP_PEAKS) -> DataFrame:
+    """The ``limit`` biggest peaks of known homes for each date, with a region and without one.
+
+    Of such lists the lists of their union can be made again, so they are kept per batch and merged when
+    read. The planner cuts the groups before the shuffle: a task sends ``limit`` rows per date.
+    """
+    ranked = Window.partitionBy("fecha", F.col("region_key").isNull(), *by).orderBy(
+        F.desc("kwh_intervalo"), "timestamp_real", "hogar_key"
+    )
+    peaks = fact.where("hogar_key IS NOT NULL")
+    if "es_pico" in fact.columns:
+        peaks = peaks.where("es_pico")
+    return peaks.withColumn("_n", F.row_number().over(ranked)).where(F.col("_n") <= limit).select(
+        *schemas.PICOS_MAYORES.names, *by
+    )
+
+
 def consumption() -> list[Column]:
     """The three measures most queries share."""
     return [

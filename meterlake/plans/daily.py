@@ -1,4 +1,4 @@
-"""Queries of day grain or coarser, answered from the daily rollup.
+"""Queries of day grain or coarser, answered from the daily rollup and the kept biggest peaks.
 
 The rollup has one row per date, home and region instead of one per reading. Its sums are exact, so
 these queries return the same values as their namesakes over all facts and read a small fraction of
@@ -7,14 +7,17 @@ the data. Hours, single peaks and facts without a stored rollup still need the f
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.fixed_values import TOP_HOMES
+from meterlake.fixed_values import TOP_HOMES, TOP_PEAKS
 from meterlake.functions.calendar import date_text
 from meterlake.functions.exact import exact_sum, half_up, zero_if_null
 from meterlake.functions.periods import period_filter
 from meterlake.operators.star import Star, join_home, join_region
+from meterlake.plans import marts, report
 
 
 def _totals() -> list[Column]:
@@ -88,3 +91,24 @@ def report_homes(
     return join_home(star, best).orderBy(F.desc("kwh"), "hogar_key").select(
         "id_hogar", "ciudad", "region", "kwh", "costo", "picos"
     )
+
+
+def _few_peaks(star: Star, limit: int) -> DataFrame:
+    if limit > TOP_PEAKS:
+        raise ValueError(f"{TOP_PEAKS} peaks are kept of a date; ask the facts for more")
+    return star.picos_mayores
+
+
+def top_picos(star: Star, limit: int = TOP_PEAKS) -> DataFrame:
+    """The biggest peaks with city and region, from the kept ones of each date."""
+    return marts.top_picos(replace(star, fact=_few_peaks(star, limit).withColumn("es_pico", F.lit(True))), limit)
+
+
+def report_peaks(
+    star: Star, kind: str, value: str, on_invalid: str = "all", limit: int = TOP_PEAKS
+) -> DataFrame:
+    """The biggest peaks of a day, week or month, from the kept ones of each date."""
+    if kind == "hora":
+        raise ValueError("peaks are kept by date, not by hour")
+    kept = _few_peaks(star, limit).where(period_filter(kind, value, on_invalid))
+    return report.top_peaks(star, kept.withColumn("es_pico", F.lit(True)), limit)

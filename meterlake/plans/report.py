@@ -69,7 +69,7 @@ def _top_homes(star: Star, facts: DataFrame, limit: int) -> DataFrame:
     )
 
 
-def _top_peaks(star: Star, facts: DataFrame, limit: int) -> DataFrame:
+def top_peaks(star: Star, facts: DataFrame, limit: int) -> DataFrame:
     order = [F.desc("kwh_intervalo"), F.asc("timestamp_real"), F.asc("hogar_key")]
     top = facts.where("es_pico AND hogar_key IS NOT NULL").orderBy(*order).limit(limit)
     return join_home(star, top).orderBy(*order).select(
@@ -119,7 +119,7 @@ def report_homes(
 def report_peaks(
     star: Star, kind: str, value: str, on_invalid: str = "all", limit: int = TOP_PEAKS
 ) -> DataFrame:
-    return _top_peaks(star, _dated(star, kind, value, on_invalid), limit)
+    return top_peaks(star, _dated(star, kind, value, on_invalid), limit)
 
 
 def report_profile(star: Star, kind: str, value: str, on_invalid: str = "all") -> DataFrame:

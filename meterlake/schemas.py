@@ -94,3 +94,13 @@ RESUMEN_HORARIO = T.StructType([
     T.StructField("num_picos", T.LongType()),
     T.StructField("fecha", T.DateType()),
 ])
+
+# The biggest peaks of a date, as kept at load.
+PICOS_MAYORES = T.StructType([
+    T.StructField("timestamp_real", T.TimestampNTZType()),
+    T.StructField("hogar_key", T.LongType()),
+    T.StructField("region_key", T.IntegerType()),
+    T.StructField("kwh_intervalo", T.DoubleType()),
+    T.StructField("costo_mxn", T.DoubleType()),
+    T.StructField("fecha", T.DateType()),
+])

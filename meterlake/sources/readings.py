@@ -62,13 +62,15 @@ def read_readings_stream(
     min_messages: int | None = 8,
     max_delay: str = "5s",
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
     **options: str,
 ) -> DataFrame:
     """Decoded readings as a stream, with the time the micro-batch was planned.
 
     ``fmt="kafka"``: ``source`` is a topic, read from the earliest offset; a micro-batch starts at
     ``min_messages`` or after ``max_delay``. ``fmt="text"``: ``source`` is a folder of JSON-lines
-    files. The text of every message stays beside its columns (``mensaje``) for the raw lake. Positions live in the query's checkpoint. ``ingested_at`` is fixed per micro-batch and
+    files; a micro-batch takes files up to ``max_files_per_trigger`` or ``max_bytes_per_trigger`` (one file at
+    least; whichever is set), and the query's trigger interval is the time limit. The text of every message stays beside its columns (``mensaje``) for the raw lake. Positions live in the query's checkpoint. ``ingested_at`` is fixed per micro-batch and
     stored with its offsets, so a repeated batch gets the same value.
     """
     if fmt == "kafka":
@@ -87,5 +89,7 @@ def read_readings_stream(
         reader = spark.readStream.format(fmt)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        if max_bytes_per_trigger:
+            reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
         messages = reader.options(**options).load(source).select("value")
     return decode_readings(messages, keep=MESSAGE).withColumn(INGESTED, F.current_timestamp())

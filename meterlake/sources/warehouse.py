@@ -48,11 +48,20 @@ TABLES = {
     "fact_resumen_horario": T.StructType(
         [*schemas.RESUMEN_HORARIO.fields, T.StructField("batch_id", T.StringType())]
     ),
+    "fact_picos_mayores": T.StructType(
+        [*schemas.PICOS_MAYORES.fields, T.StructField("batch_id", T.StringType())]
+    ),
     "medidores": schemas.REGISTRY,
     "hogar_tarifa": _HOME_LOOKUP,
 }
+#: What is kept of the facts of a date: how parts of it merge, how it comes from facts, and its order in files.
+ROLLUPS = {
+    "fact_resumen_diario": (ops.merge_daily, lambda facts: ops.daily_rows(ops.resumenes(facts)), "hogar_key"),
+    "fact_resumen_horario": (ops.merge_hourly, lambda facts: ops.hourly_rows(ops.resumenes(facts)), "hora"),
+    "fact_picos_mayores": (ops.biggest_peaks, ops.biggest_peaks, "hogar_key"),
+}
 #: Tables with a partition per date and batch.
-DATED = ("fact_consumo", "fact_resumen_diario", "fact_resumen_horario", "dim_tiempo")
+DATED = ("fact_consumo", *ROLLUPS, "dim_tiempo")
 #: In the files of ``fact_consumo``: the batch of a folded row, NULL in partitions of a single batch.
 LOTE = T.StructField("lote", T.StringType())
 FOLD = "plegado-"
@@ -112,6 +121,7 @@ def open_star(spark: SparkSession, path: str) -> Star:
         hogar=read_table(spark, path, "dim_hogar"),
         resumen_diario=ops.merge_daily(read_table(spark, path, "fact_resumen_diario")),
         resumen_horario=ops.merge_hourly(read_table(spark, path, "fact_resumen_horario")),
+        picos_mayores=ops.biggest_peaks(read_table(spark, path, "fact_picos_mayores")),
     )
 
 
@@ -269,13 +279,17 @@ def refresh_daily(dates: DataFrame | Sequence[date], path: str, batch_id: str |
 
 
 def _write_daily(facts: DataFrame, path: str) -> None:
-    """Both rollups of ``facts``, from one pass over them."""
+    """Both rollups of ``facts``, from one pass over them, and their biggest peaks."""
     both = ops.resumenes(facts, by=("batch_id",)).persist()
     for table, rows in (("fact_resumen_diario", ops.daily_rows), ("fact_resumen_horario", ops.hourly_rows)):
         replace_partitions(
             rows(both, "batch_id").select(*TABLES[table].names), f"{path}/{table}", "fecha", "batch_id"
         )
     both.unpersist()
+    replace_partitions(
+        ops.biggest_peaks(facts, by=("batch_id",)).select(*TABLES["fact_picos_mayores"].names),
+        f"{path}/fact_picos_mayores", "fecha", "batch_id",
+    )
 
 
 # --- folding ----------------------------------------------------------------------------------
@@ -367,15 +381,10 @@ def _fold(
         facts = facts.where(F.col("lote") != without)
     facts = facts.withColumn("batch_id", F.lit(fold))
     _write_fold(facts, path, "fact_consumo", "tiempo_key")
-    if without is None:
-        daily = ops.merge_daily(old["fact_resumen_diario"])
-        hourly = ops.merge_hourly(old["fact_resumen_horario"])
-    else:
-        written = {d: [fold] for d in chosen if f"batch_id={fold}" in files.names(spark, f"{path}/fact_consumo/fecha={d}")}
-        both = ops.resumenes(_of_parts(spark, path, "fact_consumo", written))
-        daily, hourly = ops.daily_rows(both), ops.hourly_rows(both)
-    _write_fold(daily.select("*", named), path, "fact_resumen_diario", "hogar_key")
-    _write_fold(hourly.select("*", named), path, "fact_resumen_horario", "hora")
+    written = {d: [fold] for d in chosen if f"batch_id={fold}" in files.names(spark, f"{path}/fact_consumo/fecha={d}")}
+    for table, (merge, of_facts, order) in ROLLUPS.items():
+        rows = merge(old[table]) if without is None else of_facts(_of_parts(spark, path, "fact_consumo", written))
+        _write_fold(rows.select("*", named), path, table, order)
     if "dim_tiempo" in plan:
         times = old["dim_tiempo"].drop("batch_id").distinct().select("*", named)
         _write_fold(times, path, "dim_tiempo", "tiempo_key")
@@ -411,7 +420,7 @@ def take_out_of_folds(spark: SparkSession, path: str, batch_id: str, days: Itera
     held = _of_parts(spark, path, "fact_consumo", folded).where(F.col("lote") == batch_id)
     again = {r.fecha: folded[r.fecha] for r in held.select("fecha").distinct().collect()}
     if again:
-        rollups = {t: {d: folds_of(t, d) for d in again} for t in ("fact_resumen_diario", "fact_resumen_horario")}
+        rollups = {t: {d: folds_of(t, d) for d in again} for t in ROLLUPS}
         _fold(spark, path, {"fact_consumo": again, **rollups}, without=batch_id)
 
 

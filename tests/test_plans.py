@@ -62,8 +62,9 @@ def test_top_lists_do_not_sort_everything(star):
 
 def test_rollups_answer_without_the_facts(star):
     for df in (hourly.consumo_por_region(star), hourly.perfil_horario(star), hourly.picos_por_hora(star), hourly.heatmap(star),
-               hourly.report_profile(star, "hora", "2024-01-05 9"), daily.consumo_por_hogar(star)):
-        assert "fact_consumo" not in plan(df) and "fact_resumen" in plan(df)
+               hourly.report_profile(star, "hora", "2024-01-05 9"), daily.consumo_por_hogar(star),
+               daily.top_picos(star), daily.report_peaks(star, "semana", "2024-W02")):
+        assert "fact_consumo" not in plan(df) and ("fact_resumen" in plan(df) or "fact_picos_mayores" in plan(df))
     filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(hourly.report_region(star, "dia", "2024-01-05")))
     assert any("= 2024-01-05" in f for f in filters)
 
@@ -71,3 +72,9 @@ def test_rollups_answer_without_the_facts(star):
 def test_both_rollups_take_one_pass(star):
     text = plan(star_ops.resumenes(star.fact))
     assert text.count("Scan parquet") == 1 and "Expand" in text and text.count("Exchange hashpartitioning") == 1
+
+
+def test_biggest_peaks_are_cut_before_the_shuffle(star):
+    text = plan(star_ops.biggest_peaks(star.fact))
+    assert text.count("WindowGroupLimit") == 2
+    assert max(r["count"] for r in star.picos_mayores.groupBy("fecha").count().collect()) <= 10

@@ -236,6 +236,18 @@ def test_month_prices_in_the_stream(spark, installation, tmp_path):
     assert len({r.nivel for r in got.collect()}) > 2
 
 
+def test_files_are_admitted_by_their_bytes(spark, installation, tmp_path):
+    """Three triggers: two files fit into the first, a large one comes alone, the rest follows."""
+    files = [[message(0)], [message(1)], [message(i) for i in range(2, 8)], [message(8)]]
+    source = drop_files(tmp_path / "in", files)
+    size = len(message(0).encode()) + 1
+    limited = read_readings_stream(spark, source, fmt="text", max_bytes_per_trigger=2 * size + size // 2)
+    seen = {}
+    pipeline.drain(limited, installation, on_batch=seen.__setitem__)
+    assert [seen[i]["filas_raw"] for i in range(len(seen))] == [2, 6, 1]
+    assert warehouse.open_star(spark, installation.star).fact.count() == 9
+
+
 def test_encoding_is_the_message_form(make_readings):
     text = encode_readings(make_readings({})).first().value
     assert json.loads(text)["timestamp"] == "2024-01-05T10:07:30"
