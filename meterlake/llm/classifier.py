@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ ROWS = 20_000
 SHARDS = 4
 EPOCHS = 8
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.00001, 0.00001
+#: Texts go through array work in blocks of about so many bytes; a block takes some sixty times that.
+ARRAY_BYTES = 400_000
 
 _SHAPE = bytearray(range(256))
 for _c in range(256):
@@ -97,7 +100,7 @@ def train(examples: DataFrame, bits: int = BITS, rows: int = ROWS, shards: int =
         frame = frame.sort_values(["h", "doc_id", "label"], kind="stable")
         own = []
         label = frame["label"].tolist()
-        for start, texts in blocks(frame["text"]):
+        for start, texts in blocks(frame["text"], ARRAY_BYTES):
             row, term, value = vectors(texts, bits)
             ends = np.searchsorted(row, np.arange(len(texts) + 1))
             own += [(term[a:b], value[a:b], label[start + i]) for i, (a, b) in enumerate(zip(ends, ends[1:]))]
@@ -116,15 +119,17 @@ def score(text: Column, weights: np.ndarray, spark: SparkSession, bits: int = BI
     """Probability of label 1 for each whole text; null counts as empty."""
     shared = spark.sparkContext.broadcast(weights)
 
-    @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         w = shared.value.astype(np.float64)
         for texts in batches:
             out = np.full(len(texts), 0.0)
-            for start, run in blocks(texts):
-                row, term, value = vectors(run, bits)
-                out[start:start + len(run)] = np.bincount(row, w[term] * value, len(run))
-            yield pd.Series(1.0 / (1.0 + np.exp(-np.clip(out, -500, 500))))
+            # As slices of the batch, so that its texts are not all there a second time.
+            for begin in range(0, len(texts), 128):
+                for start, run in blocks(texts.slice(begin, 128).to_pylist(), ARRAY_BYTES):
+                    row, term, value = vectors(run, bits)
+                    out[begin + start:begin + start + len(run)] = np.bincount(row, w[term] * value, len(run))
+            yield pa.array(1.0 / (1.0 + np.exp(-np.clip(out, -500, 500))))
 
     return scored(text)
 

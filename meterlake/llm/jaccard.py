@@ -211,7 +211,8 @@ def verified(docs: DataFrame, texts: DataFrame, groups: DataFrame, threshold: fl
     known = F.coalesce(F.col("doc_id"), F.lit(0)), F.col("doc_id").isNull()
     found = docs.withColumns({"known": known[0], "none": known[1]}).select("key", "known", "none", "text")
     members = members.withColumns({"known": F.coalesce("rep", F.lit(0)), "none": F.col("rep").isNull()})
-    found = found.join(members, ["key", "known", "none"]).select("key", "root", "copies", "chunks", "text").distinct()
+    # At scale neither side is small: the same join at every size.
+    found = found.join(members.hint("merge"), ["key", "known", "none"]).select("key", "root", "copies", "chunks", "text").distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,6 +264,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     counts = links.groupBy("key").agg(F.sum("links").alias("links"), F.sum("linked_docs").alias("linked_docs"))
     one = texts.select("key", "rep", "copies").join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     first = one.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "key")).alias("first"))
+    first = stored(first, "first")
     summary = one.join(first, "root").join(counts, "key", "left").select(
         "key", F.col("first.rep").alias("class_id"), F.col("first.key").alias("keep_key"),
         F.coalesce("links", F.lit(0)).alias("n_links"),

@@ -8,13 +8,14 @@ with whole blocks, and what is collected is one row per block, whose number is a
 from __future__ import annotations
 
 import heapq
+import uuid
 from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import crc, documents, stored
-from meterlake.session import constant_frame
+from meterlake.session import constant_frame, shared_dir
 
 BLOCKS = 32_768
 SHARDS = 8
@@ -157,7 +158,7 @@ def rewrite_affected(spark: SparkSession, root: str, new_root: str, plan: DataFr
     """Write the files of new shards that gain or lose rows; returns their numbers.
 
     ``root`` holds folders old_shard=i. A new shard that keeps exactly the rows of the old one of its
-    number isn't written and stays where it is. Written as ``new_root``/shard=j.
+    number isn't written and stays where it is. Written as ``new_root``/shard=j, the old shard of a row as ``came_from``.
     """
     moves = plan.select("old_shard", "block", "shard")
     changed = [r[0] for r in moves.where("old_shard <> shard").select(F.explode(F.array("old_shard", "shard"))).distinct().orderBy("col").collect()]
@@ -165,19 +166,49 @@ def rewrite_affected(spark: SparkSession, root: str, new_root: str, plan: DataFr
         return []
     rows = spark.read.parquet(root)
     rows = rows.withColumn("block", block_of([F.col(k) for k in keys], max(1, blocks // old_shards)))
-    rows = rows.join(F.broadcast(moves), ["old_shard", "block"]).where(F.col("shard").isin(changed)).drop("old_shard", "block")
-    rows.hint("rebalance", "shard").write.partitionBy("shard").parquet(new_root)
+    rows = rows.join(F.broadcast(moves), ["old_shard", "block"]).where(F.col("shard").isin(changed))
+    rows = rows.drop("block").withColumnRenamed("old_shard", "came_from")
+    rows.hint("rebalance", "shard").write.option("compression", "zstd").partitionBy("shard").parquet(new_root)
     return changed
 
 
+def shards_as_they_lie(spark: SparkSession, root: str, new_root: str, changed: list[int], plan: DataFrame, shards: int) -> DataFrame:
+    """Rows of all new shards, read from the files they are in: those rewritten, and the old ones that nothing left or entered."""
+    new = sorted({*range(shards)} - {*changed})
+    old = spark.read.parquet(root).where(F.col("old_shard").isin(new)) if new else None
+    kept = None if old is None else old.withColumns({"shard": F.col("old_shard"), "came_from": F.col("old_shard")}).drop("old_shard")
+    if not changed:
+        return kept
+    moved = spark.read.parquet(new_root)
+    return moved if kept is None else moved.unionByName(kept.select(*moved.columns))
+
+
 def op2_min_cost_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From 12 old shards, one hash class of ``source`` each, to 8 of near equal bytes."""
+    """From 12 old shards, one hash class of ``source`` each, to 8 of near equal bytes.
+
+    The old shards are written with their whole texts, the affected ones rewritten; every column comes from the
+    shards as they then lie. Null texts are empty; rows of a null source are a shard's like others.
+    """
     docs = documents(spark, sf_dir)
-    text = F.coalesce(F.col("text"), F.lit(""))
+    size, check = (F.octet_length(F.coalesce(F.col("text"), F.lit(""))) + 1).cast("long"), crc(F.col("text"))
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), crc(F.col("text")).alias("text_crc32"),
+        F.col("doc_id").cast("long").alias("doc_id"), "text", size.alias("size"), check.alias("text_crc32"),
         F.pmod(F.xxhash64("source"), F.lit(OLD_SHARDS)).cast("int").alias("old_shard"),
     )
-    return reshard(rows, ["doc_id", "text_crc32", "size"]).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard",
+    keys = ["doc_id", "text_crc32", "size"]
+    folder = f"{shared_dir(spark)}/llm/{spark.sparkContext.applicationId}/shards-{uuid.uuid4().hex}"
+    root, new_root = f"{folder}/old", f"{folder}/new"
+    rows.write.option("compression", "zstd").partitionBy("old_shard").parquet(root)
+    old = spark.read.schema(rows.schema).parquet(root).select(*keys, "old_shard")
+    plan = transfers(old.withColumn("block", block_of([F.col(k) for k in keys], BLOCKS // OLD_SHARDS)), None, SHARDS, OLD_SHARDS)
+    changed = rewrite_affected(spark, root, new_root, plan, keys, OLD_SHARDS)
+    lying = shards_as_they_lie(spark, root, new_root, changed, plan, SHARDS)
+    read = lying.select("doc_id", size.alias("size"), check.alias("text_crc32"), "shard", F.col("came_from").alias("old_shard"))
+    read = read.withColumn("block", block_of([F.col(k) for k in keys], BLOCKS // OLD_SHARDS))
+    place = Window.partitionBy("old_shard", "block").orderBy(*keys)
+    first = F.broadcast(plan.select("old_shard", "block", "first_slot"))
+    placed = read.withColumn("place", F.row_number().over(place) - 1).join(first, ["old_shard", "block"])
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("first_slot") + F.col("place")).alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"), "old_shard",
     )

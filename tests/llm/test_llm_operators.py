@@ -109,6 +109,22 @@ def test_rewrite_affected_moves_only_what_changed(spark, tmp_path):
     assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "new")).select("doc_id").collect()) == list(range(100))
 
 
+def test_untouched_shards_stay_where_they_lie(spark, tmp_path):
+    """Shard 0 is full with its own rows; 1 gives to 2: only these two are written."""
+    rows = spark.createDataFrame([(i, min(i // 50, 2) if i < 110 else 1, 10, f"text {i}") for i in range(150)], "doc_id long, old_shard int, size long, text string")
+    rows.write.partitionBy("old_shard").parquet(str(tmp_path / "old"))
+    keyed = rows.withColumn("block", reshard.block_of([rows["doc_id"]], 20))
+    plan = reshard.transfers(keyed, [50.0, 60.0, 40.0], 3, 3)
+    changed = reshard.rewrite_affected(spark, str(tmp_path / "old"), str(tmp_path / "new"), plan, ["doc_id"], 3, 60)
+    assert changed == [1, 2] and sorted(p.name for p in (tmp_path / "new").glob("shard=*")) == ["shard=1", "shard=2"]
+    lying = reshard.shards_as_they_lie(spark, str(tmp_path / "old"), str(tmp_path / "new"), changed, plan, 3)
+    got = {r["doc_id"]: (r["shard"], r["came_from"], r["text"]) for r in lying.collect()}
+    assert len(got) == 150 and all(got[i] == (0, 0, f"text {i}") for i in range(50))
+    assert abs(sum(s == 1 for s, _, _ in got.values()) - 60) <= 10
+    still = reshard.shards_as_they_lie(spark, str(tmp_path / "old"), str(tmp_path / "new"), [], plan, 3)
+    assert sorted(r["doc_id"] for r in still.collect()) == list(range(150))
+
+
 def test_jaccard_edges(docs, spark):
     out = {(r["doc_id"], r["key"]): r for r in jaccard.near_classes(docs).collect()}
     copy = hashlib.md5(COPY.encode()).hexdigest()
