@@ -462,6 +462,11 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 'por_hogar', id_hogar, kwh FROM ({_homes(_DAY)})
         UNION ALL SELECT 'picos', timestamp_real, kwh FROM ({_peaks(_DAY)})
         UNION ALL SELECT 'perfil', CAST(hora AS VARCHAR), kwh_prom FROM ({_PROFILE})""",
+    "hogares_por_periodo": " UNION ALL ".join(
+        f"""SELECT '{tipo}' AS tipo, CAST(CAST(date_trunc('{unit}', CAST(fecha AS DATE)) AS DATE) AS VARCHAR) AS desde,
+        count(DISTINCT hogar_key) AS hogares FROM fact GROUP BY ALL"""
+        for tipo, unit in (("dia", "day"), ("semana", "week"), ("mes", "month"))
+    ),
     "preview_resumen_empty": f"""SELECT 'Mayo 2031' AS label, count(*) AS lecturas, CAST(0 AS DOUBLE) AS kwh,
         {_kwh_text('CAST(0 AS DECIMAL(28,10))')} AS kwh_fmt, CAST(0 AS DOUBLE) AS costo,
         {_mxn_text('CAST(0 AS DECIMAL(28,10))')} AS costo_fmt, count(*) FILTER (WHERE es_pico) AS picos,
@@ -522,6 +527,9 @@ for _rolled, _name in (
     ("daily_consumo_por_region", "v_consumo_por_region"),
     ("daily_consumo_por_hogar", "v_consumo_por_hogar"),
     ("daily_resumen_general", "v_resumen_general"),
+    ("daily_resumen", "resumen"),
+    ("fold_general", "v_resumen_general"),
+    ("daily_preview_resumen", "preview_resumen"),
     ("daily_report_region", "report_region"),
     ("daily_report_homes", "report_homes"),
     ("daily_report_peaks", "report_peaks"),

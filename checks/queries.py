@@ -211,6 +211,11 @@ def fold_daily(spark, sf_dir):
     return _folded(spark, sf_dir).resumen_diario
 
 
+@register
+def fold_general(spark, sf_dir):
+    return daily.resumen_general(_folded(spark, sf_dir))
+
+
 # --- filters ----------------------------------------------------------------------------------
 
 
@@ -601,6 +606,7 @@ for _function, _name in (
     (daily.consumo_por_region, "daily_consumo_por_region"),
     (daily.consumo_por_hogar, "daily_consumo_por_hogar"),
     (daily.resumen_general, "daily_resumen_general"),
+    (daily.resumen, "daily_resumen"),
     (daily.top_picos, "daily_top_picos"),
     (hourly.consumo_por_region, "hourly_consumo_por_region"),
     (hourly.perfil_horario, "hourly_perfil_horario"),
@@ -610,10 +616,22 @@ for _function, _name in (
     _mart(_function, _name)
 
 
+@register
+def hogares_por_periodo(spark, sf_dir):
+    """Different homes by day, week and month, after a fold and a batch that came again."""
+    s = _folded(spark, sf_dir)
+    dia, semana, mes = (
+        daily.hogares_por_periodo(s, kind).select(F.lit(kind).alias("tipo"), "desde", "hogares")
+        for kind in ("dia", "semana", "mes")
+    )
+    return dia.unionByName(semana).unionByName(mes)
+
+
 for _function, _kind, _value, _name in (
     (daily.report_region, "mes", MONTH, "daily_report_region"),
     (daily.report_homes, "semana", WEEK, "daily_report_homes"),
     (daily.report_peaks, "semana", WEEK, "daily_report_peaks"),
+    (daily.preview_resumen, "semana", WEEK, "daily_preview_resumen"),
     (hourly.report_region, "hora", HOUR, "hourly_report_region"),
     (hourly.report_profile, "dia", DAY, "hourly_report_profile"),
     (report.preview_resumen, "semana", WEEK, "preview_resumen"),

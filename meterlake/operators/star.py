@@ -30,6 +30,7 @@ class Star:
     resumen_diario: DataFrame | None = None
     resumen_horario: DataFrame | None = None
     picos_mayores: DataFrame | None = None
+    hogares_activos: DataFrame | None = None
 
 
 # --- dimensions -------------------------------------------------------------------------------
@@ -261,6 +262,32 @@ def merge_hourly(parts: DataFrame) -> DataFrame:
     return _added_up(parts, "fecha", "hora", "region_key").select(*schemas.RESUMEN_HORARIO.names)
 
 
+def active_homes(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Bitmaps of the home keys that occur on each date in ``rows``, facts or daily rollup; one row per bucket of keys.
+
+    A bit per home instead of a row. Unlike counts of distinct homes, bitmaps of dates, batches or both can be
+    united, and repeated homes are counted once. Rows without home and facts without a quarter hour are left out.
+    """
+    known = rows.where("hogar_key IS NOT NULL")
+    if "tiempo_key" in rows.columns:
+        known = known.where("tiempo_key IS NOT NULL")
+    bucket, bit = F.bitmap_bucket_number("hogar_key"), F.bitmap_bit_position("hogar_key")
+    return known.groupBy("fecha", bucket.alias("cubeta"), *by).agg(F.bitmap_construct_agg(bit).alias("mapa")).select(
+        *schemas.HOGARES_ACTIVOS.names, *by
+    )
+
+
+def merge_active(parts: DataFrame) -> DataFrame:
+    """One bitmap per date and bucket of those of its batches."""
+    return parts.groupBy("fecha", "cubeta").agg(F.bitmap_or_agg("mapa").alias("mapa")).select(*schemas.HOGARES_ACTIVOS.names)
+
+
+def count_homes(parts: DataFrame) -> DataFrame:
+    """One row: the number of different homes (``hogares``) in all bitmaps of ``parts``; zero if there are none."""
+    united = parts.groupBy("cubeta").agg(F.bitmap_or_agg("mapa").alias("mapa"))
+    return united.agg(F.coalesce(F.sum(F.bitmap_count("mapa")), F.lit(0)).cast("long").alias("hogares"))
+
+
 def biggest_peaks(fact: DataFrame, by: Sequence[str] = (), limit: int = TOP_PEAKS) -> DataFrame:
     """The ``limit`` biggest peaks of known homes for each date, with a region and without one.
 

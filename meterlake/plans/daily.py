@@ -16,7 +16,7 @@ from meterlake.fixed_values import TOP_HOMES, TOP_PEAKS
 from meterlake.functions.calendar import date_text
 from meterlake.functions.exact import exact_sum, half_up, zero_if_null
 from meterlake.functions.periods import period_filter
-from meterlake.operators.star import Star, join_home, join_region
+from meterlake.operators.star import Star, count_homes, join_home, join_region
 from meterlake.plans import marts, report
 
 
@@ -51,15 +51,27 @@ def consumo_por_hogar(star: Star) -> DataFrame:
 
 
 def resumen_general(star: Star) -> DataFrame:
-    """The view v_resumen_general."""
-    return star.resumen_diario.agg(
-        *_totals(), F.count_distinct("hogar_key").alias("hogares_activos")
-    ).select(
+    """The view v_resumen_general: totals from the rows of dates and hours, homes from the bitmaps."""
+    return star.resumen_horario.agg(*_totals()).select(
         zero_if_null(F.col("num_lecturas")).alias("total_lecturas"), "kwh_total", _mean(),
-        "costo_total", zero_if_null(F.col("num_picos")).alias("total_picos"), "hogares_activos",
+        "costo_total", zero_if_null(F.col("num_picos")).alias("total_picos"),
+        count_homes(star.hogares_activos).scalar().alias("hogares_activos"),
     )
 
 
+def resumen(star: Star) -> DataFrame:
+    """Totals with zeros for an empty warehouse, and their texts."""
+    return marts.general_texts(resumen_general(star))
+
+
+def hogares_por_periodo(star: Star, kind: str) -> DataFrame:
+    """Different homes with readings in each day, week or month (its first date); none is counted twice in one."""
+    unit = {"dia": "day", "semana": "week", "mes": "month"}[kind]
+    first = F.date_trunc(unit, "fecha").cast("date").alias("desde")
+    united = star.hogares_activos.groupBy(first, "cubeta").agg(F.bitmap_or_agg("mapa").alias("mapa"))
+    return united.groupBy("desde").agg(F.sum(F.bitmap_count("mapa")).alias("hogares")).orderBy("desde")
+
+
 def _of_period(star: Star, kind: str, value: str, on_invalid: str) -> DataFrame:
     if kind == "hora":
         raise ValueError("the daily rollup has no hours")
@@ -75,6 +87,21 @@ def _report() -> list[Column]:
     ]
 
 
+def preview_resumen(
+    star: Star, kind: str, value: str, on_invalid: str = "all", keep_empty: bool = False
+) -> DataFrame:
+    """The summary of a day, week or month: a row per hour and region and a bit per home are read of each date."""
+    if kind == "hora":
+        raise ValueError("homes are kept by date, not by hour")
+    period = period_filter(kind, value, on_invalid)
+    row = star.resumen_horario.where(period).agg(*_report()).select(
+        zero_if_null(F.col("lecturas")).alias("lecturas"), zero_if_null(F.col("kwh")).alias("kwh"),
+        zero_if_null(F.col("costo")).alias("costo"), zero_if_null(F.col("picos")).alias("picos"),
+        count_homes(star.hogares_activos.where(period)).scalar().alias("hogares"),
+    )
+    return report.labelled(row if keep_empty else row.where("lecturas > 0"), kind, value)
+
+
 def report_region(star: Star, kind: str, value: str, on_invalid: str = "all") -> DataFrame:
     totals = join_region(star, _of_period(star, kind, value, on_invalid))
     return totals.groupBy("region").agg(*_report()).orderBy(F.desc("kwh"), "region")

@@ -83,7 +83,11 @@ def v_resumen_general(star: Star) -> DataFrame:
 
 def resumen(star: Star) -> DataFrame:
     """Totals with zeros for an empty warehouse, and their texts."""
-    row = v_resumen_general(star)
+    return general_texts(v_resumen_general(star))
+
+
+def general_texts(row: DataFrame) -> DataFrame:
+    """The row of ``v_resumen_general`` with zeros for nothing, and texts."""
     kwh, cost = zero_if_null(F.col("kwh_total")), zero_if_null(F.col("costo_total"))
     return row.select(
         "total_lecturas",

@@ -91,7 +91,11 @@ def preview_resumen(
 ) -> DataFrame:
     """One row with label and texts. When the period has no data: no row, or with ``keep_empty`` a row of
     zeros, so that its label is there to be shown."""
-    summary = _summary(_dated(star, kind, value, on_invalid), keep_empty)
+    return labelled(_summary(_dated(star, kind, value, on_invalid), keep_empty), kind, value)
+
+
+def labelled(summary: DataFrame, kind: str, value: str) -> DataFrame:
+    """The label of the period and texts beside the numbers of its summary."""
     return summary.select(
         period_label(kind, F.lit(value)).alias("label"),
         "lecturas", "kwh", fmt_kwh(F.col("kwh")).alias("kwh_fmt"),

@@ -95,6 +95,13 @@ RESUMEN_HORARIO = T.StructType([
     T.StructField("fecha", T.DateType()),
 ])
 
+# Homes with readings on a date: a bitmap of the keys of each bucket.
+HOGARES_ACTIVOS = T.StructType([
+    T.StructField("cubeta", T.LongType()),
+    T.StructField("mapa", T.BinaryType()),
+    T.StructField("fecha", T.DateType()),
+])
+
 # The biggest peaks of a date, as kept at load.
 PICOS_MAYORES = T.StructType([
     T.StructField("timestamp_real", T.TimestampNTZType()),

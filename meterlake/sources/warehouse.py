@@ -51,6 +51,9 @@ TABLES = {
     "fact_picos_mayores": T.StructType(
         [*schemas.PICOS_MAYORES.fields, T.StructField("batch_id", T.StringType())]
     ),
+    "fact_hogares_activos": T.StructType(
+        [*schemas.HOGARES_ACTIVOS.fields, T.StructField("batch_id", T.StringType())]
+    ),
     "medidores": schemas.REGISTRY,
     "hogar_tarifa": _HOME_LOOKUP,
 }
@@ -59,6 +62,7 @@ ROLLUPS = {
     "fact_resumen_diario": (ops.merge_daily, lambda facts: ops.daily_rows(ops.resumenes(facts)), "hogar_key"),
     "fact_resumen_horario": (ops.merge_hourly, lambda facts: ops.hourly_rows(ops.resumenes(facts)), "hora"),
     "fact_picos_mayores": (ops.biggest_peaks, ops.biggest_peaks, "hogar_key"),
+    "fact_hogares_activos": (ops.merge_active, ops.active_homes, "cubeta"),
 }
 #: Tables with a partition per date and batch.
 DATED = ("fact_consumo", *ROLLUPS, "dim_tiempo")
@@ -122,6 +126,7 @@ def open_star(spark: SparkSession, path: str) -> Star:
         resumen_diario=ops.merge_daily(read_table(spark, path, "fact_resumen_diario")),
         resumen_horario=ops.merge_hourly(read_table(spark, path, "fact_resumen_horario")),
         picos_mayores=ops.biggest_peaks(read_table(spark, path, "fact_picos_mayores")),
+        hogares_activos=read_table(spark, path, "fact_hogares_activos"),
     )
 
 
@@ -279,12 +284,14 @@ def refresh_daily(dates: DataFrame | Sequence[date], path: str, batch_id: str |
 
 
 def _write_daily(facts: DataFrame, path: str) -> None:
-    """Both rollups of ``facts``, from one pass over them, and their biggest peaks."""
+    """Both rollups of ``facts`` and their homes, from one pass over them, and their biggest peaks."""
     both = ops.resumenes(facts, by=("batch_id",)).persist()
     for table, rows in (("fact_resumen_diario", ops.daily_rows), ("fact_resumen_horario", ops.hourly_rows)):
         replace_partitions(
             rows(both, "batch_id").select(*TABLES[table].names), f"{path}/{table}", "fecha", "batch_id"
         )
+    homes = ops.active_homes(ops.daily_rows(both, "batch_id"), by=("batch_id",))
+    replace_partitions(homes.select(*TABLES["fact_hogares_activos"].names), f"{path}/fact_hogares_activos", "fecha", "batch_id")
     both.unpersist()
     replace_partitions(
         ops.biggest_peaks(facts, by=("batch_id",)).select(*TABLES["fact_picos_mayores"].names),

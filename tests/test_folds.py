@@ -32,7 +32,7 @@ def content(spark, paths):
     star = warehouse.open_star(spark, paths.star)
     return tuple(
         sorted(map(str, df.collect()))
-        for df in (star.fact, star.tiempo, star.resumen_diario, marts.v_consumo_por_hogar(star))
+        for df in (star.fact, star.tiempo, star.resumen_diario, marts.v_consumo_por_hogar(star), ops.merge_active(star.hogares_activos))
     )
 
 
@@ -87,6 +87,8 @@ def test_late_and_repeated_batches_after_a_fold(spark, three, make_readings, tmp
     assert star.fact.count() == 3 * 8 + 4
     wanted = ops.resumen_diario(star.fact)
     assert wanted.exceptAll(star.resumen_diario).isEmpty() and star.resumen_diario.exceptAll(wanted).isEmpty()
+    homes = ops.active_homes(star.fact)
+    assert homes.exceptAll(ops.merge_active(star.hogares_activos)).isEmpty() and homes.count() == 2
     assert ops.pk_duplicates(star.tiempo, "tiempo_key").isEmpty()
     after = content(spark, three)
     warehouse.fold_days(spark, three.star, LATER)

@@ -9,6 +9,7 @@ import pytest
 from checks import stage
 from meterlake.operators import star as star_ops
 from meterlake.plans import daily, hourly, marts, report
+from meterlake.sources import warehouse
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -63,8 +64,11 @@ def test_top_lists_do_not_sort_everything(star):
 def test_rollups_answer_without_the_facts(star):
     for df in (hourly.consumo_por_region(star), hourly.perfil_horario(star), hourly.picos_por_hora(star), hourly.heatmap(star),
                hourly.report_profile(star, "hora", "2024-01-05 9"), daily.consumo_por_hogar(star),
-               daily.top_picos(star), daily.report_peaks(star, "semana", "2024-W02")):
-        assert "fact_consumo" not in plan(df) and ("fact_resumen" in plan(df) or "fact_picos_mayores" in plan(df))
+               daily.top_picos(star), daily.report_peaks(star, "semana", "2024-W02"), daily.resumen(star),
+               daily.preview_resumen(star, "mes", "2024-01"), daily.hogares_por_periodo(star, "semana")):
+        tables = {t for t in warehouse.DATED if t in plan(df)}
+        assert tables and not tables & {"fact_consumo", "dim_tiempo"}
+    assert "fact_resumen_diario" not in plan(daily.resumen(star))
     filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(hourly.report_region(star, "dia", "2024-01-05")))
     assert any("= 2024-01-05" in f for f in filters)
 
@@ -74,6 +78,12 @@ def test_both_rollups_take_one_pass(star):
     assert text.count("Scan parquet") == 1 and "Expand" in text and text.count("Exchange hashpartitioning") == 1
 
 
+def test_a_days_homes_prune_partitions_and_meet_as_bitmaps(star):
+    text = plan(daily.preview_resumen(star, "dia", "2024-01-05"))
+    filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", text)
+    assert sum("= 2024-01-05" in f for f in filters) == 2 and "partial_bitmap_or_agg" in text and "distinct" not in text
+
+
 def test_biggest_peaks_are_cut_before_the_shuffle(star):
     text = plan(star_ops.biggest_peaks(star.fact))
     assert text.count("WindowGroupLimit") == 2

@@ -9,7 +9,7 @@ from meterlake.fixed_values import METERS, TARIFFS, Meter
 from meterlake.operators import star as ops
 from meterlake.operators.books import meter_registry
 from meterlake.operators.features import transform
-from meterlake.plans import marts, report
+from meterlake.plans import daily, marts, report
 from meterlake.sources import lake, warehouse
 
 START = datetime(2024, 1, 5, 10)
@@ -240,3 +240,30 @@ def test_records(spark, odd_star, tmp_path):
     assert lake.to_records(rows).first()[0] == '{"region":"1","kwh":3.0,"costo":2.862}'
     lake.write_records(rows, str(tmp_path / "out"))
     assert spark.read.json(str(tmp_path / "out")).first().kwh == 3.0
+
+
+def test_homes_are_counted_from_bitmaps(spark):
+    """Keys at the edges of buckets, repeated, far apart and missing; dates and batches united in any way."""
+    keys = [1, 2, 32_768, 32_769, 65_536, 65_537, 10**12, None]
+    rows = [(f"2024-01-0{d}", f"b{b}", k) for d in (5, 6) for b in (0, 1) for i, k in enumerate(keys) if i % 2 == b or d == 5]
+    facts = spark.createDataFrame(rows + [("2024-01-05", "b0", 1)], "fecha string, batch_id string, hogar_key long").withColumn("fecha", F.to_date("fecha"))
+    parts = ops.active_homes(facts, by=("batch_id",))
+    assert ops.count_homes(parts).first().hogares == 7
+    assert ops.count_homes(parts.where("fecha = '2024-01-06' AND batch_id = 'b1'")).first().hogares == 3
+    merged = ops.merge_active(parts)
+    assert merged.groupBy("fecha", "cubeta").count().where("count > 1").isEmpty() and ops.count_homes(merged).first().hogares == 7
+    assert merged.exceptAll(ops.active_homes(facts)).isEmpty()
+    assert ops.count_homes(parts.where("false")).first().hogares == 0
+    assert ops.active_homes(facts.where("hogar_key IS NULL")).isEmpty()
+    untimed = facts.withColumn("tiempo_key", F.when(F.col("hogar_key") < 10, 1))
+    assert ops.count_homes(ops.active_homes(untimed)).first().hogares == 2
+
+
+def test_summaries_of_an_empty_warehouse(spark, installation):
+    star = warehouse.open_star(spark, installation.star)
+    assert daily.resumen(star).first() == marts.resumen(star).first()
+    assert daily.resumen_general(star).first().hogares_activos == 0
+    assert daily.preview_resumen(star, "mes", "2024-01").isEmpty()
+    assert daily.preview_resumen(star, "mes", "2024-01", keep_empty=True).first() == report.preview_resumen(star, "mes", "2024-01", keep_empty=True).first()
+    with pytest.raises(ValueError):
+        daily.preview_resumen(star, "hora", "2024-01-05 9")
