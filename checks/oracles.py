@@ -529,6 +529,9 @@ for _rolled, _name in (
     ("daily_resumen_general", "v_resumen_general"),
     ("daily_resumen", "resumen"),
     ("fold_general", "v_resumen_general"),
+    *((f"catalog_{name}", name) for name in (
+        "v_consumo_por_region", "v_consumo_por_hogar", "v_perfil_horario", "v_picos", "v_resumen_general", "resumen_diario",
+    )),
     ("daily_preview_resumen", "preview_resumen"),
     ("daily_report_region", "report_region"),
     ("daily_report_homes", "report_homes"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import date
 
@@ -16,7 +17,7 @@ from meterlake.functions import energy, exact, periods, text
 from meterlake.operators import books, features, peaks, quality, tariffs
 from meterlake.operators import star as star_ops
 from meterlake.plans import daily, hourly, listings, marts, report
-from meterlake.sources import lake, ledger, warehouse
+from meterlake.sources import catalog, lake, ledger, warehouse
 from meterlake.sources.events import read_events, readings_from_events
 from meterlake.sources.readings import CORRUPT, MESSAGE, decode_readings, encode_readings
 from meterlake.streaming import pipeline
@@ -616,6 +617,28 @@ for _function, _name in (
     _mart(_function, _name)
 
 
+_in_catalog: set[str] = set()
+
+
+def _published(name: str) -> Query:
+    """The view as a new session finds it, over the star with folded days."""
+    def run(spark, sf_dir):
+        _folded(spark, sf_dir)
+        database = f"meterlake_{hashlib.md5(sf_dir.encode()).hexdigest()[:8]}"
+        path = _folded_stars[spark.sparkContext.applicationId, sf_dir]
+        if path not in _in_catalog:
+            catalog.publish_star(spark, path, database)
+            _in_catalog.add(path)
+        return spark.newSession().table(f"{database}.{name}")
+
+    return run
+
+
+for _name in ("v_consumo_por_region", "v_consumo_por_hogar", "v_perfil_horario", "v_picos", "v_resumen_general"):
+    register(_published(_name), f"catalog_{_name}")
+register(_published("fact_resumen_diario"), "catalog_resumen_diario")
+
+
 @register
 def hogares_por_periodo(spark, sf_dir):
     """Different homes by day, week and month, after a fold and a batch that came again."""

@@ -71,7 +71,7 @@ LOTE = T.StructField("lote", T.StringType())
 FOLD = "plegado-"
 
 
-def _stored_schema(table: str) -> T.StructType:
+def stored_schema(table: str) -> T.StructType:
     fields = list(TABLES[table].fields)
     if table == "dim_tiempo":
         fields.append(T.StructField("batch_id", T.StringType()))
@@ -81,7 +81,7 @@ def _stored_schema(table: str) -> T.StructType:
 
 
 def _reader(spark: SparkSession, path: str, table: str):
-    return spark.read.schema(_stored_schema(table)).option("basePath", f"{path}/{table}")
+    return spark.read.schema(stored_schema(table)).option("basePath", f"{path}/{table}")
 
 
 def read_parts(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -104,7 +104,7 @@ def _of_days(spark: SparkSession, path: str, table: str, days: Iterable[date]) -
 def _of_parts(spark: SparkSession, path: str, table: str, parts: Mapping[date, Sequence[str]]) -> DataFrame:
     folders = [f"{path}/{table}/fecha={d}/batch_id={p}" for d, own in parts.items() for p in own]
     if not folders:
-        return constant_frame(spark, [], _stored_schema(table))
+        return constant_frame(spark, [], stored_schema(table))
     return _reader(spark, path, table).parquet(*folders)
 
 
@@ -156,7 +156,7 @@ def create_star(
     """
     for table in DATED:
         if not files.names(spark, f"{path}/{table}"):
-            empty = constant_frame(spark, [], _stored_schema(table))
+            empty = constant_frame(spark, [], stored_schema(table))
             empty.write.partitionBy("fecha", "batch_id").parquet(f"{path}/{table}")
 
     region = _add_rows(
@@ -335,7 +335,7 @@ def finish_folds(spark: SparkSession, path: str) -> None:
                 for day, parts in days.items():
                     for part in parts:
                         files.remove(spark, f"{path}/{table}/fecha={day}/batch_id={part}")
-            files.publish(spark, f"{folder}/{done}", "")
+            files.publish(spark, f"{folder}/{done}", entry)
         files.remove(spark, f"{folder}/{entry}")
 
 
@@ -402,7 +402,7 @@ def _fold(
 
 
 def _write_fold(df: DataFrame, path: str, table: str, order: str) -> None:
-    rows = df.select(*_stored_schema(table).names).hint("rebalance", F.col("fecha"))
+    rows = df.select(*stored_schema(table).names).hint("rebalance", F.col("fecha"))
     rows.sortWithinPartitions("fecha", "batch_id", order).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("fecha", "batch_id").parquet(f"{path}/{table}")
