@@ -12,6 +12,7 @@ First all runs are compared as wholes, which settles copies and the inside of pa
 from __future__ import annotations
 
 import hashlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,20 @@ RUNS, WINDOWS = 1, 2
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
+def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first, first + 1, ..., ``n`` numbers for each."""
+    return np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
+
+
+def _first_place(grams: np.ndarray, value: np.ndarray, windows: np.ndarray, reach: int) -> np.ndarray:
+    """Where the least hash ``value`` of each of the windows is first found among its ``reach`` grams."""
+    out, inner = np.empty(len(windows), dtype=np.int64), np.arange(reach)
+    for begin in range(0, len(windows), 65536):
+        w = windows[begin:begin + 65536]
+        out[begin:begin + 65536] = w + np.argmax(grams[w[:, None] + inner] == value[w][:, None], axis=1)
+    return out
+
+
 class Block:
     """The runs of a block's texts: first and last window start, document, and what identifies them."""
 
@@ -44,33 +59,46 @@ class Block:
         self.down = powers(n + 1, pow(_ODD, -1, 1 << 64))
         self.sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(n + 1)[:n], out=self.sums[1:])
-        grams = self.hashes(np.arange(n - gram + 1), gram)
-        value, place = grams, np.arange(len(grams), dtype=np.int32)
-        width, want = 1, length - gram + 1
-        while width < want:  # leftmost least hash of ``width`` grams
-            step = min(width, want - width)
-            smaller = value[step:] < value[:-step]
-            place = np.where(smaller, place[step:], place[:-step])
-            value = np.where(smaller, value[step:], value[:-step])
+        grams = mix((self.sums[gram:] - self.sums[:-gram]) * self.down[:n - gram + 1] + np.uint64(gram))
+        value, width, reach = grams, 1, length - gram + 1
+        while width < reach:  # least hash of ``width`` grams
+            step = min(width, reach - width)
+            value = np.minimum(value[step:], value[:-step])
             width += step
-        lengths = np.diff(np.concatenate(([0], self.ends)))
-        doc = np.repeat(np.arange(len(texts)), lengths)[: len(place)]
-        whole = np.flatnonzero(np.arange(len(place)) + length <= self.ends[doc])
-        if not len(whole):
-            return
-        p, d = place[whole], doc[whole]
-        new = np.concatenate(([True], (p[1:] != p[:-1]) | (d[1:] != d[:-1]) | (whole[1:] != whole[:-1] + 1)))
+        # Windows of a text with one least hash are a run, up to the first place of that hash.
+        new = np.concatenate(([True], value[1:] != value[:-1]))
+        begins = self.ends - [len(t) for t in texts]
+        new[begins[begins < len(value)]] = True
+        over = np.minimum(np.maximum(self.ends - length + 1, begins), len(value))
+        inside = np.zeros(len(value) + 1, dtype=np.int32)
+        np.add.at(inside, np.minimum(begins, len(value)), 1)
+        np.add.at(inside, over, -1)
+        new[over[over < len(value)]] = True
         starts = np.flatnonzero(new)
-        self.first, self.last = whole[starts], whole[np.concatenate((starts[1:], [len(whole)])) - 1]
-        self.doc, self.gram = d[starts], grams[p[starts]]
+        stops = np.concatenate((starts[1:], [len(value)]))
+        held = np.cumsum(inside[:-1])[starts] > 0
+        starts, stops = starts[held], stops[held]
+        if not len(starts):
+            return
+        p = _first_place(grams, value, starts, reach)
+        tail = np.flatnonzero(stops > p + 1)  # the hash occurs again behind its first place
+        rest = _ranges(p[tail] + 1, stops[tail] - p[tail] - 1)
+        place = _first_place(grams, value, rest, reach)
+        turns = np.flatnonzero(np.diff(place, prepend=-1))
+        first = np.concatenate((starts, rest[turns]))
+        last = np.concatenate((np.minimum(stops - 1, p), rest[np.append(turns[1:], len(rest)) - 1] if len(rest) else rest))
+        by_place = np.argsort(first, kind="stable")
+        self.first, self.last, p = first[by_place], last[by_place], np.concatenate((p, place[turns]))[by_place]
+        self.doc, self.gram = np.searchsorted(self.ends, self.first, side="right"), grams[p]
         wide = self.last - self.first
         whole_hash = (self.sums[self.last + length] - self.sums[self.first]) * self.down[self.first]
-        self.span = mix(whole_hash + mix(self.gram + (wide * 4096 + (p[starts] - self.first)).astype(np.uint64)))
+        self.span = mix(whole_hash + mix(self.gram + (wide * 4096 + (p - self.first)).astype(np.uint64)))
 
     def hashes(self, at: np.ndarray, width: int) -> np.ndarray:
         """Hash of the ``width`` bytes at each position."""
         return mix((self.sums[at + width] - self.sums[at]) * self.down[at] + np.uint64(width))
 
+    @cached_property
     def classes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(gram, span, least id, class of each run) of the different runs, by span."""
         span, first, own = np.unique(self.span, return_index=True, return_inverse=True)
@@ -78,31 +106,35 @@ class Block:
         np.minimum.at(least, own, self.ids[self.doc])
         return self.gram[first], span, least, own
 
-    def run_rows(self, block: int, buckets: int) -> tuple[list[tuple], np.ndarray]:
-        gram, span, least, _ = self.classes()
-        # To the bucket of the gram; there the span tells the class.
+    def asked_order(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """(order of the classes by the bucket of their gram, gram and span; bucket of each)."""
+        gram, span, _, _ = self.classes
         bucket = (gram % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((span, gram, bucket))
+        return np.lexsort((gram, bucket)), bucket
+
+    def run_rows(self, block: int, buckets: int) -> list[tuple]:
+        """To the bucket of the gram; there the span tells the class."""
+        gram, span, least, _ = self.classes
+        order, bucket = self.asked_order(buckets)
         ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
         rows = []
         for b in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
             o = order[ends[b]:ends[b + 1]]
             rows.append((b, block, RUNS, packed(gram[o]), (span[o] >> np.uint64(32)).astype(np.uint32).tobytes(), least[o].tobytes()))
-        return rows, order
+        return rows
 
     def settled(self, flags: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray]:
         """(run is repeated from a smaller id, run must compare its windows)."""
-        _, _, least, own = self.classes()
+        _, _, least, own = self.classes
         got = np.empty(len(least), dtype=np.uint8)
-        got[self.run_rows(0, buckets)[1]] = np.frombuffer(flags, dtype=np.uint8)
+        got[self.asked_order(buckets)[0]] = np.frombuffer(flags, dtype=np.uint8)
         repeated = (got[own] & 1).astype(bool) | (self.ids[self.doc] > least[own])
         return repeated, ~repeated & (got[own] & 2).astype(bool)
 
     def window_starts(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, document) of the windows of the chosen runs."""
         first, n = self.first[runs], self.last[runs] - self.first[runs] + 1
-        start = np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        return start, np.repeat(self.doc[runs], n)
+        return _ranges(first, n), np.repeat(self.doc[runs], n)
 
     def windows(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(hash, least id) of the different windows of the chosen runs; start and number of each window."""
@@ -124,11 +156,14 @@ def _resolve(kind: int, keys: list[np.ndarray], low: list[bytes], high: list[byt
             grams.add(k, span, span)
         else:
             own = k
+        order = np.argsort(own) if kind == RUNS else slice(None)
+        own, ids = own[order], ids[order]
         family.add(own, ids, ids)
-        batches.append((own, ids))
+        batches.append((order, own, ids))
     out = []
-    for k, (own, ids) in zip(keys, batches):
-        flags = (family.scan(own)[0] < ids).astype(np.uint8)
+    for k, (order, own, ids) in zip(keys, batches):
+        flags = np.empty(len(k), dtype=np.uint8)
+        flags[order] = family.scan(own)[0] < ids  # ascending keys are found fast
         if kind == RUNS:
             least, most = grams.scan(k)
             flags |= ((least < most) * 2).astype(np.uint8)
@@ -153,7 +188,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def ask_runs(batches):
         for block, ids, texts in numbered(batches):
-            yield asked_batch(Block(ids, texts, length).run_rows(block, buckets)[0])
+            yield asked_batch(Block(ids, texts, length).run_rows(block, buckets))
 
     def ask_windows(block, ids, texts, got):
         own = Block(ids, texts, length)
