@@ -532,6 +532,7 @@ for _rolled, _name in (
     *((f"catalog_{name}", name) for name in (
         "v_consumo_por_region", "v_consumo_por_hogar", "v_perfil_horario", "v_picos", "v_resumen_general", "resumen_diario",
     )),
+    *((f"bucketed_{name}", name) for name in ("resolve_keys", "lookup_meter", "join_home")),
     ("daily_preview_resumen", "preview_resumen"),
     ("daily_report_region", "report_region"),
     ("daily_report_homes", "report_homes"),

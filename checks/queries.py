@@ -17,7 +17,7 @@ from meterlake.functions import energy, exact, periods, text
 from meterlake.operators import books, features, peaks, quality, tariffs
 from meterlake.operators import star as star_ops
 from meterlake.plans import daily, hourly, listings, marts, report
-from meterlake.sources import catalog, lake, ledger, warehouse
+from meterlake.sources import catalog, homes, lake, ledger, warehouse
 from meterlake.sources.events import read_events, readings_from_events
 from meterlake.sources.readings import CORRUPT, MESSAGE, decode_readings, encode_readings
 from meterlake.streaming import pipeline
@@ -638,6 +638,45 @@ for _name in ("v_consumo_por_region", "v_consumo_por_hogar", "v_perfil_horario",
     register(_published(_name), f"catalog_{_name}")
 register(_published("fact_resumen_diario"), "catalog_resumen_diario")
 
+_in_buckets: dict[tuple[str, str], str] = {}
+
+
+def _homes(spark, sf_dir) -> homes.HomeTables:
+    """The home tables in buckets, as a new session finds them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _in_buckets:
+        database = f"cubetas_{hashlib.md5(sf_dir.encode()).hexdigest()[:8]}"
+        homes.publish_homes(spark, loaded(spark, sf_dir).star, database, buckets=16)
+        _in_buckets[key] = database
+    return homes.open_homes(spark, _in_buckets[key])
+
+
+@register
+def bucketed_resolve_keys(spark, sf_dir):
+    """Keys from home tables in buckets; a miss shows as -1."""
+    odd = irregular(clean(spark, sf_dir))
+    tiempo, region = (table(spark, sf_dir, t) for t in ("dim_tiempo", "dim_region"))
+    keyed = star_ops.resolve_keys(odd, tiempo, region, *homes.lookups_of(odd, _homes(spark, sf_dir)))
+    return keyed.select("event_id", *[
+        F.coalesce(k, F.lit(-1)).alias(k) for k in ("tiempo_key", "hogar_key", "region_key")
+    ])
+
+
+@register
+def bucketed_lookup_meter(spark, sf_dir):
+    odd = irregular(readings(spark, sf_dir))
+    return books.lookup_meter(odd, _homes(spark, sf_dir).medidores).select(
+        "event_id",
+        F.coalesce("hogar_registro", F.lit("-")).alias("hogar_registro"),
+        F.coalesce("tarifa_registro", F.lit("-")).alias("tarifa_registro"),
+    )
+
+
+@register
+def bucketed_join_home(spark, sf_dir):
+    by_key = homes.with_homes(star(spark, sf_dir), _homes(spark, sf_dir))
+    return star_ops.join_home(by_key).select("timestamp_real", "id_hogar", "id_medidor", "ciudad")
+
 
 @register
 def hogares_por_periodo(spark, sf_dir):

@@ -184,13 +184,14 @@ def load_star(
     books: Sequence[Tariff] = TARIFFS,
     micro_batch: bool = False,
     days: Sequence[date] | None = None,
+    lookups: tuple[DataFrame, DataFrame] | None = None,
 ) -> None:
     """Load a clean batch: new quarter hours, facts, and the batch's part of the daily rollup.
 
     ``clean`` is read several times: pass a stored batch, not a long lineage. Any step may be
     repeated with the same batch without effect. ``micro_batch`` cuts the home lookup and the registry
     to the ids of the batch; both are still scanned. The dates (``days``, if known already) of the batch come to the driver: at most one
-    value per day of the calendar, as many as the folders the batch writes.
+    value per day of the calendar, as many as the folders the batch writes. ``lookups``: see ``load_fact``.
     """
     spark = clean.sparkSession
     if days is None:
@@ -199,7 +200,7 @@ def load_star(
     finish_folds(spark, path)
     take_out_of_folds(spark, path, batch_id, days)
     merge_dim_tiempo(clean, path, batch_id, days)
-    load_fact(clean, path, batch_id, books, small_batch=micro_batch)
+    load_fact(clean, path, batch_id, books, micro_batch, lookups)
     refresh_daily(days, path, batch_id)
 
 
@@ -224,18 +225,19 @@ def load_fact(
     batch_id: str = "0",
     books: Sequence[Tariff] = TARIFFS,
     small_batch: bool = False,
+    lookups: tuple[DataFrame, DataFrame] | None = None,
 ) -> None:
     """Append the facts of a batch, replacing those of an earlier attempt.
 
     The batch's quarter hours must be in the time dimension already (``merge_dim_tiempo``).
 
     ``small_batch`` (micro-batches) first cuts the home lookup and the registry to the ids that
-    occur in the batch, so neither large table is shuffled for every batch.
+    occur in the batch, so neither large table is shuffled for every batch. ``lookups``, the home lookup and the
+    registry in buckets (``homes.lookups_of``), are used as they are.
     """
     spark = clean.sparkSession
-    homes = read_table(spark, path, "hogar_tarifa")
-    meters = read_table(spark, path, "medidores")
-    if small_batch:
+    homes, meters = lookups or (read_table(spark, path, "hogar_tarifa"), read_table(spark, path, "medidores"))
+    if small_batch and lookups is None:
         meters = meters.join(clean.select("id_medidor").distinct(), "id_medidor", "left_semi")
         seen = clean.select("id_hogar").unionByName(meters.select("id_hogar")).distinct()
         homes = homes.join(seen, "id_hogar", "left_semi")

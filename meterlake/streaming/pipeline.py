@@ -22,7 +22,7 @@ from meterlake import schemas
 from meterlake.fixed_values import TARIFFS, Tariff
 from meterlake.functions.exact import count_where, exact_sum, half_up
 from meterlake.operators.features import transform
-from meterlake.sources import files, lake, ledger, warehouse
+from meterlake.sources import files, homes, lake, ledger, warehouse
 from meterlake.sources.readings import CORRUPT, INGESTED, MESSAGE, good_messages
 
 log = logging.getLogger(__name__)
@@ -64,6 +64,7 @@ def process_batch(
     unique: Sequence[str] = (),
     clock: datetime | None = None,
     monthly: bool = False,
+    database: str | None = None,
 ) -> dict[str, int]:
     """Body of one micro-batch, also usable on a batch DataFrame; returns its counts.
 
@@ -76,7 +77,8 @@ def process_batch(
     ``unique`` names columns, such as meter and
     timestamp, of which a batch keeps one reading each; by default repeated readings are kept.
     ``monthly`` also prices the batch by month-to-date totals (``sources.ledger``); ``batch_id`` must be a
-    number then, which orders the batches.
+    number then, which orders the batches. ``database`` has the home tables in buckets
+    (``homes.publish_homes``): the batch reads the buckets of its ids, and neither table is scanned or shuffled.
     """
     spark = batch.sparkSession
     batch_name = f"{run}-{batch_id}"
@@ -94,7 +96,8 @@ def process_batch(
     days = days_written(spark, paths, clean, batch_name)
     if days:
         stored = lake.read_processed(spark, paths.processed, clean.schema, batch_name)
-        warehouse.load_star(stored, paths.star, batch_name, books, micro_batch, list(days))
+        lookups = homes.lookups_of(stored, homes.open_homes(spark, database)) if database else None
+        warehouse.load_star(stored, paths.star, batch_name, books, micro_batch, list(days), lookups)
         if monthly:
             ledger.price_batch(stored, paths.star, int(batch_id), books)
     kept, peaks = (sum(n[i] for n in days.values()) for i in range(2))
@@ -135,6 +138,7 @@ def start_pipeline(
     micro_batch: bool = True,
     unique: Sequence[str] = (),
     monthly: bool = False,
+    database: str | None = None,
     on_batch: Callable[[int, dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
     """Start the ingestion of a reading stream into an existing star.
@@ -147,7 +151,7 @@ def start_pipeline(
 
     def body(batch: DataFrame, batch_id: int) -> None:
         counts = process_batch(
-            batch, batch_id, paths, books, peak_scope, run, micro_batch, unique, monthly=monthly
+            batch, batch_id, paths, books, peak_scope, run, micro_batch, unique, monthly=monthly, database=database
         )
         if on_batch is not None:
             on_batch(batch_id, counts)
