@@ -60,6 +60,7 @@ class Vocabulary:
     def __init__(self, words: list[str], telling: dict[str, float]):
         self.number = {w: i for i, w in enumerate(words)}
         self.telling = telling
+        self.heads = {term[:STEMS[0]] for term in telling}
         self.known: dict[str, tuple[str, ...]] = {}
 
     def evidence(self, word: str) -> tuple[str, ...]:
@@ -81,7 +82,7 @@ class Vocabulary:
                 others[word] = n
             else:
                 own[t] = n
-            if self.telling:
+            if word[:STEMS[0]] in self.heads:  # else no beginning of the word is telling
                 found.update(self.known[word] if word in self.known else self.evidence(word))
         return own, others, sorted(found)
 
@@ -187,21 +188,26 @@ class Index:
 
     def lay_out(self, vocabulary: list[str], idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, t: np.ndarray, c: np.ndarray, telling: dict[str, float], rare: float) -> None:
         """``sizes``: words of each example; ``t``, ``c``: their numbers and counts, example by example."""
-        self.cells = vocabulary, idf, ids, labels, sizes, t, c, telling, rare
+        idf = np.asarray(idf, np.float64)
+        row = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        value = (1 + np.log(c)) * idf[t] if len(t) else np.zeros(0)
+        norm = np.sqrt(np.bincount(row, value * value, len(ids)))
+        value = (value / np.maximum(norm, 1e-12)[row]).astype(np.float32)
+        order = np.argsort(t, kind="stable")
+        ends = np.concatenate(([0], np.cumsum(np.bincount(t, minlength=len(vocabulary))))).astype(np.int64)
+        self.take(vocabulary, idf, ids, labels, row[order], value[order], ends, telling, rare)
+        self.weights = np.array([1.0, 0.0, 0.0])
+
+    def take(self, vocabulary: list[str], idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, row: np.ndarray, value: np.ndarray, ends: np.ndarray, telling: dict[str, float], rare: float) -> None:
+        """``row``, ``value``: example and its value for each word, word by word up to ``ends``."""
+        self.cells = vocabulary, idf, ids, labels, row, value, ends, telling, rare
         self.words = Vocabulary(vocabulary, telling)
-        self.vocabulary, self.idf, self.ids, self.labels, self.rare = vocabulary, np.asarray(idf, np.float64), ids, labels, rare
+        self.vocabulary, self.idf, self.ids, self.labels, self.rare = vocabulary, idf, ids, labels, rare
+        self.row, self.value, self.ends = row, value, ends
         self.prior = (labels.sum() + 0.5) / (len(ids) + 2)
-        self.weights = np.array([1.0, 0.0, 0.0])
         self.rows_of: dict[int, list[int]] = defaultdict(list)
         for i, key in enumerate(ids.tolist()):
             self.rows_of[key].append(i)
-        row = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-        value = (1 + np.log(c)) * self.idf[t] if len(t) else np.zeros(0)
-        norm = np.sqrt(np.bincount(row, value * value, len(ids)))
-        value = (value / np.maximum(norm, 1e-12)[row]).astype(np.float32)
-        order = np.argsort(t, kind="stable")
-        self.row, self.value = row[order], value[order]
-        self.ends = np.concatenate(([0], np.cumsum(np.bincount(t, minlength=len(vocabulary))))).astype(np.int64)
         often = np.flatnonzero(np.diff(self.ends) > COMMON * len(ids))
         self.place = np.full(len(vocabulary), -1, np.int32)
         self.place[often] = np.arange(len(often))
@@ -211,11 +217,11 @@ class Index:
             self.matrix[k, self.row[a:b]] = self.value[a:b]
 
     def __getstate__(self) -> tuple:
-        """Without the lists and the matrix, which a worker lays out anew."""
+        """Without the matrix and the numbers of words, which a worker makes anew; the lists come sorted."""
         return self.cells, self.weights
 
     def __setstate__(self, state: tuple) -> None:
-        self.lay_out(*state[0])
+        self.take(*state[0])
         self.weights = state[1]
 
     @property
