@@ -2,7 +2,8 @@
 
 Each page becomes a stream of tokens: a mark per block, then the words of the block. The streams of a host
 are concatenated, their suffixes sorted as deep as a run must be long, and classes of suffixes that occur
-on enough distinct pages are boilerplate; copies of a page count as one. Blocks mostly covered by such runs
+on enough distinct pages are boilerplate; copies of a page count as one. Of a host too large for one task
+the pages are sorted in parts, and what a class occurs on is counted over the whole host. Blocks mostly covered by such runs
 go, the others are kept in page order. What HTML itself says about a block is an exact check on that: text
 in menus, footers, asides, forms, adverts or comments never counts, and a page that marks its article is
 taken at its word, so that in an article only runs on half of all pages are boilerplate.
@@ -21,12 +22,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import stored, word_hashes
+from meterlake.llm.common import _ODD, mix, stored, word_hashes
 
 RUN = 8
 PAGES = 3
 ARTICLE_PAGES = 5
 PART_BYTES = 8_000_000
+CELL_WINDOWS = 2_000_000
 
 # Fixed values of HTML: elements without content of their own, elements that break a line, elements whose
 # content is raw text, elements that are no main text, elements that may stand in a head.
@@ -180,11 +182,29 @@ def page_blocks(page: str) -> list[Block]:
     return out
 
 
-def repeated_runs(streams: list[np.ndarray], groups: np.ndarray, run: int = RUN, pages: int = PAGES, article_pages: int = ARTICLE_PAGES) -> tuple[list[np.ndarray], list[np.ndarray]]:
+class Counted(NamedTuple):
+    """Ascending window keys of a host, the groups that have each, and all groups of the host; keys left out count as 0."""
+
+    keys: np.ndarray
+    n: np.ndarray
+    different: int
+
+
+def window_keys(tokens: np.ndarray, run: int = RUN) -> np.ndarray:
+    """64-bit key of the ``run`` tokens that begin at each token, as far as they reach."""
+    n = max(len(tokens) - run + 1, 0)
+    h = np.zeros(n, dtype=np.uint64)
+    for k in range(run):
+        h = h * np.uint64(_ODD) + tokens[k:n + k].view(np.uint64)
+    return mix(h).view(np.int64)
+
+
+def repeated_runs(streams: list[np.ndarray], groups: np.ndarray, run: int = RUN, pages: int = PAGES, article_pages: int = ARTICLE_PAGES, known: Counted | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Per stream: which tokens lie in runs of ``run`` tokens that ``pages`` different groups have, and in runs that half of them have.
 
     A suffix array over all streams, sorted to the depth of ``run``: ranks of the suffixes by their first 1, 2,
     4, ... tokens. Each stream ends with a token of its own. The second mask needs ``article_pages`` groups.
+    If the streams are a part of a host, ``known`` has the groups of the classes in the whole host.
     """
     sizes = np.array([len(s) for s in streams], dtype=np.int64)
     starts = np.concatenate(([0], np.cumsum(sizes + 1)))
@@ -204,8 +224,18 @@ def repeated_runs(streams: list[np.ndarray], groups: np.ndarray, run: int = RUN,
     stream = np.repeat(np.arange(len(streams)), sizes + 1)
     own = groups[stream]
     different = int(groups.max()) + 1 if len(groups) else 0
-    pairs = np.unique(rank * different + own)
-    count = np.bincount(pairs // different, minlength=int(rank.max()) + 1)
+    if known is None:
+        pairs = np.unique(rank * different + own)
+        count = np.bincount(pairs // different, minlength=int(rank.max()) + 1)
+    else:
+        different = known.different
+        count = np.zeros(int(rank.max()) + 1, dtype=np.int64)
+        inside = np.flatnonzero(np.arange(n) + run <= (starts[1:] - 1)[stream])
+        keys = window_keys(tokens, run)[inside]
+        if len(known.keys):
+            at = np.minimum(np.searchsorted(known.keys, keys), len(known.keys) - 1)
+            hit = known.keys[at] == keys
+            count[rank[inside[hit]]] = known.n[at[hit]]
     half = max(article_pages, (different + 1) // 2)
     masks = []
     for least in (pages, half):
@@ -219,9 +249,9 @@ def repeated_runs(streams: list[np.ndarray], groups: np.ndarray, run: int = RUN,
     return masks[0], masks[1]
 
 
-def main_texts(pages: list[list[Block]], run: int = RUN, least: int = PAGES, article_pages: int = ARTICLE_PAGES) -> list[tuple[str, int]]:
-    """(text, blocks taken out as repeated) of the pages of one host."""
-    streams, groups, seen = [], [], {}
+def page_streams(pages: list[list[Block]]) -> tuple[list[np.ndarray], list[str]]:
+    """(tokens of each page, its longest block: pages that share it are copies)."""
+    streams, longest = [], []
     for blocks in pages:
         words, counts = word_hashes([b.text.encode("utf-8", "surrogatepass") for b in blocks])
         marks = np.array([mark_token(b.mark) for b in blocks], dtype=np.int64)
@@ -232,12 +262,24 @@ def main_texts(pages: list[list[Block]], run: int = RUN, least: int = PAGES, art
         stream[is_head] = marks
         stream[~is_head] = (words >> np.uint64(8)).astype(np.int64)
         streams.append(stream)
-        longest = max(blocks, key=lambda b: len(b.text)).text if blocks else ""
-        groups.append(seen.setdefault(longest, len(seen)))
-    often, always = repeated_runs(streams, np.array(groups, dtype=np.int64), run, least, article_pages)
+        longest.append(max(blocks, key=lambda b: len(b.text)).text if blocks else "")
+    return streams, longest
+
+
+def main_level(blocks: list[Block]) -> int:
+    """The level whose blocks are the main text of a page."""
+    return max((b.level for b in blocks if b.level != OUT), default=FREE)
+
+
+def main_texts(pages: list[list[Block]], run: int = RUN, least: int = PAGES, article_pages: int = ARTICLE_PAGES, known: Counted | None = None) -> list[tuple[str, int]]:
+    """(text, blocks taken out as repeated) of the pages of one host, or of a part of a host with the counts of the whole."""
+    streams, longest = page_streams(pages)
+    seen: dict[str, int] = {}
+    groups = np.array([seen.setdefault(text, len(seen)) for text in longest], dtype=np.int64)
+    often, always = repeated_runs(streams, groups, run, least, article_pages, known)
     out = []
     for blocks, weak, strong in zip(pages, often, always):
-        level = max((b.level for b in blocks if b.level != OUT), default=FREE)
+        level = main_level(blocks)
         chosen, at = [], 0
         for block in blocks:
             size = len(block.text.encode("utf-8", "surrogatepass").split()) + 1
@@ -262,40 +304,137 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1))
 
 
+def _parsed(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[list[Block]]]]:
+    """(rows, their blocks), 64 rows at a time."""
+    for batch in batches:
+        for begin in range(0, len(batch), 64):
+            own = batch.slice(begin, 64)
+            yield own, [page_blocks(value.as_py()) for value in own.column(column)]
+
+
+def _copy_key(longest: str) -> int:
+    return xxhash.xxh3_64_intdigest(longest.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def large_hosts(rows: DataFrame, part_bytes: int) -> DataFrame:
+    """(host, parts, n_pages, n_groups, least) of the hosts of ``rows`` (host, page, ...) with more than ``part_bytes``.
+
+    ``least`` is how many groups a run needs before any page of the host can ask for it: ``PAGES`` if some page has
+    main text that no markup tells, else half of all groups, as in an article.
+    """
+    sizes = rows.groupBy("host").agg(F.sum(F.octet_length("page")).alias("bytes")).where(F.col("bytes") > part_bytes)
+    # Written, so that the planner knows its size before it chooses the join.
+    large = stored(sizes.select("host", F.ceil(F.col("bytes") / part_bytes).alias("parts")), "large_hosts")
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, found in _parsed(batches, 1):
+            keys = [_copy_key(text) for text in page_streams(found)[1]]
+            free = [main_level(p) == FREE and any(b.level == FREE for b in p) for p in found]
+            yield pa.RecordBatch.from_arrays([own.column(0), pa.array(keys, pa.int64()), pa.array(free, pa.bool_())], ["host", "own", "free"])
+
+    told = rows.join(large, "host").select("host", "page").mapInArrow(tell, "host string, own long, free boolean")
+    groups = told.groupBy("host", "own").agg(F.count("*").alias("n"), F.max("free").alias("free"))
+    hosts = groups.groupBy("host").agg(F.sum("n").alias("n_pages"), F.count("*").alias("n_groups"), F.max("free").alias("free"))
+    least = F.when(F.col("free"), F.lit(PAGES)).otherwise(F.greatest(F.lit(ARTICLE_PAGES), F.ceil(F.col("n_groups") / 2)))
+    return stored(large.join(hosts, "host").select("host", "parts", "n_pages", "n_groups", "free", least.cast("long").alias("least")), "host_counts")
+
+
+def host_windows(rows: DataFrame, large: DataFrame) -> DataFrame:
+    """(host, part, window, n, n_groups): the windows of the parts of ``large`` hosts that ``least`` groups of the whole host have.
+
+    Where only windows of half of all groups count, each task first names those that stand on as large a share of
+    the pages it sees: a window that does so in no task can't do so in all. They alone are counted exactly, by
+    distinct (group, window); on hosts with pages without markup every window is.
+    """
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells: dict[str, list] = {}
+        held = 0
+
+        def frequent() -> Iterator[pa.RecordBatch]:
+            for host, (n_pages, least, windows) in cells.items():
+                keys, n = np.unique(np.concatenate(windows), return_counts=True)
+                keys = keys[n * n_pages >= least * len(windows)]
+                yield pa.RecordBatch.from_arrays([pa.array([host] * len(keys), pa.string()), pa.array(keys)], ["host", "window"])
+
+        for own, found in _parsed(batches, 1):
+            for host, n_pages, least, stream in zip(own.column(0).to_pylist(), own.column(2).to_pylist(), own.column(3).to_pylist(), page_streams(found)[0]):
+                windows = np.unique(window_keys(stream))
+                cells.setdefault(host, [n_pages, least, []])[2].append(windows)
+                held += len(windows) + 1
+            if held > CELL_WINDOWS:
+                yield from frequent()
+                cells.clear()
+                held = 0
+        yield from frequent()
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for own, found in _parsed(batches, 2):
+            streams, longest = page_streams(found)
+            asked = []
+            for host, part, wanted, stream, text in zip(own.column(0).to_pylist(), own.column(1).to_pylist(), own.column(3), streams, longest):
+                windows = np.unique(window_keys(stream))
+                if wanted.is_valid:
+                    windows = windows[np.isin(windows, wanted.values.to_numpy())]
+                row = (host, part, _copy_key(text), xxhash.xxh3_128_digest(windows))
+                if len(windows) and row not in seen:  # copies say nothing new
+                    seen.add(row)
+                    asked.append((*row[:3], windows))
+            if len(seen) > CELL_WINDOWS // 20:
+                seen.clear()
+            columns = list(zip(*asked)) if asked else [[]] * 4
+            types = [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], ["host", "part", "own", "windows"])
+
+    marked = rows.join(large.where(~F.col("free")), "host").select("host", "page", "n_pages", "least")
+    named = marked.mapInArrow(name, "host string, window long").groupBy("host").agg(F.collect_set("window").alias("wanted"))
+    asking = rows.join(large.select("host", "free"), "host").join(stored(named, "frequent_windows"), "host", "left").where("free or wanted is not null")
+    asked = asking.select("host", "part", "page", "wanted").mapInArrow(ask, "host string, part long, own long, windows array<long>")
+    # A page is one row here: the windows of boilerplate are the same on many and compress.
+    each = asked.repartition("host", "own").select("host", "part", "own", F.explode("windows").alias("window"))
+    groups = each.groupBy("host", "own", "window").agg(F.collect_set("part").alias("parts"))
+    counts = groups.groupBy("host", "window").agg(F.count("*").alias("n"), F.array_distinct(F.flatten(F.collect_set("parts"))).alias("parts"))
+    enough = counts.join(large.select("host", "n_groups", "least"), "host").where("n >= least")
+    return enough.select("host", F.explode("parts").alias("part"), "window", "n", "n_groups")
+
+
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html", part_bytes: int = PART_BYTES) -> DataFrame:
     """(page_id, url, text, n_repeated) of every row: the main text, and how many blocks were taken out as repeated.
 
     White space in a block becomes one space, blocks are joined by two line feeds. Pages of one host are
     compared with each other; a host of more than ``part_bytes`` is split by a hash of its pages into
-    parts of about that size, each with its own array, and runs are repeated when they are in a part. So
-    memory is bounded whatever a host holds. Null and empty pages give ""; null and malformed URLs share the
+    parts of about that size, each with its own array, whose classes are counted over all parts: the results don't
+    depend on ``part_bytes``. So memory is bounded whatever a host holds. Null and empty pages give ""; null and malformed URLs share the
     host "". Repeated rows come out repeatedly and count as one page. Empty table: no rows. Other columns are not read.
     """
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(page), F.lit("")).alias("page"))
     rows = rows.withColumn("host", host_of(F.col("url")))
-    sizes = rows.groupBy("host").agg(F.sum(F.octet_length("page")).alias("bytes")).where(F.col("bytes") > part_bytes)
-    # Written, so that the planner knows its size before it chooses the join.
-    large = stored(sizes.select("host", F.ceil(F.col("bytes") / part_bytes).alias("parts")), "large_hosts")
-    part = F.pmod(F.xxhash64(F.coalesce("page_id", F.lit(-1)), F.coalesce("url", F.lit(""))), F.coalesce("parts", F.lit(1))).alias("part")
-    rows = rows.join(large, "host", "left").select("host", part, "page_id", "url", "page")
+    large = large_hosts(rows, part_bytes)
+    # Parts of hosts that are whole have the number -1.
+    part = F.coalesce(F.pmod(F.xxhash64(F.coalesce("page_id", F.lit(-1)), F.coalesce("url", F.lit(""))), F.col("parts")), F.lit(-1)).alias("part")
+    rows = rows.join(large.select("host", "parts"), "host", "left").select("host", part, "page_id", "url", "page")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin in range(0, len(batch), 64):
-                own = batch.slice(begin, 64)
-                found = [page_blocks(value.as_py()) for value in own.column(4)]
-                columns = [*own.columns[:4], pa.array([[b.text for b in p] for p in found], pa.list_(pa.string())),
-                           pa.array([[b.level for b in p] for p in found], pa.list_(pa.int8())), pa.array([[b.mark for b in p] for p in found], pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(columns, ["host", "part", "page_id", "url", "texts", "levels", "marks"])
-
-    def extract(table: pa.Table) -> pa.Table:
+        for own, found in _parsed(batches, 4):
+            columns = [*own.columns[:4], pa.array([[b.text for b in p] for p in found], pa.list_(pa.string())),
+                       pa.array([[b.level for b in p] for p in found], pa.list_(pa.int8())), pa.array([[b.mark for b in p] for p in found], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, ["host", "part", "page_id", "url", "texts", "levels", "marks"])
+
+    def extract(table: pa.Table, windows: pa.Table) -> pa.Table:
+        known = None
+        if table.column("part")[0].as_py() >= 0:
+            windows = windows.sort_by("window")
+            different = windows.column("n_groups")[0].as_py() if len(windows) else 0
+            known = Counted(windows.column("window").to_numpy(), windows.column("n").to_numpy(), different)
         texts, levels, marks = (table.column(c).to_pylist() for c in ("texts", "levels", "marks"))
-        found = main_texts([list(map(Block, *page)) for page in zip(texts, levels, marks)])
+        found = main_texts([list(map(Block, *page)) for page in zip(texts, levels, marks)], known=known)
         columns = [table.column("page_id"), table.column("url"), pa.array([t for t, _ in found], pa.string()), pa.array([r for _, r in found], pa.int64())]
         return pa.Table.from_arrays(columns, ["page_id", "url", "text", "n_repeated"])
 
     blocks = rows.mapInArrow(parse, "host string, part long, page_id long, url string, texts array<string>, levels array<tinyint>, marks array<string>")
-    return blocks.groupBy("host", "part").applyInArrow(extract, "page_id long, url string, text string, n_repeated long")
+    windows = host_windows(rows.select("host", "part", "page"), large)
+    return blocks.groupBy("host", "part").cogroup(windows.groupBy("host", "part")).applyInArrow(extract, "page_id long, url string, text string, n_repeated long")
 
 
 def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,3 +98,32 @@ def test_edges_and_split_hosts(spark):
         want = [(i, u, f"text {i}" if i is not None and i <= 60 else {62: "x"}.get(i, "")) for i, u, _ in rows]
         assert sorted(got, key=repr) == sorted(want, key=repr)
     assert html_text.main_text(frame.where("false")).count() == 0
+
+
+def test_results_do_not_depend_on_the_size_of_a_host(spark):
+    """Runs on few pages of a host, in copies, and on half of all, whatever parts the pages fall into."""
+    from collections import defaultdict
+
+    def words(*key) -> str:
+        return " ".join(f"w{'x'.join(map(str, key))}x{i}" for i in range(12))
+
+    rows = []
+    for k in range(40):
+        own = f"<p>{words('own', k)} {words('more', k)}</p>"
+        menu, rare = f"<div>{words('menu')}</div>", f"<p>{words('rare')}</p>" if k in (3, 17, 31) else f"<p>{words('twice')}</p>" if k in (5, 22) else ""
+        rows.append((k, f"http://free.example/{k}", menu + own + rare))
+        call = f"<p>{words('call')}</p>" if k % 20 < 10 else f"<p>{words('less')}</p>" if k < 19 else ""
+        rows.append((100 + k, f"http://article.example/{k}", f"<article>{own}{call}{rare}</article>"))
+        # Copies of four pages, each with a line that three of the four have.
+        line = f"<p>{words('line')}</p>" if k % 4 else ""
+        rows.append((200 + k, f"http://copies.example/{k}", f"<div><p>{words('a', k % 4)} {words('b', k % 4)}</p>{line}<p>{words('only')} {k}</p></div>" if k < 36 else f"<main><p>{words('m', k)} {words('n', k)}</p>{line}</main>"))
+        rows.append((300 + k, f"http://mixed.example/{k}", menu + own if k % 5 == 0 else f"<article>{own}<p>{words('menu')}</p></article>"))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    hosts = defaultdict(list)
+    for i, u, page in rows:
+        hosts[u.split("/")[2]].append((i, html_text.page_blocks(page)))
+    want = {i: got for members in hosts.values() for (i, _), got in zip(members, html_text.main_texts([b for _, b in members]))}
+    assert {n for _, n in want.values()} > {0, 1}
+    for part_bytes in (8_000_000, 6_000, 700):
+        found = {r["page_id"]: (r["text"], r["n_repeated"]) for r in html_text.main_text(frame, part_bytes=part_bytes).collect()}
+        assert found == want
