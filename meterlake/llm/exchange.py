@@ -2,7 +2,7 @@
 
 A block is some megabytes of documents of one input partition. It sends every bucket the sorted distinct
 keys it has there, packed in one row; the bucket answers each block with one packed row. Compared with a row
-per key this moves a third of the bytes. Blocks are numbered by partition and place, which is the same
+per key this moves a third of the bytes. What is packed, and the texts of a block, are compressed as one. Blocks are numbered by partition and place, which is the same
 whenever the same scan runs again.
 """
 
@@ -16,11 +16,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import blocks
+from meterlake.llm.common import BLOCK_BYTES, blocks
 
 ASKED = "bucket int, block long, kind int, keys binary, low binary, high binary"
 ANSWER = "block long, kind int, bucket int, data binary"
 BUCKET_BYTES = 32_000_000
+LEVEL = 6
 
 
 def bucket_number(docs: DataFrame, text: str) -> int:
@@ -28,13 +29,13 @@ def bucket_number(docs: DataFrame, text: str) -> int:
     return max(8, -(-total // BUCKET_BYTES))
 
 
-def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[int | None], list[bytes]]]:
+def numbered(batches: Iterator[pa.RecordBatch], block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, list[int | None], list[bytes]]]:
     """(block, ids, texts) of batches (doc_id, text)."""
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
         ids = batch.column(0).to_pylist()
         for begin in range(0, len(ids), 4096):
-            for start, run in blocks(batch.column(1).slice(begin, 4096).to_pylist()):
+            for start, run in blocks(batch.column(1).slice(begin, 4096).to_pylist(), block_bytes):
                 yield number, ids[begin + start:begin + start + len(run)], run
                 number += 1
 
@@ -50,6 +51,37 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(gaps.ravel(), dtype=np.uint64)
 
 
+def squeezed(data: bytes) -> bytes:
+    """``data`` compressed, its size before it."""
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", LEVEL).compress(data, asbytes=True) if data else b""
+
+
+def opened(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True) if data else b""
+
+
+def squeezed_keys(data: bytes) -> bytes:
+    """Packed keys: their high bytes say little and are compressed apart from the low ones."""
+    low = squeezed(data[: len(data) // 8 * 5])
+    return len(low).to_bytes(8, "little") + low + squeezed(data[len(data) // 8 * 5:])
+
+
+def opened_keys(data: bytes) -> bytes:
+    end = 8 + int.from_bytes(data[:8], "little")
+    return opened(data[8:end]) + opened(data[end:])
+
+
+def asked_ranges(block: int, kind: int, keys: np.ndarray, low: np.ndarray, buckets: int) -> list[tuple]:
+    """The packed rows for ascending, evenly spread ``keys`` (uint64); answers come in their order.
+
+    A bucket has a range of the keys, so that the differences between them stay small however many buckets there are.
+    """
+    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    ends = np.searchsorted(bucket, np.arange(buckets + 1))
+    found = np.flatnonzero(ends[1:] > ends[:-1]).tolist()
+    return [(b, block, kind, packed(keys[ends[b]:ends[b + 1]]), low[ends[b]:ends[b + 1]].tobytes(), b"") for b in found]
+
+
 def asked(block: int, kind: int, keys: np.ndarray, low: np.ndarray, high: np.ndarray, buckets: int) -> tuple[list[tuple], np.ndarray]:
     """The packed rows for distinct ``keys`` (uint64), and the order in which the answers come."""
     bucket = (keys % np.uint64(buckets)).astype(np.int64)
@@ -63,7 +95,7 @@ def asked(block: int, kind: int, keys: np.ndarray, low: np.ndarray, high: np.nda
 
 
 def asked_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[]] * 6
+    columns = [*zip(*[(*row[:3], squeezed_keys(row[3]), *map(squeezed, row[4:])) for row in rows])] if rows else [[]] * 6
     types = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], ["bucket", "block", "kind", "keys", "low", "high"])
 
@@ -73,19 +105,21 @@ def answers(rows: DataFrame, resolve: Callable[[int, list[np.ndarray], list[byte
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
-        keys = [unpacked(x) for x in table.column("keys").to_pylist()]
-        data = resolve(table.column("kind")[0].as_py(), keys, table.column("low").to_pylist(), table.column("high").to_pylist())
-        return pa.table([table.column("block"), table.column("kind"), table.column("bucket"), pa.array(data, pa.binary())], ["block", "kind", "bucket", "data"])
+        keys = [unpacked(opened_keys(x)) for x in table.column("keys").to_pylist()]
+        low, high = (list(map(opened, table.column(c).to_pylist())) for c in ("low", "high"))
+        data = resolve(table.column("kind")[0].as_py(), keys, low, high)
+        return pa.table([table.column("block"), table.column("kind"), table.column("bucket"), pa.array(list(map(squeezed, data)), pa.binary())], ["block", "kind", "bucket", "data"])
 
     return rows.groupBy("bucket", "kind").applyInArrow(run, ANSWER)
 
 
-def with_answers(docs: DataFrame, got: DataFrame, use: Callable[[int, list, list[bytes], dict[int, bytes]], list[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``use(block, ids, texts, {kind: answers in order})`` for every block of ``docs`` (doc_id, text)."""
+def with_answers(docs: DataFrame, got: DataFrame, use: Callable[[int, list, list[bytes], dict[int, bytes]], list[pa.RecordBatch]], schema: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``use(block, ids, texts, {kind: answers in order})`` for every block of ``docs`` (doc_id, text), numbered as it asked."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, ids, texts in numbered(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.binary()))], ["block", "ids", "texts"])
+        for block, ids, texts in numbered(batches, block_bytes):
+            columns = [pa.array([block]), pa.array([ids], pa.list_(pa.int64())), pa.array([list(map(len, texts))], pa.list_(pa.int64())), pa.array([squeezed(b"".join(texts))], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "ids", "sizes", "texts"])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left):
@@ -93,11 +127,13 @@ def with_answers(docs: DataFrame, got: DataFrame, use: Callable[[int, list, list
         right = right.sort_by([("kind", "ascending"), ("bucket", "ascending")])
         data: dict[int, bytes] = {}
         for kind, part in zip(right.column("kind").to_pylist(), right.column("data").to_pylist()):
-            data.setdefault(kind, []).append(part)
-        row = left.slice(0, 1)
-        return pa.Table.from_batches(use(row.column("block")[0].as_py(), row.column("ids")[0].as_py(), row.column("texts")[0].as_py(), {k: b"".join(v) for k, v in data.items()}))
+            data.setdefault(kind, []).append(opened(part))
+        block, ids, sizes, joined = (left.column(c)[0].as_py() for c in ("block", "ids", "sizes", "texts"))
+        joined, ends = opened(joined), np.cumsum(sizes).tolist()
+        texts = [joined[end - size:end] for size, end in zip(sizes, ends)]
+        return pa.Table.from_batches(use(block, ids, texts, {k: b"".join(v) for k, v in data.items()}))
 
-    packed = docs.mapInArrow(pack, "block long, ids array<long>, texts array<binary>")
+    packed = docs.mapInArrow(pack, "block long, ids array<long>, sizes array<long>, texts binary")
     return packed.groupBy("block").cogroup(got.groupBy("block")).applyInArrow(run, schema)
 
 

@@ -13,16 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import _ODD, documents, mix, word_hashes
-from meterlake.llm.exchange import ASKED, answers, asked, asked_batch, bucket_number, numbered, with_answers
+from meterlake.llm.exchange import ASKED, answers, asked_batch, asked_ranges, bucket_number, numbered, with_answers
 
 ORDER = 3
 ALPHA = 0.4
+# Larger blocks repeat more n-grams within, which are asked once; words are hashed in smaller runs.
+BLOCK_BYTES = 7_000_000
+HASH_BYTES = 1_000_000
 RESULT = "doc_id long, n_words long, n_backed_off long, log_score double"
 
 
 def ngrams(texts: list[bytes], order: int = ORDER) -> tuple[list[np.ndarray], np.ndarray]:
     """(for k = 1..order the hash of the k words that end at each word, 0 if the text has fewer), text of each word."""
-    words, counts = word_hashes(texts)
+    run = np.cumsum(list(map(len, texts)), dtype=np.int64) // HASH_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(texts)]
+    words, counts = (np.concatenate(x) for x in zip(*(word_hashes(texts[a:b]) for a, b in zip(cuts, cuts[1:]))))
     doc = np.repeat(np.arange(len(texts)), counts)
     place = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
     out = [mix(words | np.uint64(1))]
@@ -41,13 +46,16 @@ def _counted(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _resolve(kind: int, keys: list[np.ndarray], low: list[bytes], high: list[bytes]) -> list[bytes]:
+    """What the other blocks have of each key: mostly nothing, which compresses away."""
     all_ = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
     order = np.argsort(all_, kind="stable")
     found = all_[order]
-    n = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in low]).astype(np.int64)[order]
+    n = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in low]).astype(np.int64)
+    own = np.split(n, np.cumsum([len(k) for k in keys])[:-1])
+    n = n[order]
     starts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
     distinct, total = found[starts], np.add.reduceat(n, starts)
-    return [total[np.searchsorted(distinct, k)].astype(np.int64).tobytes() for k in keys]
+    return [(total[np.searchsorted(distinct, k)] - o).tobytes() for k, o in zip(keys, own)]
 
 
 def scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -61,13 +69,12 @@ def scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, doc_id: st
     buckets = bucket_number(plain, "text")
 
     def ask(batches):
-        for block, _, texts in numbered(batches):
+        for block, _, texts in numbered(batches, BLOCK_BYTES):
             rows = []
             for k, grams in enumerate(ngrams(texts, order)[0], 1):
                 keys, n = _counted(grams)
-                rows += asked(block, k, keys, n, np.zeros(0, np.int64), buckets)[0]
-            total = np.array([len(grams)], dtype=np.uint32)
-            rows += asked(block, 0, np.array([1], dtype=np.uint64), total, np.zeros(0, np.int64), buckets)[0]
+                rows += asked_ranges(block, k, keys, n, buckets)
+            rows += asked_ranges(block, 0, np.array([1], dtype=np.uint64), np.array([len(grams)], dtype=np.uint32), buckets)
             yield asked_batch(rows)
 
     def finish(block, ids, texts, got):
@@ -76,15 +83,14 @@ def scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, doc_id: st
         left = []
         for k, h in enumerate(grams, 1):
             keys, n = _counted(h)
-            total = np.empty(len(keys), dtype=np.int64)
-            total[asked(block, k, keys, n, np.zeros(0, np.int64), buckets)[1]] = np.frombuffer(got.get(k, b""), dtype=np.int64)
+            total = np.frombuffer(got.get(k, b""), dtype=np.int64) + n
             others = np.zeros(len(h), dtype=np.int64)
             whole = np.flatnonzero(h)
             at = np.searchsorted(keys, h[whole])
             pair, own, count = np.unique(doc[whole] * len(keys) + at, return_inverse=True, return_counts=True)
             others[whole] = total[at] - count[own]
             left.append(others)
-        words = np.frombuffer(got[0], dtype=np.int64)[0] - n_words[doc] if 0 in got else np.zeros(len(doc), np.int64)
+        words = np.frombuffer(got[0], dtype=np.int64)[0] + len(doc) - n_words[doc] if 0 in got else np.zeros(len(doc), np.int64)
         score = np.full(len(doc), np.nan)
         longest = np.zeros(len(doc), np.int64)
         used = np.zeros(len(doc), np.int64)
@@ -104,7 +110,7 @@ def scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, doc_id: st
         columns = [pa.array(ids, pa.int64()), pa.array(n_words, pa.int64()), pa.array(off.astype(np.int64)), pa.array(sums.astype(np.float64))]
         return [pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_backed_off", "log_score"])]
 
-    return with_answers(plain, answers(plain.mapInArrow(ask, ASKED), _resolve), finish, RESULT)
+    return with_answers(plain, answers(plain.mapInArrow(ask, ASKED), _resolve), finish, RESULT, BLOCK_BYTES)
 
 
 def op1_lm_scores(spark: SparkSession, sf_dir: str, order: int = 2) -> DataFrame:

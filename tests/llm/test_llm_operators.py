@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import os
 import re
 import zlib
 
@@ -273,6 +274,36 @@ def test_registered_scores_back_off_from_three_words(texts, spark):
         assert (r["n_words"], r["n_backed_off"]) == (len(w), off) and r["log_score"] == pytest.approx(score)
 
 
+def test_lm_scores_shuffle_less_than_four_times_their_input(spark):
+    from pyspark.sql import functions as F
+
+    def shuffled() -> dict[str, int]:
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName(): files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle")}
+
+    path = "/root/testdata/sf0.01/documents.parquet"
+    frame = spark.read.parquet(path).select("doc_id", "text")
+    before = shuffled()
+    assert lm_scores.scores(frame, order=3).agg(F.count("*")).first()[0] == 1000
+    moved = sum(size for name, size in shuffled().items() if name not in before)
+    assert 0 < moved < 4 * os.path.getsize(path)
+
+
+def test_ranges_ask_and_answer_in_key_order():
+    keys = np.unique(common.mix(np.arange(1, 5000, dtype=np.uint64)))
+    for chosen in (keys, keys[:1], keys[:0], np.array([1, 2**64 - 1], dtype=np.uint64)):
+        for buckets in (1, 8, 1561):
+            n = np.arange(len(chosen), dtype=np.uint32)
+            rows = exchange.asked_ranges(7, 3, chosen, n, buckets)
+            assert [r[0] for r in rows] == sorted({r[0] for r in rows}) and all(0 <= r[0] < buckets for r in rows)
+            assert np.concatenate([exchange.unpacked(r[3]) for r in rows] or [chosen]).tolist() == chosen.tolist()
+            assert b"".join(r[4] for r in rows) == n.tobytes()
+    for data in (b"", b"x", bytes(100_000), keys.tobytes()):
+        assert exchange.opened(exchange.squeezed(data)) == data
+    for chosen in (keys, keys[:1], keys[:0]):
+        assert exchange.opened_keys(exchange.squeezed_keys(exchange.packed(chosen))) == exchange.packed(chosen)
+
+
 def test_lm_score_edges(docs, spark):
     rows = lm_scores.scores(docs, order=3).collect()
     assert len(rows) == len(ROWS) and {r["log_score"] for r in rows if not r["n_words"]} == {0.0}
